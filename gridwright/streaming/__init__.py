@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The job being rebuilt is an hourly full recompute of one mart table; it
+reads no stream, keeps no state between runs and has no late-data rule, so
+there is nothing here to express with Structured Streaming. A refresh is one
+batch call of ``gridwright.plans.pay_grid.build_pay_grid`` followed by
+``gridwright.sinks.publish``.
+"""
