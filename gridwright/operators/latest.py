@@ -3,9 +3,18 @@
 ``latest_per_group`` keeps every row whose ordering value equals the maximum
 of its group. Ties are kept, so ``row_number`` / ``max_by`` would be wrong.
 
-Two physical strategies give the same multiset:
-
-``agg_join`` (default)
+Three physical strategies give the same multiset:
+
+``auto`` (default)
+    As ``agg_join``, but the maxima table is computed first and
+    written to the shared checkpoint folder (lineage cut, one job),
+    its size is measured, and only if it fits under the broadcast cap is it
+    broadcast -- then the big input is filtered map-side and never
+    shuffled. Otherwise the shuffle semi-join below is used. The input is
+    read twice either way (once for the maxima), never shuffled whole by the
+    group key alone.
+
+``agg_join``
     1. ``groupBy(keys).max(order)`` -- partial aggregation on the map side,
        so only (groups x map tasks) rows cross the network.
     2. left-semi join of the input with that table on ``keys + [order]``.
@@ -30,7 +39,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STRATEGIES = ("agg_join", "window")
+from gridwright.operators.sizing import broadcast_if_small, materialize
+
+STRATEGIES = ("auto", "agg_join", "window")
 
 
 def _key_equal(left: str, right: str, null_safe: bool) -> Column:
@@ -48,14 +59,16 @@ def latest_per_group(
     order_col: str,
     *,
     null_safe_keys: bool = True,
-    strategy: str = "agg_join",
+    strategy: str = "auto",
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose ``order_col`` equals the group maximum; ties kept.
 
     ``null_safe_keys=True`` treats NULL keys as one group (window semantics);
     ``False`` drops rows with a NULL key (join-back semantics, as in an
     equality join against a grouped sub-query). Rows with a NULL ordering
-    value never qualify.
+    value never qualify. ``broadcast_bytes`` caps the broadcast of the
+    maxima under ``auto`` (default: the session's autoBroadcastJoinThreshold).
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
@@ -75,6 +88,8 @@ def latest_per_group(
     maxima = group_max(df, keys, order_col, "__lmax").select(
         *[F.col(k).alias(r) for k, r in zip(keys, right_keys)], "__lmax"
     )
+    if strategy == "auto":
+        maxima, _ = broadcast_if_small(materialize(maxima.where(F.col("__lmax").isNotNull()), "latest-maxima"), broadcast_bytes)
     cond = [_key_equal(k, r, null_safe_keys) for k, r in zip(keys, right_keys)]
     cond.append(F.col(order_col) == F.col("__lmax"))
     return df.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi")
@@ -86,13 +101,16 @@ def with_group_max(
     value: str,
     alias: str,
     *,
-    strategy: str = "agg_join",
+    strategy: str = "auto",
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Every row of ``df`` plus the maximum of ``value`` over its group.
 
     NULL keys form one group. ``agg_join`` pre-aggregates and joins back on
-    the keys (AQE splits a skewed key on the big side); ``window`` is the
-    literal ``MAX() OVER (PARTITION BY ...)``.
+    the keys (AQE splits a skewed key on the big side); ``auto`` does the
+    same but broadcasts the materialised maxima when they measure under the
+    cap, so the big side is not shuffled; ``window`` is the literal
+    ``MAX() OVER (PARTITION BY ...)``.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
@@ -102,6 +120,8 @@ def with_group_max(
     maxima = group_max(df, keys, value, alias).select(
         *[F.col(k).alias(r) for k, r in zip(keys, right_keys)], alias
     )
+    if strategy == "auto":
+        maxima, _ = broadcast_if_small(materialize(maxima, "group-maxima"), broadcast_bytes)
     cond = reduce(lambda a, b: a & b, [_key_equal(k, r, True) for k, r in zip(keys, right_keys)])
     return df.join(maxima, cond, "inner").drop(*right_keys)
 
@@ -111,7 +131,8 @@ def last_day_in_month(
     keys: list[str],
     ts_col: str,
     *,
-    strategy: str = "agg_join",
+    strategy: str = "auto",
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Rows dated (any time) on the last day, within their calendar month,
     on which the key has a row: ``MAX(DAY(ts))`` per (keys, year, month)
@@ -141,5 +162,7 @@ def last_day_in_month(
             "__d": F.dayofmonth(ts_col),
         }
     )
-    out = latest_per_group(parts, keys + ["__y", "__m"], "__d", null_safe_keys=False)
+    out = latest_per_group(
+        parts, keys + ["__y", "__m"], "__d", null_safe_keys=False, strategy=strategy, broadcast_bytes=broadcast_bytes
+    )
     return out.drop("__y", "__m", "__d")

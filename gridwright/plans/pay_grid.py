@@ -18,16 +18,29 @@ Plan shape (see README "Plans at scale"):
   joins. Those joins are on the filter's own group keys, so each group
   either survives whole or not at all and the maxima cannot change; the
   big table then meets the dimensions already reduced to its latest rows.
+* The latest-pay and last-document-day filters (``auto`` strategy) compute
+  the per-group maxima first, write them to the shared checkpoint folder, measure
+  them, and broadcast them only when they fit under the cap; the big input
+  is then filtered map-side without being shuffled. Beyond the cap they
+  use a shuffle semi-join keyed on the group *and* the ordering value, so
+  one hot group is still spread over many tasks.
 * The approval lines are reduced to distinct (firm, position, document
   time) triples right after the document join. Everything after that point
   only feeds a ``GROUP BY`` with no aggregate, so duplicates cannot change
-  the result; partial aggregation removes them on the map side.
+  the result; partial aggregation removes them on the map side. The
+  latest-per-(firm code, position) step then runs on one row per (firm
+  code, position, firm, firm city) holding that combination's latest date:
+  a combination has a row on the group's latest date exactly when its own
+  maximum equals the group's, so the window there only ever sees a handful
+  of rows per group.
 * The grade expansion is an ``explode`` of a literal array: no union of
   three copies, no extra scan.
-* No join carries an unconditional broadcast hint: the planner broadcasts a
-  side whose estimated size is under ``spark.sql.autoBroadcastJoinThreshold``
-  and AQE converts joins at runtime from measured sizes; anything bigger is
-  a sort-merge join, with AQE splitting skewed partitions.
+* No join carries an unconditional broadcast hint. The only explicit
+  broadcasts are of checkpointed maxima whose measured size is under the
+  cap; elsewhere the planner broadcasts a side whose estimated size is under
+  ``spark.sql.autoBroadcastJoinThreshold`` and AQE converts joins at
+  runtime from measured sizes; anything bigger is a sort-merge join, with
+  AQE splitting skewed partitions.
 """
 
 from __future__ import annotations
@@ -77,7 +90,7 @@ def allowed_positions(positions: DataFrame, cfg: JobConfig) -> DataFrame:
     return exclude_containing(p, "position", cfg.outsourced_marker, cfg.collation)
 
 
-def latest_pay(sources: dict[str, DataFrame], strategy: str = "agg_join") -> DataFrame:
+def latest_pay(sources: dict[str, DataFrame], strategy: str = "auto") -> DataFrame:
     """Register rows whose period is the latest of their (city, position,
     grade), ties kept (W1 + F4)."""
     register = sources["salary_register"].select("city_ref", "position_ref", "level", "salary", "period")
@@ -88,7 +101,7 @@ def salary_in_force(
     sources: dict[str, DataFrame],
     cfg: JobConfig,
     as_of: _dt.date | str | None = None,
-    strategy: str = "agg_join",
+    strategy: str = "auto",
 ) -> DataFrame:
     """G1: territory, city, city_code, position, level, salary, run_date,
     leader_level; one row per latest pay row and territory of its city."""
@@ -122,7 +135,7 @@ def headcount(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
     return counted.withColumn("pay_level", F.col("pay_level").cast(T.IntegerType()))
 
 
-def approved_rows(sources: dict[str, DataFrame], strategy: str = "agg_join") -> DataFrame:
+def approved_rows(sources: dict[str, DataFrame], strategy: str = "auto") -> DataFrame:
     """Distinct (firm_ref, position_ref, doc_ts) of lines in documents dated
     on the last document day of their firm-month (W3 + J8)."""
     approvals = sources["approvals"].select("doc_ref", "firm_ref", "doc_ts")
@@ -131,7 +144,7 @@ def approved_rows(sources: dict[str, DataFrame], strategy: str = "agg_join") ->
     return final_docs.join(lines, "doc_ref").select("firm_ref", "position_ref", "doc_ts").distinct()
 
 
-def approval_candidates(sources: dict[str, DataFrame], strategy: str = "agg_join") -> DataFrame:
+def approval_candidates(sources: dict[str, DataFrame], strategy: str = "auto") -> DataFrame:
     """Approved rows with firm, firm city and position names."""
     firms = sources["firms"].select("firm_ref", "firm_code", "firm", F.col("city_ref").alias("firm_city_ref"))
     positions = sources["positions"].select("position_ref", "position")
@@ -144,18 +157,25 @@ def approval_candidates(sources: dict[str, DataFrame], strategy: str = "agg_join
     )
 
 
-def position_base(sources: dict[str, DataFrame], cfg: JobConfig, strategy: str = "agg_join") -> DataFrame:
+def position_base(sources: dict[str, DataFrame], cfg: JobConfig, strategy: str = "auto") -> DataFrame:
     """Distinct (firm, firm_city, position) approved in the latest final
     document per (firm code, position name) (W2 + F4 + A3).
 
     A position approved in an earlier month's final document stays even if
-    the firm's latest document omits it: the maximum is per position."""
+    the firm's latest document omits it: the maximum is per position.
+    ``strategy`` applies to the last-document-day filter over the document
+    headers; the per-position step runs on pre-aggregated rows (see the
+    module notes) with a window, or ``agg_join`` when asked for."""
     candidates = approval_candidates(sources, strategy)
-    latest = latest_per_group(candidates, ["firm_code", "position"], "doc_ts", strategy=strategy)
+    per_combo = candidates.groupBy("firm_code", "position", "firm", "firm_city").agg(
+        F.max("doc_ts").alias("last_ts")
+    )
+    w2 = "agg_join" if strategy == "agg_join" else "window"
+    latest = latest_per_group(per_combo, ["firm_code", "position"], "last_ts", strategy=w2)
     return distinct_keys(latest, ["firm", "firm_city", "position"])
 
 
-def position_grid(sources: dict[str, DataFrame], cfg: JobConfig, strategy: str = "agg_join") -> DataFrame:
+def position_grid(sources: dict[str, DataFrame], cfg: JobConfig, strategy: str = "auto") -> DataFrame:
     """Firm, firm_city, position, level -- the base crossed with every
     configured grade (X1)."""
     return expand_levels(position_base(sources, cfg, strategy), cfg.levels, "level")
@@ -193,7 +213,7 @@ def build_pay_grid(
     sources: dict[str, DataFrame],
     cfg: JobConfig,
     as_of: _dt.date | str | None = None,
-    strategy: str = "agg_join",
+    strategy: str = "auto",
 ) -> DataFrame:
     """The whole mart, lazily: G1, G2, G3 then G4. One action (the publish
     write) runs it."""

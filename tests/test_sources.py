@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+
+from gridwright.sinks.jdbc import jdbc_write_options
+from gridwright.sources.readers import jdbc_options, nan_to_null, require_kind, sql_with_external_tables
+from gridwright.sources.standins import RELATIONS, standin_sources
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_jdbc_query_options():
+    o = jdbc_options("jdbc:sqlserver://h:1433;databaseName=d", query="select 1", kind="sqlserver", user="u")
+    assert o["query"] == "select 1" and o["queryTimeout"] == "1200" and o["user"] == "u"
+    assert "partitionColumn" not in o
+
+
+def test_jdbc_partitioned_options():
+    o = jdbc_options(
+        "jdbc:postgresql://h/db", dbtable="actual_staff", partition_column="id",
+        lower_bound=0, upper_bound=1000, num_partitions=8,
+    )
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("id", "0", "1000", "8")
+
+
+@pytest.mark.parametrize(
+    "kwargs",
+    [
+        {},
+        {"query": "q", "dbtable": "t"},
+        {"query": "q", "partition_column": "id", "lower_bound": 0, "upper_bound": 1, "num_partitions": 2},
+        {"dbtable": "t", "partition_column": "id"},
+    ],
+)
+def test_jdbc_option_errors(kwargs):
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:postgresql://h/db", **kwargs)
+
+
+def test_type_guard():
+    require_kind("jdbc:postgresql://h/db", "postgresql")
+    with pytest.raises(ValueError, match="not a sqlserver"):
+        require_kind("jdbc:postgresql://u:secret@h/db", "sqlserver")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:clickhouse://h/db", query="q", kind="postgresql")
+    with pytest.raises(ValueError):
+        require_kind("jdbc:x:", "oracle")
+
+
+def test_jdbc_write_options():
+    o = jdbc_write_options("jdbc:postgresql://h/db", "public.pay_grid", create_column_types={"level": "INTEGER"})
+    assert o["batchsize"] == "1024" and o["truncate"] == "true" and o["createTableColumnTypes"] == "level INTEGER"
+
+
+def test_nan_to_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (math.nan, 3.0)], "a double, b double")
+    out = nan_to_null(df, ["a"]).collect()
+    assert out[1].a is None and out[0].a == 1.0
+
+
+def test_external_table(spark):
+    ext = spark.createDataFrame([(0, "x"), (1, "y")], "k int, v string")
+    out = sql_with_external_tables(
+        spark, "SELECT count(*) AS n FROM ext_t e JOIN ext_u u ON e.k = u.id", {"ext_t": ext, "ext_u": spark.range(1)}
+    )
+    assert out.first().n == 1
+
+
+def test_standins_have_all_relations(spark):
+    src = standin_sources(spark, SF)
+    assert set(src) == set(RELATIONS)
+    assert src["cities"].where("city IS NULL").count() == 1
+    assert src["firms"].where("firm IS NULL").count() == 1
+    assert src["actual_staff"].where("pay_level = 2").count() == 0
