@@ -11,6 +11,7 @@ from gridwright.plans.pay_grid import (
     territory_map,
 )
 from gridwright.plans.quality_report import quality_report
+from gridwright.plans.refresh import refresh
 
 __all__ = [
     "assemble",
@@ -19,6 +20,7 @@ __all__ = [
     "position_base",
     "position_grid",
     "quality_report",
+    "refresh",
     "salary_in_force",
     "staffed_grid",
     "territory_map",

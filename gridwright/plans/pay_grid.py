@@ -215,8 +215,10 @@ def build_pay_grid(
     as_of: _dt.date | str | None = None,
     strategy: str = "auto",
 ) -> DataFrame:
-    """The whole mart, lazily: G1, G2, G3 then G4. One action (the publish
-    write) runs it."""
+    """The whole mart: G1, G2, G3 then G4. The result is lazy; one action
+    (the publish write) runs it. Under ``auto`` two small jobs run while the
+    plan is built: they write the per-group maxima of the pay register and
+    of the document headers to the shared folder and measure them."""
     salary = salary_in_force(sources, cfg, as_of, strategy)
     staff = headcount(sources, cfg)
     grid = position_grid(sources, cfg, strategy)

@@ -68,14 +68,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+    """A fresh, unique path under the shared checkpoint folder; remembered so
+    ``release_scratch`` can remove it once the run has published."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, keep: set[str] | frozenset = frozenset()) -> list[str]:
+    """Delete the scratch paths handed out so far (except ``keep``); call it
+    after the last action that reads them. Returns the removed paths."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = []
+    while _SCRATCH:
+        path = _SCRATCH.pop()
+        if path in keep:
+            continue
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            removed.append(path)
+    return removed
 
 
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["JOB_CONF", "build_session", "ensure_checkpoint_dir", "scratch_path", "is_local"]
+__all__ = ["JOB_CONF", "build_session", "ensure_checkpoint_dir", "is_local", "release_scratch", "scratch_path"]
