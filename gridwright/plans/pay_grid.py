@@ -118,7 +118,7 @@ def salary_in_force(
         "city",
         "city_code",
         "position",
-        F.col("level").cast(T.IntegerType()).alias("level"),
+        "level",
         "salary",
         run_date(as_of).alias("run_date"),
         "leader_level",
@@ -131,8 +131,9 @@ def headcount(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
     The display order of the source query is dropped: the merge that uses
     this relation does not keep it (see ``ordered_nulls_last``)."""
     staff = exclude_containing(sources["actual_staff"], "position", cfg.outsourced_marker, cfg.collation)
-    counted = count_by(staff, STAFF_KEYS[:3], STAFF_KEYS[3:], name="headcount", output=STAFF_COLUMNS)
-    return counted.withColumn("pay_level", F.col("pay_level").cast(T.IntegerType()))
+    # Grades keep their source type: a text grade must reach the merge and
+    # be refused there, not be converted silently.
+    return count_by(staff, STAFF_KEYS[:3], STAFF_KEYS[3:], name="headcount", output=STAFF_COLUMNS)
 
 
 def approved_rows(sources: dict[str, DataFrame], strategy: str = "auto") -> DataFrame:

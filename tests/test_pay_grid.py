@@ -154,3 +154,15 @@ def test_empty_input_keeps_schema(spark, name):
 def test_current_date_when_no_as_of(src):
     out = pg.salary_in_force(src, CFG).select("run_date").distinct().collect()
     assert len(out) == 1 and isinstance(out[0][0], dt.date)
+
+
+def test_text_grade_in_staff_is_refused(spark):
+    from world import DATA, SCHEMAS
+
+    src = sources(spark)
+    src["actual_staff"] = spark.createDataFrame(
+        [tuple(str(v) if i == 1 and v is not None else v for i, v in enumerate(r)) for r in DATA["actual_staff"]],
+        SCHEMAS["actual_staff"].replace("pay_level int", "pay_level string"),
+    )
+    with pytest.raises(TypeError):
+        pg.build_pay_grid(src, CFG, as_of=AS_OF)
