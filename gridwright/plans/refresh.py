@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridwright.config import PRODUCTION, STANDIN, JobConfig
 from gridwright.plans.pay_grid import build_pay_grid
-from gridwright.session import build_session, release_scratch
+from gridwright.session import build_session, scratch_scope
 from gridwright.sinks.publish import PAY_GRID_LAYOUT, Layout, publish
 
 
@@ -34,12 +34,12 @@ def refresh(
     as_of: _dt.date | str | None = None,
     strategy: str = "auto",
 ) -> str:
-    """Rebuild and publish the mart; returns the location now served."""
-    try:
+    """Rebuild and publish the mart; returns the location now served. The
+    scratch data the plan materialised is removed once the publish write,
+    its last reader, has finished."""
+    with scratch_scope(spark):
         grid = build_pay_grid(sources, cfg, as_of=as_of, strategy=strategy)
         return publish(grid, name, root, mode=mode, layout=layout)
-    finally:
-        release_scratch(spark)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -68,28 +69,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
-_SCRATCH: list[str] = []
+_SCOPES: list[list[str]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder; remembered so
-    ``release_scratch`` can remove it once the run has published."""
+    """A fresh, unique path under the shared checkpoint folder. Inside a
+    ``scratch_scope`` the path is removed when the scope ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    _SCRATCH.append(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return path
 
 
-def release_scratch(spark: SparkSession, keep: set[str] | frozenset = frozenset()) -> list[str]:
-    """Delete the scratch paths handed out so far (except ``keep``); call it
-    after the last action that reads them. Returns the removed paths."""
+def _delete(spark: SparkSession, paths: list[str]) -> list[str]:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = []
-    while _SCRATCH:
-        path = _SCRATCH.pop()
-        if path in keep:
-            continue
+    for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(conf)
         if fs.exists(p):
@@ -98,8 +95,22 @@ def release_scratch(spark: SparkSession, keep: set[str] | frozenset = frozenset(
     return removed
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Collect the scratch paths handed out inside the block and delete them
+    on exit -- after the block's last action has read them. Paths from
+    outside the block (other DataFrames still in use) are left alone."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+        _delete(spark, paths)
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["JOB_CONF", "build_session", "ensure_checkpoint_dir", "is_local", "release_scratch", "scratch_path"]
+__all__ = ["JOB_CONF", "build_session", "ensure_checkpoint_dir", "is_local", "scratch_path", "scratch_scope"]

@@ -59,16 +59,23 @@ def _quote(col: str) -> str:
     return "`" + col.replace("`", "``") + "`"
 
 
-def _writer(df: DataFrame, layout: Layout | None):
+def _arrange(df: DataFrame, layout: Layout | None) -> DataFrame:
+    """Rows clustered and sorted for the layout (no-op without one)."""
     if layout is None:
-        return df.write
+        return df
     missing = [c for c in (*layout.partition_by, *layout.cluster_by, *layout.sort_by) if c not in df.columns]
     if missing:
         raise KeyError(f"layout columns not in the frame: {missing}")
     clustered = df.hint("rebalance", *layout.cluster_by) if layout.cluster_by else df
     if layout.sort_by:
         clustered = clustered.sortWithinPartitions(*layout.sort_by)
-    w = clustered.write
+    return clustered
+
+
+def _writer(df: DataFrame, layout: Layout | None):
+    if layout is None:
+        return df.write
+    w = _arrange(df, layout).write
     if layout.partition_by:
         w = w.partitionBy(*layout.partition_by)
     if layout.max_records_per_file:
@@ -152,12 +159,14 @@ def publish(
         path = f"{base}/table"
         _writer(df, layout).mode("errorifexists").option("path", path).saveAsTable(name)
         return path
-    staging_path = f"{base}/staging-{uuid.uuid4().hex[:12]}"
-    _writer(df, None).mode("errorifexists").parquet(staging_path)
     target_cols = spark.table(name).columns
     if sorted(target_cols) != sorted(df.columns):
         raise ValueError(f"columns differ from {name}: {sorted(df.columns)} vs {sorted(target_cols)}")
-    staged = spark.read.parquet(staging_path).select(*target_cols)
+    staging_path = f"{base}/staging-{uuid.uuid4().hex[:12]}"
+    _writer(df, None).mode("errorifexists").parquet(staging_path)
+    # insertInto matches columns by position: follow the table's order
+    # (partition columns last).
+    staged = _arrange(spark.read.schema(df.schema).parquet(staging_path), layout).select(*target_cols)
     staged.write.insertInto(name, overwrite=True)
     fs, p = _fs(spark, staging_path)
     fs.delete(p, True)

@@ -96,3 +96,11 @@ def test_bad_arguments(spark):
         publish(grid(spark), "ok_name", "/tmp/none", mode="upsert")
     with pytest.raises(KeyError):
         publish(grid(spark), "ok_name", scratch_path(spark, "pub"), layout=Layout(partition_by=("nope",)))
+
+
+def test_truncate_insert_partitioned_layout(spark):
+    root, n = scratch_path(spark, "pub"), name()
+    publish(grid(spark, 1), n, root, mode="truncate_insert", layout=Layout())
+    publish(grid(spark, 5), n, root, mode="truncate_insert", layout=Layout())
+    served = read_published(spark, n).select(*grid(spark).columns)
+    assert bag(served) == bag(grid(spark, 5))
