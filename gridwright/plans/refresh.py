@@ -33,12 +33,19 @@ def refresh(
     layout: Layout | None = PAY_GRID_LAYOUT,
     as_of: _dt.date | str | None = None,
     strategy: str = "auto",
+    served: bool = False,
 ) -> str:
     """Rebuild and publish the mart; returns the location now served. The
     scratch data the plan materialised is removed once the publish write,
-    its last reader, has finished."""
+    its last reader, has finished. ``served=True`` publishes under the served
+    table's own column names (with the layout renamed to match)."""
     with scratch_scope(spark):
         grid = build_pay_grid(sources, cfg, as_of=as_of, strategy=strategy)
+        if served:
+            from gridwright.sources.erp import served_layout, served_names
+
+            grid = served_names(grid)
+            layout = served_layout() if layout is not None else None
         return publish(grid, name, root, mode=mode, layout=layout)
 
 
@@ -47,6 +54,9 @@ def main(argv: list[str] | None = None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--standin", help="test-table folder: derive the nine relations from it")
     src.add_argument("--parquet", help="folder holding one <relation>.parquet per relation")
+    src.add_argument("--erp-url", help="JDBC URL of the ERP database (the HR one via --hr-url)")
+    ap.add_argument("--hr-url", help="JDBC URL of the HR database holding the staff list")
+    ap.add_argument("--served-names", action="store_true", help="publish with the served column names")
     ap.add_argument("--root", required=True, help="shared folder for published versions")
     ap.add_argument("--name", default="pay_grid")
     ap.add_argument("--mode", default="swap", choices=["swap", "truncate_insert", "replace"])
@@ -59,6 +69,12 @@ def main(argv: list[str] | None = None) -> None:
         from gridwright.sources.standins import standin_sources
 
         sources, cfg = standin_sources(spark, args.standin), STANDIN
+    elif args.erp_url:
+        from gridwright.sources.erp import erp_sources
+
+        if not args.hr_url:
+            ap.error("--erp-url needs --hr-url")
+        sources, cfg = erp_sources(spark, args.erp_url, args.hr_url), PRODUCTION
     else:
         from gridwright.sources.readers import load_parquet_sources
         from gridwright.sources.standins import RELATIONS
@@ -67,7 +83,9 @@ def main(argv: list[str] | None = None) -> None:
         sources = load_parquet_sources(spark, {r: f"{base}/{r}.parquet" for r in RELATIONS})
         cfg = PRODUCTION
     t0 = time.perf_counter()
-    path = refresh(spark, sources, cfg, args.root, args.name, args.mode, as_of=args.as_of)
+    path = refresh(
+        spark, sources, cfg, args.root, args.name, args.mode, as_of=args.as_of, served=args.served_names
+    )
     print(json.dumps({"published": path, "name": args.name, "sec": round(time.perf_counter() - t0, 3)}))
 
 

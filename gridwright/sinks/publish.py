@@ -32,6 +32,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MODES = ("swap", "truncate_insert", "replace")
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
@@ -66,7 +67,8 @@ def _arrange(df: DataFrame, layout: Layout | None) -> DataFrame:
     missing = [c for c in (*layout.partition_by, *layout.cluster_by, *layout.sort_by) if c not in df.columns]
     if missing:
         raise KeyError(f"layout columns not in the frame: {missing}")
-    clustered = df.hint("rebalance", *layout.cluster_by) if layout.cluster_by else df
+    cols = [F.col(_quote(c)) for c in layout.cluster_by]
+    clustered = df.hint("rebalance", *cols) if cols else df
     if layout.sort_by:
         clustered = clustered.sortWithinPartitions(*layout.sort_by)
     return clustered

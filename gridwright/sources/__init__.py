@@ -1,5 +1,6 @@
 """Sources: parquet / catalog / JDBC readers and the test-data stand-ins."""
 
+from gridwright.sources.erp import erp_sources, rename_source, served_names
 from gridwright.sources.readers import (
     jdbc_options,
     load_parquet_sources,
@@ -13,6 +14,9 @@ from gridwright.sources.standins import STANDIN_SQL, standin_ctes, standin_sourc
 
 __all__ = [
     "STANDIN_SQL",
+    "erp_sources",
+    "rename_source",
+    "served_names",
     "jdbc_options",
     "load_parquet_sources",
     "load_tables",

@@ -33,3 +33,13 @@ def test_scratch_scope_removes_only_its_own_paths(spark):
         spark.range(3).write.parquet(inside)
     assert paths == [inside]
     assert not _exists(spark, inside) and _exists(spark, outside)
+
+
+def test_refresh_with_served_names(spark):
+    from gridwright.sources.erp import SERVED_COLUMNS
+
+    root = scratch_path(spark, "refresh-root")
+    refresh(spark, standin_sources(spark, SF), STANDIN, root, name="pay_grid_served", as_of="2024-01-01", served=True)
+    served = read_published(spark, "pay_grid_served")
+    assert served.columns == list(SERVED_COLUMNS.values())
+    assert served.count() == 1358

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import math
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from gridwright.sinks.jdbc import jdbc_write_options
@@ -74,3 +76,54 @@ def test_standins_have_all_relations(spark):
     assert src["cities"].where("city IS NULL").count() == 1
     assert src["firms"].where("firm IS NULL").count() == 1
     assert src["actual_staff"].where("pay_level = 2").count() == 0
+
+
+def test_erp_rename_runs_the_job_on_source_names(spark):
+    from collections import Counter
+
+    from world import DATA, SCHEMAS
+
+    from conftest import bag
+    from gridwright.config import PRODUCTION
+    from gridwright.plans.pay_grid import build_pay_grid
+    from gridwright.sources.erp import ERP_TABLES, HR_TABLES, rename_source, served_names
+
+    tables = {**ERP_TABLES, **HR_TABLES}
+    english = {n: spark.createDataFrame(DATA[n], SCHEMAS[n]) for n in SCHEMAS}
+    source_named = {}
+    for n, df in english.items():
+        back = {ours: src for src, ours in tables[n][1].items()}
+        source_named[n] = df.select(*[df[c].alias(back[c]) for c in df.columns]).withColumn("extra", F.lit(1))
+    renamed = {n: rename_source(n, df) for n, df in source_named.items()}
+    for n in SCHEMAS:
+        assert renamed[n].columns == english[n].columns
+    a = build_pay_grid(renamed, PRODUCTION, as_of="2024-06-30")
+    b = build_pay_grid(english, PRODUCTION, as_of="2024-06-30")
+    assert bag(a) == bag(b) and sum(Counter(bag(a)).values()) > 0
+    served = served_names(a)
+    assert served.columns[0] == "Территория" and served.columns[-1] == "КоличествоСотрудников"
+
+
+def test_erp_sources_builds_jdbc_reads_lazily(spark, monkeypatch):
+    import gridwright.sources.erp as erp
+
+    seen = []
+
+    def fake_read(_spark, opts):
+        seen.append(opts)
+        name = next(n for n, (t, _) in {**erp.ERP_TABLES, **erp.HR_TABLES}.items() if t == opts["dbtable"])
+        cols = list({**erp.ERP_TABLES, **erp.HR_TABLES}[name][1])
+        return _spark.createDataFrame([], ", ".join(f"`{c}` string" for c in cols))
+
+    monkeypatch.setattr(erp, "read_jdbc", fake_read)
+    src = erp.erp_sources(
+        spark, "jdbc:sqlserver://erp:1433", "jdbc:postgresql://hr/db",
+        partitioning={"approval_lines": {"partition_column": "n", "lower_bound": 0, "upper_bound": 9,
+                                         "num_partitions": 4}},
+    )
+    assert set(src) == set(erp.ERP_TABLES) | set(erp.HR_TABLES)
+    assert all(o["queryTimeout"] == "1200" for o in seen)
+    assert sum(1 for o in seen if o["url"].startswith("jdbc:postgresql")) == 1
+    assert [o for o in seen if "partitionColumn" in o][0]["numPartitions"] == "4"
+    with pytest.raises(ValueError):
+        erp.erp_sources(spark, "jdbc:postgresql://wrong", "jdbc:postgresql://hr/db")
