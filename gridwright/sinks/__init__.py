@@ -8,6 +8,7 @@ from gridwright.sinks.publish import (
     list_versions,
     prune_versions,
     publish,
+    read_latest,
     read_published,
 )
 
@@ -19,6 +20,7 @@ __all__ = [
     "list_versions",
     "prune_versions",
     "publish",
+    "read_latest",
     "read_published",
     "write_jdbc",
 ]

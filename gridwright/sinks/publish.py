@@ -178,6 +178,20 @@ def publish(
 
 
 def read_published(spark: SparkSession, name: str) -> DataFrame:
-    """The served relation."""
+    """The served relation (the catalog view or table of this session's
+    metastore)."""
     _check_name(name)
     return spark.table(name)
+
+
+def read_latest(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
+    """The newest committed ``swap`` version of ``name`` under ``root``, for
+    readers in any session: a version counts only once its ``_SUCCESS``
+    marker exists, which the commit writes last. Pass the frame's
+    ``schema`` to keep partition-column types exactly."""
+    versions = list_versions(spark, root, name)
+    if not versions:
+        raise FileNotFoundError(f"no committed version of {name!r} under {root!r}")
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(versions[-1])
+    return df.select(*schema.fieldNames()) if schema is not None else df

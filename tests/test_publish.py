@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import bag
 from gridwright.session import scratch_path
-from gridwright.sinks.publish import Layout, list_versions, publish, read_published
+from gridwright.sinks.publish import Layout, list_versions, publish, read_latest, read_published
 
 SCHEMA = (
     "territory string, city string, branch string, position string, level int, salary decimal(15,2), "
@@ -104,3 +104,14 @@ def test_truncate_insert_partitioned_layout(spark):
     publish(grid(spark, 5), n, root, mode="truncate_insert", layout=Layout())
     served = read_published(spark, n).select(*grid(spark).columns)
     assert bag(served) == bag(grid(spark, 5))
+
+
+def test_read_latest_from_any_session(spark):
+    root, n = scratch_path(spark, "pub"), name()
+    with pytest.raises(FileNotFoundError):
+        read_latest(spark, root, n)
+    publish(grid(spark, 1), n, root)
+    publish(grid(spark, 2), n, root)
+    latest = read_latest(spark, root, n, schema=grid(spark).schema)
+    assert latest.schema == grid(spark).schema
+    assert bag(latest) == bag(grid(spark, 2))
