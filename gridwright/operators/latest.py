@@ -39,7 +39,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridwright.operators.sizing import broadcast_if_small, materialize
+from gridwright.operators.sizing import small_side
 
 STRATEGIES = ("auto", "agg_join", "window")
 
@@ -89,7 +89,7 @@ def latest_per_group(
         *[F.col(k).alias(r) for k, r in zip(keys, right_keys)], "__lmax"
     )
     if strategy == "auto":
-        maxima, _ = broadcast_if_small(materialize(maxima.where(F.col("__lmax").isNotNull()), "latest-maxima"), broadcast_bytes)
+        maxima = small_side(maxima.where(F.col("__lmax").isNotNull()), "latest-maxima", broadcast_bytes)
     cond = [_key_equal(k, r, null_safe_keys) for k, r in zip(keys, right_keys)]
     cond.append(F.col(order_col) == F.col("__lmax"))
     return df.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi")
@@ -121,7 +121,7 @@ def with_group_max(
         *[F.col(k).alias(r) for k, r in zip(keys, right_keys)], alias
     )
     if strategy == "auto":
-        maxima, _ = broadcast_if_small(materialize(maxima, "group-maxima"), broadcast_bytes)
+        maxima = small_side(maxima, "group-maxima", broadcast_bytes)
     cond = reduce(lambda a, b: a & b, [_key_equal(k, r, True) for k, r in zip(keys, right_keys)])
     return df.join(maxima, cond, "inner").drop(*right_keys)
 

@@ -8,8 +8,9 @@ row width, is under a cap. Anything larger takes the shuffle join.
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,32 +58,56 @@ def row_width(df: DataFrame) -> int:
     return sum(_width(f.dataType) for f in df.schema.fields) + 8
 
 
-def estimated_bytes(df: DataFrame) -> tuple[int, int]:
-    """(rows, estimated in-memory bytes); runs one count job, so call it on
-    a materialised (checkpointed or written) relation."""
-    rows = df.count()
+def estimated_bytes(df: DataFrame, rows: int | None = None) -> tuple[int, int]:
+    """(rows, estimated in-memory bytes). Without a known row count this
+    runs one count job, so call it on a materialised relation."""
+    if rows is None:
+        rows = df.count()
     return rows, int(rows * row_width(df) * HASH_OVERHEAD)
 
 
-def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+def materialize_counted(df: DataFrame, name: str = "materialized") -> tuple[DataFrame, int]:
     """Compute ``df`` once and cut its lineage: written as parquet under the
-    shared folder named by ``spark.checkpoint.dir`` and read back (one job;
-    survives executor loss; never a machine-local copy). An RDD checkpoint
-    would compute an unpersisted input twice."""
+    shared folder named by ``spark.checkpoint.dir`` and read back (survives
+    executor loss; never a machine-local copy). The row count is observed
+    during the same write job, so measuring costs no extra job. (An RDD
+    checkpoint would compute an unpersisted input twice.)"""
     from gridwright.session import scratch_path
 
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    obs = Observation(f"{name}-rows-{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+
+
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """``materialize_counted`` without the count."""
+    return materialize_counted(df, name)[0]
 
 
-def broadcast_if_small(df: DataFrame, cap_bytes: int | None = None) -> tuple[DataFrame, bool]:
+def broadcast_if_small(
+    df: DataFrame, cap_bytes: int | None = None, rows: int | None = None
+) -> tuple[DataFrame, bool]:
     """``(F.broadcast(df), True)`` when ``df``'s measured size is under the
-    cap, else ``(df, False)``. ``df`` should already be materialised."""
+    cap, else ``(df, False)``. ``df`` should already be materialised; pass
+    its ``rows`` when known."""
     cap = broadcast_cap(df, cap_bytes)
     if cap <= 0:
         return df, False
-    _, size = estimated_bytes(df)
+    _, size = estimated_bytes(df, rows)
     if size <= cap:
         return F.broadcast(df), True
     return df, False
+
+
+def small_side(df: DataFrame, name: str, cap_bytes: int | None = None) -> DataFrame:
+    """Materialise a relation expected to be small (a dimension-derived map,
+    an aggregate) and broadcast it when its measured size is under the cap.
+
+    The planner cannot know such a relation is small -- its static estimate
+    for a join or aggregate is bounded by its inputs -- so without this the
+    big side of the join would be shuffled before AQE sees the real size.
+    """
+    stored, rows = materialize_counted(df, name)
+    out, _ = broadcast_if_small(stored, cap_bytes, rows)
+    return out

@@ -36,8 +36,8 @@ Plan shape (see README "Plans at scale"):
 * The grade expansion is an ``explode`` of a literal array: no union of
   three copies, no extra scan.
 * No join carries an unconditional broadcast hint. The only explicit
-  broadcasts are of checkpointed maxima whose measured size is under the
-  cap; elsewhere the planner broadcasts a side whose estimated size is under
+  broadcasts are of materialised relations (maxima, the territory map, the
+  staffed grid) whose measured size is under the cap; elsewhere the planner broadcasts a side whose estimated size is under
   ``spark.sql.autoBroadcastJoinThreshold`` and AQE converts joins at
   runtime from measured sizes; anything bigger is a sort-merge join, with
   AQE splitting skewed partitions.
@@ -46,6 +46,7 @@ Plan shape (see README "Plans at scale"):
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +58,7 @@ from gridwright.operators.filters import exclude_containing, exclude_equal, excl
 from gridwright.operators.latest import last_day_in_month, latest_per_group
 from gridwright.operators.merge import fill_from, left_merge
 from gridwright.operators.reduce import count_by, distinct_keys, expand_levels
+from gridwright.operators.sizing import small_side
 
 SALARY_COLUMNS = ["territory", "city", "city_code", "position", "level", "salary", "run_date", "leader_level"]
 STAFF_COLUMNS = ["position", "pay_level", "current_branch", "headcount", "city", "branch"]
@@ -66,6 +68,18 @@ GRID_COLUMNS = ["firm", "firm_city", "position", "level"]
 PAY_GRID_COLUMNS = ["territory", "city", "branch", "position", "level", "salary", "leader_level", "headcount"]
 
 
+def concurrently(*builders):
+    """Run plan builders that each trigger Spark jobs (materialisations) in
+    parallel threads, so independent jobs share the cluster instead of
+    queueing (Spark schedules jobs from several threads concurrently).
+    Returns their results in order."""
+    if len(builders) == 1:
+        return [builders[0]()]
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = [pool.submit(b) for b in builders]
+        return [f.result() for f in futures]
+
+
 def territory_map(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
     """Distinct (territory, city_ref): cities -> firms -> hierarchy rows at
     the configured depth -> territory names (J3-J5, F5, A1)."""
@@ -105,14 +119,16 @@ def salary_in_force(
 ) -> DataFrame:
     """G1: territory, city, city_code, position, level, salary, run_date,
     leader_level; one row per latest pay row and territory of its city."""
-    latest = latest_pay(sources, strategy)
     cities = sources["cities"].select("city_ref", "city", "city_code")
     positions = allowed_positions(sources["positions"], cfg).select("position_ref", "position", "leader_level")
-    out = (
-        latest.join(cities, "city_ref")
-        .join(positions, "position_ref")
-        .join(territory_map(sources, cfg), "city_ref")
-    )
+    if strategy == "auto":
+        latest, territories = concurrently(
+            lambda: latest_pay(sources, strategy),
+            lambda: small_side(territory_map(sources, cfg), "territory-map"),
+        )
+    else:
+        latest, territories = latest_pay(sources, strategy), territory_map(sources, cfg)
+    out = latest.join(cities, "city_ref").join(positions, "position_ref").join(territories, "city_ref")
     return out.select(
         "territory",
         "city",
@@ -191,12 +207,19 @@ def staffed_grid(grid: DataFrame, staff: DataFrame) -> DataFrame:
     return fill_from(main, "branch", "firm")
 
 
-def assemble(salary: DataFrame, staff: DataFrame, grid: DataFrame) -> DataFrame:
-    """Pay rows left-merged with the staffed grid on (city, position,
-    level), NULL matching NULL (J13); the eight published columns (P4), a
-    missing head-count as 0 (E5). A pay row without any grid row keeps a
-    NULL branch."""
+def staffed_side(grid: DataFrame, staff: DataFrame, strategy: str = "auto") -> DataFrame:
+    """The staffed grid as the right side of the final merge: under ``auto``
+    materialised and, if it measures under the cap, broadcast, so the pay
+    rows are not shuffled for the merge."""
     main = staffed_grid(grid, staff)
+    return small_side(main, "staffed-grid") if strategy == "auto" else main
+
+
+def merge_pay(salary: DataFrame, main: DataFrame) -> DataFrame:
+    """Pay rows left-merged with the staffed grid on (city, position, level),
+    NULL matching NULL (J13); the eight published columns (P4), a missing
+    head-count as 0 (E5). A pay row without any grid row keeps a NULL
+    branch."""
     out = left_merge(salary, main, on=["city", "position", "level"])
     return out.select(
         "territory",
@@ -210,6 +233,11 @@ def assemble(salary: DataFrame, staff: DataFrame, grid: DataFrame) -> DataFrame:
     )
 
 
+def assemble(salary: DataFrame, staff: DataFrame, grid: DataFrame, strategy: str = "auto") -> DataFrame:
+    """The staffed grid (J12, E4) merged into the pay rows."""
+    return merge_pay(salary, staffed_side(grid, staff, strategy))
+
+
 def build_pay_grid(
     sources: dict[str, DataFrame],
     cfg: JobConfig,
@@ -217,10 +245,13 @@ def build_pay_grid(
     strategy: str = "auto",
 ) -> DataFrame:
     """The whole mart: G1, G2, G3 then G4. The result is lazy; one action
-    (the publish write) runs it. Under ``auto`` two small jobs run while the
-    plan is built: they write the per-group maxima of the pay register and
-    of the document headers to the shared folder and measure them."""
-    salary = salary_in_force(sources, cfg, as_of, strategy)
-    staff = headcount(sources, cfg)
-    grid = position_grid(sources, cfg, strategy)
-    return assemble(salary, staff, grid)
+    (the publish write) runs it. Under ``auto`` small jobs run while the
+    plan is built: they write to the shared folder, and measure, the
+    per-group maxima of the pay register and of the document headers, the
+    territory map and the staffed grid -- the relations that are broadcast
+    when they fit under the cap."""
+    salary, main = concurrently(
+        lambda: salary_in_force(sources, cfg, as_of, strategy),
+        lambda: staffed_side(position_grid(sources, cfg, strategy), headcount(sources, cfg), strategy),
+    )
+    return merge_pay(salary, main)

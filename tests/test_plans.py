@@ -69,3 +69,20 @@ def test_filters_reach_the_scan_and_columns_are_pruned(src):
 def test_headcount_is_partial_then_final_aggregate(src):
     p = plan(pg.headcount(src, STANDIN))
     assert p.count("HashAggregate") >= 2  # map-side combine before the shuffle
+
+
+def test_pay_grid_auto_main_query_has_no_shuffle(src):
+    # Every relation joined into the pay rows is materialised, measured and,
+    # being under the cap here, broadcast: the main query is one stage.
+    p = plan(pg.build_pay_grid(src, STANDIN, as_of="2024-01-01", strategy="auto"))
+    assert "hashpartitioning" not in p
+    assert re.search(r"BroadcastHashJoin .*LeftOuter", p)
+
+
+def test_pay_grid_over_the_cap_falls_back_to_shuffle_joins(spark, src):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(pg.build_pay_grid(src, STANDIN, as_of="2024-01-01", strategy="auto"))
+        assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
