@@ -70,6 +70,7 @@ def jdbc_options(
     lower_bound=None,
     upper_bound=None,
     num_partitions: int | None = None,
+    prefer_timestamp_ntz: bool = True,
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Options for ``spark.read.format("jdbc")``.
@@ -78,12 +79,21 @@ def jdbc_options(
     parenthesised sub-query) together with ``partition_column``, bounds and
     ``num_partitions`` splits the scan into parallel range reads, and lets
     Catalyst push filters and column lists to the database.
+
+    ``prefer_timestamp_ntz`` reads zone-less database timestamps as
+    ``TIMESTAMP_NTZ``: their wall-clock value is kept, so year, month and day
+    are those the source system sees, whatever the JVM or session zone.
     """
     if (query is None) == (dbtable is None):
         raise ValueError("give exactly one of query= or dbtable=")
     if kind is not None:
         require_kind(url, kind)
-    opts: dict[str, str] = {"url": url, "queryTimeout": str(int(query_timeout)), "fetchsize": str(int(fetchsize))}
+    opts: dict[str, str] = {
+        "url": url,
+        "queryTimeout": str(int(query_timeout)),
+        "fetchsize": str(int(fetchsize)),
+        "preferTimestampNTZ": str(bool(prefer_timestamp_ntz)).lower(),
+    }
     if query is not None:
         if partition_column is not None:
             raise ValueError("a partitioned read needs dbtable=, not query=")

@@ -16,6 +16,7 @@ SF = "/root/testdata/sf0.001"
 def test_jdbc_query_options():
     o = jdbc_options("jdbc:sqlserver://h:1433;databaseName=d", query="select 1", kind="sqlserver", user="u")
     assert o["query"] == "select 1" and o["queryTimeout"] == "1200" and o["user"] == "u"
+    assert o["preferTimestampNTZ"] == "true"
     assert "partitionColumn" not in o
 
 
