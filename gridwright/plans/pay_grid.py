@@ -46,7 +46,6 @@ Plan shape (see README "Plans at scale"):
 from __future__ import annotations
 
 import datetime as _dt
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +58,7 @@ from gridwright.operators.latest import last_day_in_month, latest_per_group
 from gridwright.operators.merge import fill_from, left_merge
 from gridwright.operators.reduce import count_by, distinct_keys, expand_levels
 from gridwright.operators.sizing import small_side
+from gridwright.session import run_concurrently
 
 SALARY_COLUMNS = ["territory", "city", "city_code", "position", "level", "salary", "run_date", "leader_level"]
 STAFF_COLUMNS = ["position", "pay_level", "current_branch", "headcount", "city", "branch"]
@@ -68,18 +68,6 @@ GRID_COLUMNS = ["firm", "firm_city", "position", "level"]
 PAY_GRID_COLUMNS = ["territory", "city", "branch", "position", "level", "salary", "leader_level", "headcount"]
 
 
-def concurrently(*builders):
-    """Run plan builders that each trigger Spark jobs (materialisations) in
-    parallel threads, so independent jobs share the cluster instead of
-    queueing (Spark schedules jobs from several threads concurrently).
-    Returns their results in order."""
-    if len(builders) == 1:
-        return [builders[0]()]
-    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-        futures = [pool.submit(b) for b in builders]
-        return [f.result() for f in futures]
-
-
 def territory_map(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
     """Distinct (territory, city_ref): cities -> firms -> hierarchy rows at
     the configured depth -> territory names (J3-J5, F5, A1)."""
@@ -122,7 +110,7 @@ def salary_in_force(
     cities = sources["cities"].select("city_ref", "city", "city_code")
     positions = allowed_positions(sources["positions"], cfg).select("position_ref", "position", "leader_level")
     if strategy == "auto":
-        latest, territories = concurrently(
+        latest, territories = run_concurrently(
             lambda: latest_pay(sources, strategy),
             lambda: small_side(territory_map(sources, cfg), "territory-map"),
         )
@@ -250,7 +238,7 @@ def build_pay_grid(
     per-group maxima of the pay register and of the document headers, the
     territory map and the staffed grid -- the relations that are broadcast
     when they fit under the cap."""
-    salary, main = concurrently(
+    salary, main = run_concurrently(
         lambda: salary_in_force(sources, cfg, as_of, strategy),
         lambda: staffed_side(position_grid(sources, cfg, strategy), headcount(sources, cfg), strategy),
     )

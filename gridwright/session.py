@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import SparkSession
 
@@ -69,7 +71,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
-_SCOPES: list[list[str]] = []
+# Open scratch scopes of the current context (innermost last). A context
+# variable keeps refreshes in different threads apart; threads started by
+# ``run_concurrently`` inherit their caller's scopes.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("gridwright_scratch_scopes", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -77,11 +82,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     ``scratch_scope`` the path is removed when the scope ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scopes = _SCOPES.get()
+    if scopes:
+        scopes[-1].append(path)
     return path
 
 
+def open_scopes() -> tuple[list[str], ...]:
+    return _SCOPES.get()
+
+
+def run_concurrently(*builders):
+    """Run callables that each trigger Spark jobs in parallel threads, so
+    independent jobs share the cluster instead of queueing (Spark schedules
+    jobs from several threads concurrently). Each thread runs in a copy of
+    the caller's context. Returns the results in order."""
+    if len(builders) == 1:
+        return [builders[0]()]
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        futures = [pool.submit(copy_context().run, b) for b in builders]
+        return [f.result() for f in futures]
+
+
 def _delete(spark: SparkSession, paths: list[str]) -> list[str]:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -101,11 +123,11 @@ def scratch_scope(spark: SparkSession):
     on exit -- after the block's last action has read them. Paths from
     outside the block (other DataFrames still in use) are left alone."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    token = _SCOPES.set(_SCOPES.get() + (paths,))
     try:
         yield paths
     finally:
-        _SCOPES.remove(paths)
+        _SCOPES.reset(token)
         _delete(spark, paths)
 
 
@@ -113,4 +135,13 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["JOB_CONF", "build_session", "ensure_checkpoint_dir", "is_local", "scratch_path", "scratch_scope"]
+__all__ = [
+    "JOB_CONF",
+    "build_session",
+    "ensure_checkpoint_dir",
+    "is_local",
+    "open_scopes",
+    "run_concurrently",
+    "scratch_path",
+    "scratch_scope",
+]

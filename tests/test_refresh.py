@@ -5,7 +5,7 @@ from oracle import compare, duck
 import __spark_entry__ as se
 from gridwright.config import STANDIN
 from gridwright.plans.refresh import refresh
-from gridwright.session import _SCOPES, scratch_path, scratch_scope
+from gridwright.session import open_scopes, run_concurrently, scratch_path, scratch_scope
 from gridwright.sinks.publish import read_published
 from gridwright.sources.standins import standin_sources
 
@@ -20,7 +20,7 @@ def _exists(spark, path):
 def test_refresh_publishes_the_pay_grid(spark):
     root = scratch_path(spark, "refresh-root")
     path = refresh(spark, standin_sources(spark, SF), STANDIN, root, name="pay_grid_refresh", as_of="2024-01-01")
-    assert path.startswith(root) and _SCOPES == []
+    assert path.startswith(root) and open_scopes() == ()
     res = compare(read_published(spark, "pay_grid_refresh"), duck(SF), se.oracle_sql()["pay_grid"])
     assert res["columns_match"] and res["values_match"], res
 
@@ -43,3 +43,10 @@ def test_refresh_with_served_names(spark):
     served = read_published(spark, "pay_grid_served")
     assert served.columns == list(SERVED_COLUMNS.values())
     assert served.count() == 1358
+
+
+def test_threads_record_into_their_callers_scope(spark):
+    with scratch_scope(spark) as paths:
+        made = run_concurrently(lambda: scratch_path(spark, "a"), lambda: scratch_path(spark, "b"))
+    assert sorted(paths) == sorted(made)
+    assert open_scopes() == ()
