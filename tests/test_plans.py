@@ -86,3 +86,31 @@ def test_pay_grid_over_the_cap_falls_back_to_shuffle_joins(spark, src):
         assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_key_is_spread_by_the_semi_join_partitioning(spark, src):
+    from pyspark.sql import functions as F
+
+    from conftest import bag
+    from gridwright.operators.latest import latest_per_group
+
+    # One city holds a third of the register (derived from the test tables).
+    reg = src["salary_register"].withColumn(
+        "city_ref", F.when(F.col("position_ref") % 3 == 0, F.lit(0)).otherwise(F.col("city_ref"))
+    )
+    keys = ["city_ref", "position_ref", "level"]
+    hot = reg.groupBy(keys).count().orderBy(F.desc("count")).first()
+    hot_rows = reg.where((F.col("city_ref") == hot.city_ref) & (F.col("position_ref") == hot.position_ref)
+                         & (F.col("level") == hot.level))
+    by_keys = hot_rows.repartition(16, *keys).select(F.spark_partition_id().alias("p")).distinct().count()
+    by_keys_ts = hot_rows.repartition(16, *keys, "period").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert by_keys == 1 and by_keys_ts >= 8
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = latest_per_group(reg, keys, "period", strategy="agg_join")
+        w = latest_per_group(reg, keys, "period", strategy="window")
+        u = latest_per_group(reg, keys, "period", strategy="auto")
+        assert bag(a) == bag(w) == bag(u)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
