@@ -3,6 +3,8 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from conftest import bag
 from gridwright.operators.merge import fill_from, fill_value, left_merge
@@ -96,3 +98,38 @@ def test_fills(spark):
     out = fill_value(fill_from(df, "city", "firm_city"), "n", 0)
     assert dict(out.dtypes)["n"] == "bigint"
     assert bag(out) == Counter({("x", "x", 0): 1, ("a", "y", 3): 1})
+
+
+def _pandas_bag(left_rows, right_rows, left_on, right_on, lcols, rcols):
+    import pandas as pd
+
+    lp = pd.DataFrame(left_rows, columns=lcols, dtype=object)
+    rp = pd.DataFrame(right_rows, columns=rcols, dtype=object)
+    out = lp.merge(rp, left_on=left_on, right_on=right_on, how="left")
+    out = out.astype(object).where(out.notna(), None)
+    return Counter(tuple(r) for r in out.itertuples(index=False)), list(out.columns)
+
+
+_key = st.sampled_from(["a", "b", None])
+_lvl = st.sampled_from([1, 2, None])
+
+
+def test_left_merge_matches_dataframe_library_semantics(spark):
+    """NULL keys match NULL keys, rows fan out, unmatched rows keep NULLs and
+    a shared key name is kept once -- as the dataframe library merges."""
+
+    @settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(
+        st.lists(st.tuples(_key, _lvl, st.integers(0, 9)), max_size=8),
+        st.lists(st.tuples(_key, _lvl, st.integers(10, 19)), max_size=8),
+    )
+    def check(left_rows, right_rows):
+        lcols, rcols = ["firm", "level", "x"], ["branch", "level", "y"]
+        left = spark.createDataFrame(left_rows, "firm string, level int, x int")
+        right = spark.createDataFrame(right_rows, "branch string, level int, y int")
+        got = left_merge(left, right, ["firm", "level"], ["branch", "level"])
+        expected, cols = _pandas_bag(left_rows, right_rows, ["firm", "level"], ["branch", "level"], lcols, rcols)
+        assert got.columns == cols
+        assert bag(got) == expected
+
+    check()
