@@ -137,7 +137,8 @@ def headcount(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
     staff = exclude_containing(sources["actual_staff"], "position", cfg.outsourced_marker, cfg.collation)
     # Grades keep their source type: a text grade must reach the merge and
     # be refused there, not be converted silently.
-    return count_by(staff, STAFF_KEYS[:3], STAFF_KEYS[3:], name="headcount", output=STAFF_COLUMNS)
+    visible = [k for k in STAFF_KEYS if k not in STAFF_HIDDEN]
+    return count_by(staff, visible, STAFF_HIDDEN, name="headcount", output=STAFF_COLUMNS)
 
 
 def approved_rows(sources: dict[str, DataFrame], strategy: str = "auto") -> DataFrame:
