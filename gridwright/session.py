@@ -28,6 +28,29 @@ JOB_CONF = {
 }
 
 
+def cluster_conf(executors: int, cores_per_executor: int, broadcast_cap: str = "64m") -> dict[str, str]:
+    """Settings for a large cluster, sized from its task slots.
+
+    Shuffles start at 4 partitions per slot and AQE coalesces them towards
+    128 MB each, so one setting fits both the small aggregate shuffles and
+    the big ones. ``broadcast_cap`` bounds every broadcast, including the
+    measured ones (maxima, territory map, staffed grid): each executor holds
+    one copy.
+    """
+    slots = max(1, int(executors) * int(cores_per_executor))
+    return {
+        "spark.sql.shuffle.partitions": str(4 * slots),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * slots),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": broadcast_cap,
+        "spark.sql.files.maxPartitionBytes": "128m",
+        "spark.sql.files.openCostInBytes": "4m",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "gridwright",
@@ -137,6 +160,7 @@ def is_local(spark: SparkSession) -> bool:
 
 __all__ = [
     "JOB_CONF",
+    "cluster_conf",
     "build_session",
     "ensure_checkpoint_dir",
     "is_local",
