@@ -20,8 +20,10 @@ from gridwright.operators.quality import (
     ordered_nulls_last,
 )
 from gridwright.operators.reduce import count_by, distinct_keys, expand_levels, union_levels
+from gridwright.operators.sizing import broadcast_if_small, materialize, materialize_counted, small_side
 
 __all__ = [
+    "broadcast_if_small",
     "check_key_types",
     "count_by",
     "distinct_keys",
@@ -40,8 +42,11 @@ __all__ = [
     "last_day_in_month",
     "latest_per_group",
     "left_merge",
+    "materialize",
+    "materialize_counted",
     "null_census",
     "ordered_nulls_last",
+    "small_side",
     "union_levels",
     "where_all",
     "where_equal",

@@ -10,7 +10,7 @@ from gridwright.plans.pay_grid import (
     staffed_grid,
     territory_map,
 )
-from gridwright.plans.quality_report import quality_report
+from gridwright.plans.quality_report import quality_report, report_summary
 from gridwright.plans.refresh import refresh
 
 __all__ = [
@@ -21,6 +21,7 @@ __all__ = [
     "position_grid",
     "quality_report",
     "refresh",
+    "report_summary",
     "salary_in_force",
     "staffed_grid",
     "territory_map",

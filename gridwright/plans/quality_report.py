@@ -25,3 +25,22 @@ def quality_report(pay_grid: DataFrame) -> dict[str, DataFrame]:
         "cities_without_pay": distinct_where(pay_grid, F.col("salary").isNull(), "city"),
         "cities_without_branch": distinct_where(pay_grid, F.col("branch").isNull(), "city"),
     }
+
+
+def report_summary(pay_grid: DataFrame) -> dict:
+    """Bounded figures for a run log: the one-row NULL census, the number of
+    repeated tuples and their rows, and the number of cities lacking pay or
+    a branch. Every figure is an aggregate, so only single rows reach the
+    driver."""
+    rep = quality_report(pay_grid)
+    census = rep["null_census"].first().asDict()
+    dups = rep["duplicates"].agg(
+        F.count(F.lit(1)).alias("tuples"), F.coalesce(F.sum("size"), F.lit(0)).alias("rows")
+    ).first()
+    return {
+        "null_census": census,
+        "repeated_tuples": int(dups["tuples"]),
+        "rows_in_repeated_tuples": int(dups["rows"]),
+        "cities_without_pay": rep["cities_without_pay"].count(),
+        "cities_without_branch": rep["cities_without_branch"].count(),
+    }

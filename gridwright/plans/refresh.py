@@ -57,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--erp-url", help="JDBC URL of the ERP database (the HR one via --hr-url)")
     ap.add_argument("--hr-url", help="JDBC URL of the HR database holding the staff list")
     ap.add_argument("--served-names", action="store_true", help="publish with the served column names")
+    ap.add_argument("--report", action="store_true", help="print the quality figures of the published data")
     ap.add_argument("--root", required=True, help="shared folder for published versions")
     ap.add_argument("--name", default="pay_grid")
     ap.add_argument("--mode", default="swap", choices=["swap", "truncate_insert", "replace"])
@@ -86,7 +87,18 @@ def main(argv: list[str] | None = None) -> None:
     path = refresh(
         spark, sources, cfg, args.root, args.name, args.mode, as_of=args.as_of, served=args.served_names
     )
-    print(json.dumps({"published": path, "name": args.name, "sec": round(time.perf_counter() - t0, 3)}))
+    out = {"published": path, "name": args.name, "sec": round(time.perf_counter() - t0, 3)}
+    if args.report:
+        from gridwright.plans.quality_report import report_summary
+        from gridwright.sinks.publish import read_published
+
+        served = read_published(spark, args.name)
+        if args.served_names:
+            from gridwright.sources.erp import SERVED_COLUMNS
+
+            served = served.toDF(*SERVED_COLUMNS)
+        out["report"] = report_summary(served)
+    print(json.dumps(out, ensure_ascii=False, default=str))
 
 
 if __name__ == "__main__":

@@ -71,3 +71,12 @@ def test_quality_report(grid):
     rep = quality_report(grid)
     assert set(rep) == {"null_census", "group_sizes", "duplicates", "cities_without_pay", "cities_without_branch"}
     assert bag(rep["cities_without_pay"]) == Counter({("c1",): 1})
+
+
+def test_report_summary(grid):
+    from gridwright.plans.quality_report import report_summary
+
+    s = report_summary(grid)
+    assert s["null_census"]["branch"] == 2
+    assert s["repeated_tuples"] == 1 and s["rows_in_repeated_tuples"] == 2
+    assert s["cities_without_pay"] == 1 and s["cities_without_branch"] == 2
