@@ -26,8 +26,10 @@ class JobConfig:
     outsourced_marker: str
     territory_depth: int = 3
     levels: tuple[int, ...] = (1, 2, 3)
-    # Comparison of text keys: None = binary (default), else a Spark collation
-    # name such as "UTF8_LCASE" applied to the text join and filter keys.
+    # Text comparison of the ERP database: None = binary (default), else a
+    # Spark collation such as "UTF8_LCASE" or "UNICODE_CI", applied where that
+    # database compared text (pay exclusions, territory and grid grouping).
+    # The HR database and the merges compare exactly and never use it.
     collation: str | None = None
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 

@@ -68,6 +68,22 @@ GRID_COLUMNS = ["firm", "firm_city", "position", "level"]
 PAY_GRID_COLUMNS = ["territory", "city", "branch", "position", "level", "salary", "leader_level", "headcount"]
 
 
+def _grouped_text(df: DataFrame, cols: list[str], collation: str | None) -> DataFrame:
+    """Text grouping keys compared under ``collation`` (as the source
+    database compares them), e.g. case-insensitively; no-op when None."""
+    if not collation:
+        return df
+    return df.withColumns({c: F.collate(F.col(c), collation) for c in cols})
+
+
+def _plain_text(df: DataFrame, cols: list[str], collation: str | None) -> DataFrame:
+    """Collated columns back to plain strings (one representative value per
+    group, as the source database returns)."""
+    if not collation:
+        return df
+    return df.withColumns({c: F.col(c).cast(T.StringType()) for c in cols})
+
+
 def territory_map(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
     """Distinct (territory, city_ref): cities -> firms -> hierarchy rows at
     the configured depth -> territory names (J3-J5, F5, A1)."""
@@ -80,7 +96,8 @@ def territory_map(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
         .join(hierarchy.select("firm_ref", "territory_ref"), "firm_ref")
         .join(territories, "territory_ref")
     )
-    return distinct_keys(joined, ["territory", "city_ref"])
+    joined = _grouped_text(joined, ["territory"], cfg.collation)
+    return _plain_text(distinct_keys(joined, ["territory", "city_ref"]), ["territory"], cfg.collation)
 
 
 def allowed_positions(positions: DataFrame, cfg: JobConfig) -> DataFrame:
@@ -134,7 +151,9 @@ def headcount(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
     and ``rrs`` are hidden, so equal visible rows can repeat (F3, A4, P7).
     The display order of the source query is dropped: the merge that uses
     this relation does not keep it (see ``ordered_nulls_last``)."""
-    staff = exclude_containing(sources["actual_staff"], "position", cfg.outsourced_marker, cfg.collation)
+    # The staff list lives in the HR database, which compares text exactly:
+    # the configured collation (of the ERP database) does not apply here.
+    staff = exclude_containing(sources["actual_staff"], "position", cfg.outsourced_marker)
     # Grades keep their source type: a text grade must reach the merge and
     # be refused there, not be converted silently.
     visible = [k for k in STAFF_KEYS if k not in STAFF_HIDDEN]
@@ -172,13 +191,14 @@ def position_base(sources: dict[str, DataFrame], cfg: JobConfig, strategy: str =
     ``strategy`` applies to the last-document-day filter over the document
     headers; the per-position step runs on pre-aggregated rows (see the
     module notes) with a window, or ``agg_join`` when asked for."""
-    candidates = approval_candidates(sources, strategy)
+    names = ["position", "firm", "firm_city"]
+    candidates = _grouped_text(approval_candidates(sources, strategy), names, cfg.collation)
     per_combo = candidates.groupBy("firm_code", "position", "firm", "firm_city").agg(
         F.max("doc_ts").alias("last_ts")
     )
     w2 = "agg_join" if strategy == "agg_join" else "window"
     latest = latest_per_group(per_combo, ["firm_code", "position"], "last_ts", strategy=w2)
-    return distinct_keys(latest, ["firm", "firm_city", "position"])
+    return _plain_text(distinct_keys(latest, ["firm", "firm_city", "position"]), names, cfg.collation)
 
 
 def position_grid(sources: dict[str, DataFrame], cfg: JobConfig, strategy: str = "auto") -> DataFrame:

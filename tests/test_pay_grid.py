@@ -166,3 +166,30 @@ def test_text_grade_in_staff_is_refused(spark):
     )
     with pytest.raises(TypeError):
         pg.build_pay_grid(src, CFG, as_of=AS_OF)
+
+
+@pytest.mark.parametrize("strategy", ["auto", "window"])
+def test_collation_groups_case_variants(spark, strategy):
+    import dataclasses
+
+    from world import DATA, SCHEMAS, money, ts
+
+    data = {k: list(v) for k, v in DATA.items()}
+    data["positions"].append(("P9", "CASHIER", "L1", "дом"))  # case variants
+    data["approval_lines"].append(("D4", "P9", money(1)))  # February only
+    data["salary_register"].append(("C1", "P9", 1, money(999), ts("2024-01-01 00:00:00")))
+    src = {n: spark.createDataFrame(data[n], SCHEMAS[n]) for n in SCHEMAS}
+
+    binary = bag(pg.position_base(src, CFG, strategy))
+    assert binary[("Moscow-1", "Moscow", "CASHIER")] == 1  # its own group, own latest date
+    ci_cfg = dataclasses.replace(CFG, collation="UTF8_LCASE")
+    ci = pg.position_base(src, ci_cfg, strategy)
+    assert dict(ci.dtypes)["position"] == "string"
+    got = bag(ci)
+    # one group (K1, cashier): a single row, spelled by one of its members
+    # (which one is arbitrary, as in the source database)
+    assert got[("Moscow-1", "Moscow", "CASHIER")] + got[("Moscow-1", "Moscow", "Cashier")] == 1
+    assert sum(got.values()) == sum(binary.values()) - 1
+    # the lower-case excluded prefix is excluded only under the collation
+    assert any(r.salary == money(999) for r in pg.salary_in_force(src, CFG, as_of=AS_OF).collect())
+    assert not any(r.salary == money(999) for r in pg.salary_in_force(src, ci_cfg, as_of=AS_OF).collect())
