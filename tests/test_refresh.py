@@ -50,3 +50,20 @@ def test_threads_record_into_their_callers_scope(spark):
         made = run_concurrently(lambda: scratch_path(spark, "a"), lambda: scratch_path(spark, "b"))
     assert sorted(paths) == sorted(made)
     assert open_scopes() == ()
+
+
+def test_cli_on_parquet_relations(spark, capsys):
+    import json
+
+    from gridwright.plans.refresh import main
+    from gridwright.session import cluster_conf
+
+    base = scratch_path(spark, "relations")
+    for name, df in standin_sources(spark, SF).items():
+        df.write.parquet(f"{base}/{name}.parquet")
+    root = scratch_path(spark, "cli-root")
+    main(["--parquet", base, "--root", root, "--name", "pay_grid_cli", "--as-of", "2024-01-01", "--report"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["published"].startswith(root) and "null_census" in out["report"]
+    assert read_published(spark, "pay_grid_cli").columns[0] == "territory"
+    assert cluster_conf(1000, 4)["spark.sql.shuffle.partitions"] == "16000"
