@@ -6,10 +6,10 @@ of its group. Ties are kept, so ``row_number`` / ``max_by`` would be wrong.
 Three physical strategies give the same multiset:
 
 ``auto`` (default)
-    As ``agg_join``, but the maxima table is computed first and
-    written to the shared checkpoint folder (lineage cut, one job),
-    its size is measured, and only if it fits under the broadcast cap is it
-    broadcast -- then the big input is filtered map-side and never
+    As ``agg_join``, but the maxima table is computed first and written to
+    the shared checkpoint folder (lineage cut), its rows counted during that
+    same write job; only if its estimated size fits under the broadcast cap
+    is it broadcast -- then the big input is filtered map-side and never
     shuffled. Otherwise the shuffle semi-join below is used. The input is
     read twice either way (once for the maxima), never shuffled whole by the
     group key alone.
