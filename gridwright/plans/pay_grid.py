@@ -257,10 +257,21 @@ def build_pay_grid(
     (the publish write) runs it. Under ``auto`` small jobs run while the
     plan is built: they write to the shared folder, and measure, the
     per-group maxima of the pay register and of the document headers, the
-    territory map and the staffed grid -- the relations that are broadcast
-    when they fit under the cap."""
-    salary, main = run_concurrently(
-        lambda: salary_in_force(sources, cfg, as_of, strategy),
-        lambda: staffed_side(position_grid(sources, cfg, strategy), headcount(sources, cfg), strategy),
-    )
+    territory map, the staff counts and the staffed grid -- the relations
+    that are broadcast when they fit under the cap. Independent ones are
+    built concurrently."""
+    if strategy != "auto":
+        grid, staff = position_grid(sources, cfg, strategy), headcount(sources, cfg)
+        return merge_pay(salary_in_force(sources, cfg, as_of, strategy), staffed_side(grid, staff, strategy))
+
+    def grid_side() -> DataFrame:
+        # The grid and the staff counts do not depend on each other: measure
+        # both at once, then the staffed grid from the two small sides.
+        grid, staff = run_concurrently(
+            lambda: position_grid(sources, cfg, strategy),
+            lambda: small_side(headcount(sources, cfg), "staff-counts"),
+        )
+        return staffed_side(grid, staff, strategy)
+
+    salary, main = run_concurrently(lambda: salary_in_force(sources, cfg, as_of, strategy), grid_side)
     return merge_pay(salary, main)

@@ -39,9 +39,23 @@ UNCOUNTED_LINE = 2
 OPEN_STATUS = "O"
 
 
+# Parquet schemas already read, by path: schema inference runs a footer-reading
+# job, so each table pays it once per process, not once per query.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
 def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     sf_dir = sf_dir.rstrip("/")
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
+    return {t: read_table(spark, f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
 
 
 def standin_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
