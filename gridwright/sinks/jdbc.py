@@ -4,6 +4,12 @@ Spark writes from every executor in parallel, ``batchsize`` rows per
 round trip. ``truncate=True`` with overwrite keeps the table object and its
 definition (the source job's truncate + append); ``create_column_types``
 plays the role of its optional column types.
+
+Not atomic: during the write, readers of the database table can see it
+empty or partly filled, and a failed write leaves it so. Swapping a staging
+table into place needs DDL run by the database itself, which a Spark writer
+cannot issue; where readers must never see a partial table, publish to files
+with ``publish(mode="swap")``.
 """
 
 from __future__ import annotations
