@@ -11,8 +11,10 @@ Modes of ``publish``:
     folder is kept (``keep_versions``), older ones are removed.
 ``truncate_insert``
     Keep an existing table object and its definition: write the data to a
-    staging table first (K1), then ``INSERT OVERWRITE`` the served table
-    from it (K5). A failed staging write leaves the served table intact.
+    staging folder first (K1), then ``INSERT OVERWRITE`` the served table
+    from it (K5) and remove the staging folder. A failed computation or
+    staging write leaves the served table intact; the first run creates the
+    table.
 ``replace``
     ``saveAsTable`` with overwrite at the table's location (K1). Not atomic.
 
