@@ -118,6 +118,9 @@ def prune_versions(spark: SparkSession, root: str, name: str, keep: int, protect
     """Delete all but the newest ``keep`` committed versions; never the
     ``protect`` one. Returns the removed paths."""
     versions = list_versions(spark, root, name)
+    if protect is not None:
+        fs, p = _fs(spark, protect)
+        protect = fs.makeQualified(p).toString()  # listings are qualified
     doomed = [v for v in versions[: max(0, len(versions) - keep)] if v != protect]
     for v in doomed:
         fs, p = _fs(spark, v)

@@ -115,3 +115,12 @@ def test_read_latest_from_any_session(spark):
     latest = read_latest(spark, root, n, schema=grid(spark).schema)
     assert latest.schema == grid(spark).schema
     assert bag(latest) == bag(grid(spark, 2))
+
+
+def test_plain_local_root_keeps_versions(spark, tmp_path):
+    root, n = str(tmp_path / "marts"), name()  # no scheme
+    first = publish(grid(spark, 1), n, root)
+    second = publish(grid(spark, 2), n, root, keep_versions=1)
+    assert [v.split("/")[-1] for v in list_versions(spark, root, n)] == [second.split("/")[-1]]
+    assert first != second
+    assert bag(read_published(spark, n)) == bag(grid(spark, 2))
