@@ -68,6 +68,35 @@ GRID_COLUMNS = ["firm", "firm_city", "position", "level"]
 PAY_GRID_COLUMNS = ["territory", "city", "branch", "position", "level", "salary", "leader_level", "headcount"]
 
 
+# Columns the job reads from each source relation.
+REQUIRED_COLUMNS = {
+    "salary_register": ("city_ref", "position_ref", "level", "salary", "period"),
+    "cities": ("city_ref", "city", "city_code"),
+    "positions": ("position_ref", "position", "leader_level", "prefix"),
+    "firms": ("firm_ref", "firm_code", "firm", "city_ref"),
+    "firm_territories": ("firm_ref", "depth", "territory_ref"),
+    "territories": ("territory_ref", "territory"),
+    "approvals": ("doc_ref", "firm_ref", "doc_ts"),
+    "approval_lines": ("doc_ref", "position_ref"),
+    "actual_staff": ("position", "pay_level", "current_branch", "refreshed", "city", "branch", "rrs"),
+}
+
+
+def validate_sources(sources: dict[str, DataFrame]) -> None:
+    """Fail fast, with every problem listed, when a relation or a column the
+    job reads is missing (schema only; no data is read)."""
+    problems = []
+    for name, cols in REQUIRED_COLUMNS.items():
+        if name not in sources:
+            problems.append(f"relation {name!r} missing")
+            continue
+        missing = [c for c in cols if c not in sources[name].columns]
+        if missing:
+            problems.append(f"{name}: columns {missing} missing")
+    if problems:
+        raise KeyError("; ".join(problems))
+
+
 def _grouped_text(df: DataFrame, cols: list[str], collation: str | None) -> DataFrame:
     """Text grouping keys compared under ``collation`` (as the source
     database compares them), e.g. case-insensitively; no-op when None."""
@@ -260,6 +289,7 @@ def build_pay_grid(
     territory map, the staff counts and the staffed grid -- the relations
     that are broadcast when they fit under the cap. Independent ones are
     built concurrently."""
+    validate_sources(sources)
     if strategy != "auto":
         grid, staff = position_grid(sources, cfg, strategy), headcount(sources, cfg)
         return merge_pay(salary_in_force(sources, cfg, as_of, strategy), staffed_side(grid, staff, strategy))

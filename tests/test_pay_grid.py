@@ -193,3 +193,12 @@ def test_collation_groups_case_variants(spark, strategy):
     # the lower-case excluded prefix is excluded only under the collation
     assert any(r.salary == money(999) for r in pg.salary_in_force(src, CFG, as_of=AS_OF).collect())
     assert not any(r.salary == money(999) for r in pg.salary_in_force(src, ci_cfg, as_of=AS_OF).collect())
+
+
+def test_missing_relation_or_column_is_reported_up_front(spark):
+    src = sources(spark)
+    src.pop("territories")
+    src["approvals"] = src["approvals"].drop("doc_ts")
+    with pytest.raises(KeyError) as err:
+        pg.build_pay_grid(src, CFG, as_of=AS_OF)
+    assert "territories" in str(err.value) and "doc_ts" in str(err.value)
