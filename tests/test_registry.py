@@ -31,3 +31,14 @@ def test_entry_smoke(spark):
     df = se.entry(spark)
     assert df.columns == ["territory", "city", "branch", "position", "level", "salary", "leader_level", "headcount"]
     assert df.count() == 1358
+
+
+FIRST_N = {"masked_first_n", "first_n_then_sort"}
+
+
+def test_limits_only_where_first_n_is_the_feature(spark):
+    for name, sql in se.oracle_sql().items():
+        assert ("LIMIT" in sql.upper()) == (name in FIRST_N), name
+    for name in ("pay_grid", "salary_in_force", "headcount_hidden_keys", "masked_first_n"):
+        p = se.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Limit" in p) == (name in FIRST_N), name
