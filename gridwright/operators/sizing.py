@@ -7,6 +7,7 @@ row width, is under a cap. Anything larger takes the shuffle join.
 
 from __future__ import annotations
 
+import logging
 import re
 import uuid
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 # In-memory hashed relations take roughly twice the raw row width.
 HASH_OVERHEAD = 2.0
+log = logging.getLogger(__name__)
 
 
 def parse_bytes(text: str) -> int:
@@ -109,5 +111,10 @@ def small_side(df: DataFrame, name: str, cap_bytes: int | None = None) -> DataFr
     big side of the join would be shuffled before AQE sees the real size.
     """
     stored, rows = materialize_counted(df, name)
-    out, _ = broadcast_if_small(stored, cap_bytes, rows)
+    out, broadcast = broadcast_if_small(stored, cap_bytes, rows)
+    log.info(
+        "%s: %d rows, ~%d bytes in memory, cap %d bytes -> %s",
+        name, rows, estimated_bytes(stored, rows)[1], broadcast_cap(stored, cap_bytes),
+        "broadcast" if broadcast else "shuffle join",
+    )
     return out

@@ -126,3 +126,15 @@ def test_auto_broadcasts_only_under_the_cap(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert bag(small) == bag(capped)
+
+
+def test_small_side_logs_its_decision(spark, caplog):
+    import logging
+
+    from gridwright.operators.sizing import small_side
+
+    with caplog.at_level(logging.INFO, logger="gridwright.operators.sizing"):
+        small_side(spark.range(5), "five-rows", cap_bytes=1 << 20)
+        small_side(spark.range(5), "five-rows-capped", cap_bytes=1)
+    text = caplog.text
+    assert "five-rows: 5 rows" in text and "-> broadcast" in text and "-> shuffle join" in text
