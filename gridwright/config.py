@@ -29,7 +29,8 @@ class JobConfig:
     # Text comparison of the ERP database: None = binary (default), else a
     # Spark collation such as "UTF8_LCASE" or "UNICODE_CI", applied where that
     # database compared text (pay exclusions, territory and grid grouping).
-    # The HR database and the merges compare exactly and never use it.
+    # "UTF8_LCASE_RTRIM" also ignores trailing blanks, as that database's
+    # "=" does. The HR database and the merges compare exactly and never use it.
     collation: str | None = None
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 

@@ -99,3 +99,10 @@ def test_scalar_functions(spark):
     assert label_columns(df, ["x"]).columns == ["x"]
     with pytest.raises(ValueError):
         label_columns(df, ["x", "y"])
+
+
+def test_rtrim_collation_ignores_case_and_trailing_blanks(spark):
+    df = spark.createDataFrame([("2.03. фед.развитие сайта  ",), ("другое",)], "position string")
+    kept = exclude_equal(df, "position", "2.03. Фед.развитие сайта", collation="UTF8_LCASE_RTRIM")
+    assert [r.position for r in kept.collect()] == ["другое"]
+    assert exclude_equal(df, "position", "2.03. Фед.развитие сайта").count() == 2
