@@ -21,7 +21,7 @@ def spark():
         "local[*]",
         app_name="gridwright-tests",
         shuffle_partitions=8,
-        extra_conf={"spark.sql.warehouse.dir": warehouse},
+        extra_conf={"spark.sql.warehouse.dir": warehouse, "spark.driver.memory": "4g"},
     )
     yield session
     session.stop()
