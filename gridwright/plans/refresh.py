@@ -58,6 +58,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--hr-url", help="JDBC URL of the HR database holding the staff list")
     ap.add_argument("--served-names", action="store_true", help="publish with the served column names")
     ap.add_argument("--report", action="store_true", help="print the quality figures of the published data")
+    ap.add_argument(
+        "--strategy", default="auto", choices=["auto", "agg_join", "window"],
+        help="latest-per-group strategy (auto: measured broadcasts, see README)",
+    )
     ap.add_argument("--root", required=True, help="shared folder for published versions")
     ap.add_argument("--name", default="pay_grid")
     ap.add_argument("--mode", default="swap", choices=["swap", "truncate_insert", "replace"])
@@ -85,7 +89,8 @@ def main(argv: list[str] | None = None) -> None:
         cfg = PRODUCTION
     t0 = time.perf_counter()
     path = refresh(
-        spark, sources, cfg, args.root, args.name, args.mode, as_of=args.as_of, served=args.served_names
+        spark, sources, cfg, args.root, args.name, args.mode, as_of=args.as_of, strategy=args.strategy,
+        served=args.served_names,
     )
     out = {"published": path, "name": args.name, "sec": round(time.perf_counter() - t0, 3)}
     if args.report:
