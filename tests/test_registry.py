@@ -42,3 +42,24 @@ def test_limits_only_where_first_n_is_the_feature(spark):
     for name in ("pay_grid", "salary_in_force", "headcount_hidden_keys", "masked_first_n"):
         p = se.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         assert ("Limit" in p) == (name in FIRST_N), name
+
+
+def test_plain_equality_merges_would_lose_rows(spark):
+    """FIXTURES.md: with SQL equality instead of NULL-safe matching the pay
+    grid at sf0.001 has 1310 rows, not 1358."""
+    from pyspark.sql import functions as F
+
+    from gridwright.config import STANDIN
+    from gridwright.operators.merge import fill_from, left_merge
+    from gridwright.plans import pay_grid as pg
+    from gridwright.sources.standins import standin_sources
+
+    s = standin_sources(spark, SF)
+    salary = pg.salary_in_force(s, STANDIN, as_of="2024-01-01")
+    main = left_merge(pg.position_grid(s, STANDIN), pg.headcount(s, STANDIN),
+                      ["firm", "position", "level"], ["branch", "position", "pay_level"], null_safe=False)
+    main = fill_from(fill_from(main, "city", "firm_city"), "branch", "firm")
+    plain = left_merge(salary, main, on=["city", "position", "level"], null_safe=False)
+    assert plain.count() == 1310
+    assert pg.merge_pay(salary, pg.staffed_side(pg.position_grid(s, STANDIN), pg.headcount(s, STANDIN))).count() == 1358
+    assert plain.where(F.col("city").isNull() & F.col("branch").isNotNull()).count() == 0
