@@ -29,13 +29,16 @@ territory so lookups prune folders.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 MODES = ("swap", "truncate_insert", "replace")
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
@@ -147,7 +150,15 @@ def publish(
     _check_name(name)
     spark = df.sparkSession
     base = f"{root.rstrip('/')}/{name}"
+    # Rows written, counted during the write itself (no extra job).
+    written = Observation(f"publish-{name}-{uuid.uuid4().hex[:8]}")
+    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    location = _publish(spark, df, name, root, base, mode, layout, keep_versions)
+    log.info("published %s (%s): %d rows at %s", name, mode, written.get["rows"], location)
+    return location
+
 
+def _publish(spark, df, name, root, base, mode, layout, keep_versions) -> str:
     if mode == "swap":
         path = f"{base}/{_new_version()}"
         _writer(df, layout).mode("errorifexists").parquet(path)
@@ -170,7 +181,7 @@ def publish(
     if sorted(target_cols) != sorted(df.columns):
         raise ValueError(f"columns differ from {name}: {sorted(df.columns)} vs {sorted(target_cols)}")
     staging_path = f"{base}/staging-{uuid.uuid4().hex[:12]}"
-    _writer(df, None).mode("errorifexists").parquet(staging_path)
+    _writer(df, None).mode("errorifexists").parquet(staging_path)  # the observed write
     # insertInto matches columns by position: follow the table's order
     # (partition columns last).
     staged = _arrange(spark.read.schema(df.schema).parquet(staging_path), layout).select(*target_cols)

@@ -124,3 +124,14 @@ def test_plain_local_root_keeps_versions(spark, tmp_path):
     assert [v.split("/")[-1] for v in list_versions(spark, root, n)] == [second.split("/")[-1]]
     assert first != second
     assert bag(read_published(spark, n)) == bag(grid(spark, 2))
+
+
+def test_publish_logs_rows_written(spark, caplog):
+    import logging
+
+    root, n = scratch_path(spark, "pub"), name()
+    with caplog.at_level(logging.INFO, logger="gridwright.sinks.publish"):
+        publish(grid(spark, 1), n, root)
+        publish(grid(spark, 1), n + "_t", root, mode="truncate_insert", layout=None)
+        publish(grid(spark, 1), n + "_t", root, mode="truncate_insert", layout=None)
+    assert caplog.text.count(": 4 rows at") == 3
