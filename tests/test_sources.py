@@ -128,3 +128,18 @@ def test_erp_sources_builds_jdbc_reads_lazily(spark, monkeypatch):
     assert [o for o in seen if "partitionColumn" in o][0]["numPartitions"] == "4"
     with pytest.raises(ValueError):
         erp.erp_sources(spark, "jdbc:postgresql://wrong", "jdbc:postgresql://hr/db")
+
+
+def test_guard_message_hides_passwords():
+    with pytest.raises(ValueError) as err:
+        require_kind("jdbc:postgresql://user:s3cret@h/db", "sqlserver")
+    assert "s3cret" not in str(err.value)
+    with pytest.raises(ValueError) as err:
+        require_kind("jdbc:clickhouse://h:8123;user=u;password=s3cret", "sqlserver")
+    assert "s3cret" not in str(err.value) and "password=***" in str(err.value)
+
+
+def test_extra_jdbc_options_pass_through():
+    o = jdbc_options("jdbc:postgresql://h/db", dbtable="t", extra={"sessionInitStatement": "SET x = 1", "pushDownAggregate": True})
+    assert o["sessionInitStatement"] == "SET x = 1" and o["pushDownAggregate"] == "True"
+    assert jdbc_options("jdbc:postgresql://h/db", dbtable="t", prefer_timestamp_ntz=False)["preferTimestampNTZ"] == "false"
