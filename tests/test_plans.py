@@ -114,3 +114,39 @@ def test_hot_key_is_spread_by_the_semi_join_partitioning(spark, src):
         assert bag(a) == bag(w) == bag(u)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_aqe_splits_a_null_heavy_key_in_the_null_safe_merge(spark):
+    """Over the broadcast cap, the NULL-safe left merge is a sort-merge join;
+    when a third of the left rows share a NULL key, AQE splits that
+    partition (thresholds lowered so the split triggers at test size)."""
+    from pyspark.sql import functions as F
+
+    from gridwright.operators.merge import left_merge
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        reg = standin_sources(spark, "/root/testdata/sf0.01")["salary_register"]
+        reg = reg.select(F.col("city_ref").cast("string").alias("city"), "position_ref", "level", "salary")
+        left = reg.withColumn("city", F.when(F.col("position_ref") % 3 == 0, F.lit(None)).otherwise(F.col("city")))
+        right = reg.groupBy("city", "level").agg(F.count(F.lit(1)).alias("n")).unionByName(
+            spark.range(3).select(F.lit(None).cast("string").alias("city"), F.lit(1).alias("level"), F.col("id").alias("n"))
+        )
+        out = left_merge(left, right, on=["city", "level"])
+        rows = out._jdf.queryExecution().toRdd().count()
+        final = out._jdf.queryExecution().executedPlan().toString()
+        merge_line = next(ln for ln in final.splitlines() if "SortMergeJoin" in ln and "isnull(city" in ln)
+        assert "skew=true" in merge_line
+        assert rows == left.count() + 2 * left.where(F.col("city").isNull() & (F.col("level") == 1)).count()
+    finally:
+        for k, v in previous.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
