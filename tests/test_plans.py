@@ -150,3 +150,43 @@ def test_aqe_splits_a_null_heavy_key_in_the_null_safe_merge(spark):
     finally:
         for k, v in previous.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_aqe_splits_rows_tying_on_a_hot_maximum(spark):
+    """The semi-join fallback concentrates only rows that tie on the group
+    maximum; when a third of all rows do, AQE splits that partition too."""
+    from pyspark.sql import functions as F
+
+    from conftest import bag
+    from gridwright.operators.latest import latest_per_group
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        reg = standin_sources(spark, "/root/testdata/sf0.01")["salary_register"]
+        hot = F.col("position_ref") % 3 == 0
+        reg = reg.select(
+            F.when(hot, F.lit(0)).otherwise(F.col("city_ref")).alias("city_ref"),
+            F.when(hot, F.lit(0)).otherwise(F.col("position_ref")).alias("position_ref"),
+            F.when(hot, F.lit(1)).otherwise(F.col("level")).alias("level"),
+            F.when(hot, F.lit("2099-01-01").cast("timestamp_ntz")).otherwise(F.col("period")).alias("period"),
+            "salary",
+        )
+        keys = ["city_ref", "position_ref", "level"]
+        out = latest_per_group(reg, keys, "period", strategy="agg_join")
+        out._jdf.queryExecution().toRdd().count()
+        final = out._jdf.queryExecution().executedPlan().toString()
+        semi = next(ln for ln in final.splitlines() if "SortMergeJoin" in ln and "LeftSemi" in ln)
+        assert "skew=true" in semi
+        assert bag(out) == bag(latest_per_group(reg, keys, "period", strategy="window"))
+    finally:
+        for k, v in previous.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
