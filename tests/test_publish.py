@@ -135,3 +135,32 @@ def test_publish_logs_rows_written(spark, caplog):
         publish(grid(spark, 1), n + "_t", root, mode="truncate_insert", layout=None)
         publish(grid(spark, 1), n + "_t", root, mode="truncate_insert", layout=None)
     assert caplog.text.count(": 4 rows at") == 3
+
+
+def test_rebalance_splits_an_oversized_territory_across_writers(spark):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from gridwright.config import STANDIN
+    from gridwright.plans.pay_grid import build_pay_grid
+    from gridwright.sources.standins import standin_sources
+
+    pay = build_pay_grid(standin_sources(spark, "/root/testdata/sf0.01"), STANDIN, as_of="2024-01-01")
+    # one territory holds about a third of the rows; the upstream stage gets
+    # several map tasks, as on a cluster (AQE splits a skewed partition only
+    # at map-output boundaries, and this test table is one parquet row group)
+    pay = pay.withColumn(
+        "territory", F.when(F.col("position").contains("o"), F.lit("HOT")).otherwise(F.col("territory"))
+    ).repartition(8)
+    previous = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        root, n = scratch_path(spark, "pub"), name()
+        path = publish(pay, n, root, layout=Layout())
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", previous)
+    local = path.replace("file:", "")
+    hot_files = glob.glob(f"{local}/territory=HOT/*.parquet")
+    assert len(hot_files) >= 4  # the hot territory was written by several tasks, not one
+    assert bag(read_published(spark, n)) == bag(pay)
