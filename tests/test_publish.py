@@ -164,3 +164,15 @@ def test_rebalance_splits_an_oversized_territory_across_writers(spark):
     hot_files = glob.glob(f"{local}/territory=HOT/*.parquet")
     assert len(hot_files) >= 4  # the hot territory was written by several tasks, not one
     assert bag(read_published(spark, n)) == bag(pay)
+
+
+def test_read_latest_ignores_an_uncommitted_version(spark):
+    root, n = scratch_path(spark, "pub"), name()
+    publish(grid(spark, 1), n, root)
+    # a later write that died before its commit: data files, no _SUCCESS
+    partial = f"{root}/{n}/v99991231T000000000000-deadbeef"
+    grid(spark, 7).write.parquet(partial)
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(partial + "/_SUCCESS")
+    fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, False)
+    assert bag(read_latest(spark, root, n, schema=grid(spark).schema)) == bag(grid(spark, 1))
+    assert partial not in " ".join(list_versions(spark, root, n))
