@@ -10,12 +10,14 @@ from gridwright.plans.pay_grid import (
     staffed_grid,
     territory_map,
 )
-from gridwright.plans.quality_report import quality_report, report_summary
+from gridwright.plans.quality_report import branch_spot_check, firm_branch_sample, quality_report, report_summary
 from gridwright.plans.refresh import refresh
 
 __all__ = [
     "assemble",
+    "branch_spot_check",
     "build_pay_grid",
+    "firm_branch_sample",
     "headcount",
     "position_base",
     "position_grid",

@@ -6,7 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.operators.quality import distinct_where, duplicate_groups, group_sizes, null_census
+from gridwright.operators.filters import where_equal
+from gridwright.operators.quality import (
+    distinct_where,
+    duplicate_groups,
+    first_n,
+    first_n_then_sort,
+    group_sizes,
+    null_census,
+)
 
 # Columns of the duplicate census: the published columns without territory.
 DUPLICATE_KEYS = ["city", "position", "level", "salary", "branch", "leader_level", "headcount"]
@@ -44,3 +52,15 @@ def report_summary(pay_grid: DataFrame) -> dict:
         "cities_without_pay": rep["cities_without_pay"].count(),
         "cities_without_branch": rep["cities_without_branch"].count(),
     }
+
+
+def branch_spot_check(pay_grid: DataFrame, branch: str, n: int = 270) -> DataFrame:
+    """The first ``n`` mart rows of one branch, in a total order (F6 + O2)."""
+    return first_n(where_equal(pay_grid, branch=branch), n, list(pay_grid.columns))
+
+
+def firm_branch_sample(staffed_grid: DataFrame, firm: str, n: int = 135) -> DataFrame:
+    """The first ``n`` staffed-grid rows of one firm serving as its own
+    branch, then sorted by position and grade (F8 + O3)."""
+    masked = where_equal(staffed_grid, firm=firm, branch=firm)
+    return first_n_then_sort(masked, n, list(staffed_grid.columns), ["position", "level"])
