@@ -67,3 +67,16 @@ def test_cli_on_parquet_relations(spark, capsys):
     assert out["published"].startswith(root) and "null_census" in out["report"]
     assert read_published(spark, "pay_grid_cli").columns[0] == "territory"
     assert cluster_conf(1000, 4)["spark.sql.shuffle.partitions"] == "16000"
+
+
+def test_cli_served_names_with_report(spark, capsys):
+    import json
+
+    from gridwright.plans.refresh import main
+
+    root = scratch_path(spark, "cli-root")
+    main(["--standin", SF, "--root", root, "--name", "pay_grid_cli_served", "--served-names", "--report",
+          "--as-of", "2024-01-01"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["report"]["null_census"]["branch"] == 515  # FIXTURES.md: rows with NULL branch at sf0.001
+    assert read_published(spark, "pay_grid_cli_served").columns[0] == "Территория"
