@@ -1,8 +1,8 @@
 """Size checks behind every explicit broadcast.
 
-A relation is broadcast only after its row count has been measured on a
-materialised copy and its in-memory size, estimated from that count and the
-row width, is under a cap. Anything larger takes the shuffle join.
+A relation is broadcast only after its real bytes (text, binary and arrays by
+their own length) have been summed while it was written, and are under a cap.
+Anything larger takes the shuffle join.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 # In-memory hashed relations take roughly twice the raw row width.
 HASH_OVERHEAD = 2.0
+# Row header, null bits and pointer of one hashed row.
+ROW_OVERHEAD = 16
 log = logging.getLogger(__name__)
 
 
@@ -39,8 +41,8 @@ def broadcast_cap(df: DataFrame, cap_bytes: int | None = None) -> int:
     return parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
 
 
-def _width(dt: T.DataType) -> int:
-    # Spark's own default sizes per type (strings counted as 20 bytes).
+def _fixed_width(dt: T.DataType) -> int | None:
+    """In-memory bytes of a fixed-width type; None when the size depends on the value."""
     if isinstance(dt, (T.BooleanType, T.ByteType)):
         return 1
     if isinstance(dt, T.ShortType):
@@ -51,53 +53,79 @@ def _width(dt: T.DataType) -> int:
         return 8
     if isinstance(dt, T.DecimalType):
         return 8 if dt.precision <= 18 else 16
-    if isinstance(dt, T.StringType):
-        return 20
-    return 64
-
-
-def row_width(df: DataFrame) -> int:
-    return sum(_width(f.dataType) for f in df.schema.fields) + 8
-
+    return None
+
+
+def _value_bytes(col, dt: T.DataType):
+    """Column with the bytes one value takes: exact for text, binary and
+    arrays of fixed-width elements; other nested values count as the length
+    of their JSON text."""
+    fixed = _fixed_width(dt)
+    if fixed is not None:
+        return F.lit(fixed).cast("long")
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0)).cast("long") + F.lit(8)
+    if isinstance(dt, T.ArrayType) and _fixed_width(dt.elementType) is not None:
+        return F.coalesce(F.greatest(F.size(col), F.lit(0)), F.lit(0)).cast("long") * max(
+            8, _fixed_width(dt.elementType)
+        ) + F.lit(24)
+    return F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0)).cast("long") + F.lit(24)
+
+
+def row_bytes(df: DataFrame):
+    """Column with the in-memory bytes of one row of ``df``."""
+    total = F.lit(ROW_OVERHEAD).cast("long")
+    for f in df.schema.fields:
+        total = total + _value_bytes(df[f"`{f.name}`"], f.dataType)
+    return total
+
+
+def materialize_measured(df: DataFrame, name: str = "materialized") -> tuple[DataFrame, int, int]:
+    """``(stored, rows, bytes)``: compute ``df`` once and cut its lineage.
+
+    Written as parquet under the shared folder named by
+    ``spark.checkpoint.dir`` and read back (survives executor loss; never a
+    machine-local copy). Row count and real in-memory bytes (text and binary
+    by their own length) are observed during the same write job, so measuring
+    costs no extra job. (An RDD checkpoint would compute an unpersisted input
+    twice.)"""
+    from gridwright.session import scratch_path
 
-def estimated_bytes(df: DataFrame, rows: int | None = None) -> tuple[int, int]:
-    """(rows, estimated in-memory bytes). Without a known row count this
-    runs one count job, so call it on a materialised relation."""
-    if rows is None:
-        rows = df.count()
-    return rows, int(rows * row_width(df) * HASH_OVERHEAD)
+    path = scratch_path(df.sparkSession, name)
+    obs = Observation(f"{name}-size-{uuid.uuid4().hex[:8]}")
+    df.observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
+    ).write.mode("errorifexists").parquet(path)
+    got = obs.get
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"])
 
 
 def materialize_counted(df: DataFrame, name: str = "materialized") -> tuple[DataFrame, int]:
-    """Compute ``df`` once and cut its lineage: written as parquet under the
-    shared folder named by ``spark.checkpoint.dir`` and read back (survives
-    executor loss; never a machine-local copy). The row count is observed
-    during the same write job, so measuring costs no extra job. (An RDD
-    checkpoint would compute an unpersisted input twice.)"""
-    from gridwright.session import scratch_path
-
-    path = scratch_path(df.sparkSession, name)
-    obs = Observation(f"{name}-rows-{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+    """``materialize_measured`` without the bytes."""
+    return materialize_measured(df, name)[:2]
 
 
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
-    """``materialize_counted`` without the count."""
-    return materialize_counted(df, name)[0]
+    """``materialize_measured`` without the figures."""
+    return materialize_measured(df, name)[0]
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """In-memory bytes of a relation by one aggregation job over it."""
+    return int(df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0])
 
 
 def broadcast_if_small(
-    df: DataFrame, cap_bytes: int | None = None, rows: int | None = None
+    df: DataFrame, cap_bytes: int | None = None, size_bytes: int | None = None
 ) -> tuple[DataFrame, bool]:
-    """``(F.broadcast(df), True)`` when ``df``'s measured size is under the
-    cap, else ``(df, False)``. ``df`` should already be materialised; pass
-    its ``rows`` when known."""
+    """``(F.broadcast(df), True)`` when ``df``'s measured size (with the
+    hashed relation's overhead) is under the cap, else ``(df, False)``.
+    ``df`` should already be materialised; pass its bytes when known."""
     cap = broadcast_cap(df, cap_bytes)
     if cap <= 0:
         return df, False
-    _, size = estimated_bytes(df, rows)
-    if size <= cap:
+    size = measured_bytes(df) if size_bytes is None else size_bytes
+    if size * HASH_OVERHEAD <= cap:
         return F.broadcast(df), True
     return df, False
 
@@ -110,11 +138,11 @@ def small_side(df: DataFrame, name: str, cap_bytes: int | None = None) -> DataFr
     for a join or aggregate is bounded by its inputs -- so without this the
     big side of the join would be shuffled before AQE sees the real size.
     """
-    stored, rows = materialize_counted(df, name)
-    out, broadcast = broadcast_if_small(stored, cap_bytes, rows)
+    stored, rows, size = materialize_measured(df, name)
+    out, broadcast = broadcast_if_small(stored, cap_bytes, size)
     log.info(
-        "%s: %d rows, ~%d bytes in memory, cap %d bytes -> %s",
-        name, rows, estimated_bytes(stored, rows)[1], broadcast_cap(stored, cap_bytes),
+        "%s: %d rows, %d bytes measured, cap %d bytes -> %s",
+        name, rows, size, broadcast_cap(stored, cap_bytes),
         "broadcast" if broadcast else "shuffle join",
     )
     return out

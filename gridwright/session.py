@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -81,14 +82,20 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) is a private folder created.
+    The cluster names it in ``spark.checkpoint.dir``. Only a single-process
+    local session (tests) gets a private folder when it is unset; on any
+    other master that would be a folder the executors cannot see, so it is
+    an error.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise RuntimeError(
+                f"set spark.checkpoint.dir to a folder shared by all executors (master {spark.sparkContext.master})"
+            )
         configured = tempfile.mkdtemp(prefix="gridwright-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
@@ -155,7 +162,8 @@ def scratch_scope(spark: SparkSession):
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """Driver and executors are one process (``local-cluster`` is not)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 __all__ = [

@@ -7,6 +7,7 @@ import pytest
 from oracle import compare, duck
 
 import __spark_entry__ as se
+from gridwright.plans import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,10 +18,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.queries()) == set(se.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(se.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, name):
     res = compare(se.queries()[name](spark, SF), con, se.oracle_sql()[name])
     assert res["columns_match"], res
