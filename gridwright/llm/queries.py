@@ -10,10 +10,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwright.llm import hilbert_shards, packing, warc
+from gridwright.llm import byte_cnn, cap_filters, decontaminate, hilbert_shards, mil_quality, ngram_join, packing, warc
 from gridwright.llm.common import table
 
 
+def op1_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, by exact shingle containment."""
+    found = decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_shingles", "matched", "containment")
+
+
+def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of equal label, with link counts and components."""
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op3_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text."""
+    return byte_cnn.identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 runs of a Hilbert order, under the law ``rows``."""
     return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"), 40)
@@ -24,6 +40,16 @@ def op6_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text."""
+    return mil_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of the documents by 5-word shingles."""
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to WARC archives and read back sequentially."""
     return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
@@ -32,13 +58,18 @@ def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_minhash_containment,
+        op2_cap_filters,
+        op3_byte_cnn,
         op5_hilbert_shards,
         op6_hierarchical_packing,
+        op7_attention_mil,
+        op8_ngram_jaccard,
         op9_warc_round_trip,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_minhash_containment": decontaminate.ORACLE_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
