@@ -221,7 +221,7 @@ def identify_languages(documents: DataFrame, net: ByteNet | None = None) -> Data
     ).mapInArrow(rows, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def in_known_language(documents: DataFrame, least_score: float = 0.4, net: ByteNet | None = None) -> DataFrame:
+def in_known_language(documents: DataFrame, least_score: float = 0.3, net: ByteNet | None = None) -> DataFrame:
     """The documents (all columns) whose text is in one of the learned
     languages with at least ``least_score``; undetermined ones go."""
     net = net or fit(documents)

@@ -9,8 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from gridwright.llm import byte_cnn, cap_filters, decontaminate, hilbert_shards, mil_quality, ngram_join, packing, warc
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from gridwright.llm import (
+    byte_cnn,
+    cap_filters,
+    decontaminate,
+    hilbert_shards,
+    licenses,
+    mil_quality,
+    ngram_join,
+    packing,
+    toxicity_chain,
+    warc,
+)
 from gridwright.llm.common import table
 
 
@@ -30,6 +43,11 @@ def op3_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op4_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity categories of every whole text."""
+    return toxicity_chain.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 runs of a Hilbert order, under the law ``rows``."""
     return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"), 40)
@@ -55,17 +73,32 @@ def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own or inherited license of every document, laid out as files by source and id."""
+    found = licenses.scan_licenses(licenses.document_files(table(spark, sf_dir, "documents")))
+    doc_id = F.regexp_extract("path", r"(-?\d+)\.txt$", 1).cast("bigint")
+    return found.select(doc_id.alias("doc_id"), *found.columns)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_containment,
         op2_cap_filters,
         op3_byte_cnn,
+        op4_classifier_chain,
         op5_hilbert_shards,
         op6_hierarchical_packing,
         op7_attention_mil,
         op8_ngram_jaccard,
         op9_warc_round_trip,
+        op10_license_scan,
+        pipeline,
     )
 }
 
