@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import crc_mod, in_slices
+from gridwright.llm.common import crc_mod, hashed_sample, in_slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -178,20 +178,21 @@ def predict(net: ByteNet, texts: list[str | None]) -> tuple[list[str], np.ndarra
 def fit(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> ByteNet | None:
     """Train on labelled rows outside the held-out fold; None without any.
 
-    At most ``sample_docs`` documents, those with the smallest hash of their
-    id; of each, ``SAMPLE_PIECES`` evenly spaced pieces of a window's length.
+    About ``sample_docs`` documents, drawn by the hash of their id; of each,
+    ``SAMPLE_PIECES`` evenly spaced pieces of a window's length.
     """
     text = F.col("text").cast("string")
     piece = F.transform(
         F.sequence(F.lit(0), F.lit(SAMPLE_PIECES - 1)),
         lambda k: F.substring(text, (1 + F.floor(F.length(text) * k / SAMPLE_PIECES)).cast("int"), F.lit(WINDOW)),
     )
-    rows = (
-        documents.where(F.col("lang").isNotNull() & text.rlike(r"\p{L}")
-                        & (F.coalesce(crc_mod(F.col("doc_id"), FOLDS), F.lit(HELD_OUT)) != HELD_OUT))
-        .select(F.xxhash64("doc_id").alias("o"), F.col("lang").cast("string").alias("lang"), piece.alias("pieces"))
-        .orderBy("o", "lang", "pieces").limit(sample_docs).collect()
-    )
+    known = documents.where(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT))
+    chosen = hashed_sample(known, F.col("doc_id"), sample_docs).where(text.rlike(r"\p{L}"))
+    # One row per id, however often it is repeated.
+    each = chosen.groupBy("doc_id").agg(
+        F.min(F.struct(F.col("lang").cast("string").alias("lang"), piece.alias("pieces"))).alias("m"))
+    rows = sorted(each.select("doc_id", "m.lang", "m.pieces").collect())
     found = [(p, r["lang"]) for r in rows for p in dict.fromkeys(r["pieces"]) if LETTER.search(p)]
     return train([p for p, _ in found], [v for _, v in found]) if found else None
 

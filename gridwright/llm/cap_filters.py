@@ -18,8 +18,8 @@ closer pairs.
 Equal vectors are one row with a weight. The rows of a filter are cut into
 chunks by a hash, and every pair of chunks is one unit of work of bounded
 size, so a filter that holds a third of all vectors is spread over many
-tasks. A unit returns link counts and a spanning forest of its links, never
-its pairs; a pair that shares several filters counts in the smallest.
+tasks. A unit returns link counts and a few edges that connect its links,
+never its pairs; a pair that shares several filters counts in the smallest.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import in_slices, small_or_shuffled, written
+from gridwright.llm.common import in_slices, runs_of, small_or_shuffled, tied_edges, written
 from gridwright.llm.components import connected_components
 
 COSINE = 0.98
@@ -133,7 +133,8 @@ def unit_rows(entries: DataFrame, chunk: int) -> DataFrame:
 
 
 def unit_links(keys, own, rep, weight, x, caps, cosine: float) -> tuple[dict[int, int], list[tuple[int, int]]]:
-    """Links of one unit: weighted counts per vector, and a spanning forest.
+    """Links of one unit: weighted counts per vector, and edges that connect
+    what they connect.
 
     Rows of one chunk meet the rows of the other (all rows each other when
     the unit is a chunk with itself). A pair counts here only when this
@@ -143,15 +144,7 @@ def unit_links(keys, own, rep, weight, x, caps, cosine: float) -> tuple[dict[int
     first = np.flatnonzero(own == i)
     second = first if i == j else np.flatnonzero(own == j)
     counts: dict[int, int] = {}
-    root = {int(r): int(r) for r in rep}
-
-    def find(r: int) -> int:
-        while root[r] != r:
-            root[r] = root[root[r]]
-            r = root[r]
-        return r
-
-    forest = []
+    forest: set[tuple[int, int]] = set()
     for at in range(0, len(first), TILE):
         a = first[at : at + TILE]
         for to in range(0, len(second), TILE):
@@ -162,33 +155,13 @@ def unit_links(keys, own, rep, weight, x, caps, cosine: float) -> tuple[dict[int
             if not len(p):
                 continue
             p, q = a[p], b[q]
-            # Members of one forest tree need no further edge.
-            for s, t in zip(rep[p].tolist(), rep[q].tolist(), strict=True) if len(p) < 4096 else _thin(rep, p, q):
-                u, v = find(s), find(t)
-                if u != v:
-                    root[max(u, v)] = min(u, v)
-                    forest.append((max(u, v), min(u, v)))
+            forest.update(zip(*(v.tolist() for v in tied_edges(rep, p, q)), strict=True))
             here = _smallest_shared(caps, p, q, cap)
             for s, w in ((p[here], weight[q[here]]), (q[here], weight[p[here]])):
                 who, back = np.unique(s, return_inverse=True)
                 for r, n in zip(rep[who].tolist(), np.bincount(back, w).tolist(), strict=True):
                     counts[r] = counts.get(r, 0) + int(n)
-    return counts, forest
-
-
-def _thin(rep: np.ndarray, p: np.ndarray, q: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Edges that connect what the links (p, q) connect: rounds of tying every
-    row to the smallest row it links to."""
-    label = rep.copy()
-    while True:
-        least = label.copy()
-        np.minimum.at(least, p, label[q])
-        np.minimum.at(least, q, label[p])
-        if (least == label).all():
-            break
-        label = least
-    ends = np.union1d(p, q)
-    yield from zip(rep[ends].tolist(), label[ends].tolist(), strict=True)
+    return counts, sorted(forest)
 
 
 def _smallest_shared(caps: list[np.ndarray], p: np.ndarray, q: np.ndarray, cap: int) -> np.ndarray:
@@ -213,33 +186,13 @@ def _smallest_shared(caps: list[np.ndarray], p: np.ndarray, q: np.ndarray, cap:
 
 
 def run_units(units: DataFrame, cosine: float) -> DataFrame:
-    """(a, b, n): counts as (vector, null, n), forest edges as (a, b, 0)."""
-
-    def units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """The rows of one unit at a time, from rows sorted by unit."""
-        held: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)], 1)
-            starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
-            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
-                if hi == lo:
-                    continue
-                key = tuple(keys[lo].tolist())
-                if held and key != last:
-                    yield pa.Table.from_batches(held)
-                    held = []
-                held.append(batch.slice(lo, hi - lo))
-                last = key
-        if held:
-            yield pa.Table.from_batches(held)
+    """(a, b, n): counts as (vector, null, n), edges as (a, b, 0)."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for unit in units_of(batches):
-            if unit.num_rows < 2:
+        for t in runs_of(batches, 5):
+            if t.num_rows < 2:
                 continue
-            t = unit.combine_chunks()
             keys = tuple(t.column(k)[0].as_py() for k in range(5))
             own, rep, weight = (t.column(k).to_numpy() for k in ("own", "rep", "weight"))
             x = np.stack([v.values.to_numpy() for v in t.column("embedding")]).astype(np.float64)

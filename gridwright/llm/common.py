@@ -36,6 +36,14 @@ def crc_mod(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(divisor)
 
 
+def hashed_sample(df: DataFrame, key: Column, size: int) -> DataFrame:
+    """About ``size`` rows (all, if there are fewer): those whose key hashes
+    into the lowest share of the hash space. One count job; nothing is sorted
+    and no task sends more than its share."""
+    share = min(1.0, size / max(1, df.count()))
+    return df.where(F.xxhash64(key) <= F.lit(int(-(2**63) + share * (2**64 - 2**12))))
+
+
 def small_or_shuffled(df: DataFrame, name: str, cap: int = BROADCAST_CAP) -> DataFrame:
     """Write ``df`` once and mark it for broadcast when its measured bytes
     are under ``cap``; otherwise return it unmarked for a shuffle join."""
@@ -72,6 +80,44 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Recor
             yield batch.slice(at, rows)
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows of one key at a time, from rows sorted by their first ``keys``
+    (integer) columns. Holds one key's rows."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)], 1)
+        starts = [0, *(np.flatnonzero((found[1:] != found[:-1]).any(1)) + 1).tolist(), len(found)]
+        for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+            key = tuple(found[lo].tolist())
+            if held and key != last:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def tied_edges(ids: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Few edges that connect what the links between rows p[k] and q[k]
+    connect: each linked row with the smallest id it reaches. At most one edge
+    per row, however many links there are."""
+    label = ids.copy()
+    while True:
+        least = label.copy()
+        np.minimum.at(least, p, label[q])
+        np.minimum.at(least, q, label[p])
+        if (least == label).all():
+            break
+        label = least
+    ends = np.union1d(p, q)
+    ends = ends[ids[ends] != label[ends]]
+    return ids[ends], label[ends]
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use."""
     taken = {c.lower() for c in df.columns}

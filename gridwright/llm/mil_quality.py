@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import byte_lists, crc_mod, in_slices, small_or_shuffled
+from gridwright.llm.common import byte_lists, crc_mod, hashed_sample, in_slices, small_or_shuffled
 
 PASSAGE = 512
 LAGS = tuple(range(2, 18))
@@ -182,7 +182,7 @@ def _gradients(m: AttentionModel, x: np.ndarray, starts: np.ndarray, y: np.ndarr
 def fit(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> AttentionModel | None:
     """Train on labelled documents outside the held-out fold; None without any.
 
-    At most ``sample_docs`` of them, those with the smallest hash of their id.
+    About ``sample_docs`` of them, drawn by the hash of their id.
     A document with several labels takes their majority (a tie counts as 1);
     null labels do not count.
     """
@@ -190,9 +190,9 @@ def fit(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS)
         F.col("quality").isNotNull() & (F.coalesce(crc_mod(F.col("doc_id"), FOLDS), F.lit(HELD_OUT)) != HELD_OUT)
     ).groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         (F.avg(F.col("quality").cast("double")) >= 0.5).cast("int").alias("quality"))
-    chosen = known.withColumn("o", F.xxhash64("doc_id")).orderBy("o", "doc_id").limit(sample_docs)
+    chosen = hashed_sample(known, F.col("doc_id"), sample_docs).withColumn("o", F.xxhash64("doc_id"))
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # sample_docs rows of 16 bytes: their size is bounded, and measured all the same.
+    # About sample_docs rows of 16 bytes: measured all the same.
     texts = texts.join(small_or_shuffled(chosen, "quality-sample"), "doc_id").select("o", "doc_id", "quality", "text")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,11 +205,12 @@ def fit(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS)
                 found.append(np.round(passage_features(rows[at]) * 10_000).astype(np.int64).ravel())
             yield pa.record_batch([o, doc_id, quality, byte_lists(found)], names=["o", "doc_id", "quality", "bag"])
 
-    rows = texts.mapInArrow(bags, "o bigint, doc_id bigint, quality int, bag array<bigint>").select(
-        "o", "quality", F.col("bag").cast("array<smallint>").alias("bag")).collect()
+    # One row per id, however often it is repeated.
+    rows = texts.mapInArrow(bags, "o bigint, doc_id bigint, quality int, bag array<bigint>").groupBy(
+        "o", "doc_id", "quality").agg(F.min(F.col("bag").cast("array<smallint>")).alias("bag")).collect()
     if not rows:
         return None
-    rows = sorted(rows, key=lambda r: (r["o"], r["quality"], r["bag"]))
+    rows = sorted(rows, key=lambda r: (r["o"], r["doc_id"]))
     return train([np.array(r["bag"], np.float32).reshape(-1, FEATURES) / 10_000 for r in rows],
                  np.array([r["quality"] for r in rows], np.float32))
 

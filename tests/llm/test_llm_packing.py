@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from gridwright.llm import packing
+
+TEXTS = ["", None, "Hello world", "a  b\t c\n\n d", "it's the <|endoftext|> of it", "é ü ñ " * 50, "word " * 3000,
+         " lead and trail ", "line one\nline two\n", "\x00 nul", "12,345 !! ??", "x\r\ny z"]
+
+
+def reference_ids(texts):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    return [t.encode(x or "", add_special_tokens=False).ids + [0] for x in texts]
+
+
+def check(rows, docs):
+    """Every id of every document in exactly one piece; sequences gapless, no padding."""
+    ids = {d: np.array(i, "<u4") for d, i in docs.items()}
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert len(part) == r.length > 0 and zlib.crc32(part.tobytes()) == r.ids_crc32
+        assert r.doc_tokens == len(ids[r.doc_id])
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length, r.tier))
+    for d, own in pieces.items():
+        at = 0
+        for start, length in sorted(own):
+            assert start == at
+            at += length
+        assert at == len(ids[d])
+    assert set(pieces) == set(ids)
+    for own in sequences.values():
+        at = 0
+        for offset, length, _ in sorted(own):
+            assert offset == at
+            at += length
+        assert at == own[0][2] <= packing.CONTEXT and at & (at - 1) == 0
+
+
+def test_round_trip_against_the_tokenizer(spark):
+    texts = TEXTS * 4
+    df = spark.createDataFrame([(k, t, k) for k, t in enumerate(texts)], "doc_id bigint, text string, tier int")
+    check(packing.pack_documents(df).collect(), dict(enumerate(reference_ids(texts))))
+
+
+def test_test_documents_have_no_padding(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text for r in df.collect()}
+    check(packing.pack_documents(df).collect(), dict(zip(texts, reference_ids(texts.values()), strict=True)))
+
+
+def test_words_give_the_tokenizers_ids():
+    encoder = packing.tokenizer(packing.tokenizer_path(), packing.tokenizer_path(packing.RANKS))
+    texts = [t for t in TEXTS if t] + [chr(c) + " a" + chr(c) for c in (0x85, 0x2003, 0x3000, 0x200B, 0x1F600, 0x301)]
+    for _ in range(2):  # the second time from memory
+        got = [np.frombuffer(x, "<u4").tolist() + [0] for x in encoder.encode(texts)]
+        assert got == reference_ids(texts)
+
+
+def test_tiers_and_step_groups(spark):
+    df = spark.createDataFrame([(k, "word " * (k % 900)) for k in range(1500)], "doc_id bigint, text string")
+    rows = packing.pack_documents(df.coalesce(1), step_tokens=4096).collect()
+    tiers = {r.sequence_id: (r.tier, r.step_group) for r in rows}
+    groups = defaultdict(int)
+    for tier, group in tiers.values():
+        groups[tier, group] += tier
+    assert max(groups.values()) <= 4096
+    full = [k for k, v in groups.items() if v == 4096]
+    assert len(full) > 0.8 * len(groups) - 12 and {t for t, _ in tiers.values()} >= {128, 1024}
+
+
+def test_repeated_rows_null_ids_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, None)], "doc_id bigint, text string")
+    rows = packing.pack_documents(df.coalesce(1)).collect()
+    assert sum(r.length for r in rows) == 4 + 4 + 1 and {r.doc_id for r in rows} == {1, None}
+    assert packing.pack_documents(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack_documents(df, tiers=(100,))

@@ -1,0 +1,102 @@
+"""The registered queries and the pipeline."""
+
+from __future__ import annotations
+
+import ast
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+from llm_brute import contaminations, near_vectors, ngram_components
+from oracle import compare, duck
+
+import __spark_entry__ as se
+import corpus_pipeline
+from gridwright.llm import byte_cnn, mil_quality, queries
+
+SF = "/root/testdata/sf0.001"
+ROOT = Path(__file__).resolve().parents[2]
+
+
+def table(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+def test_one_query_per_operator_and_the_pipeline():
+    names = set(queries.queries())
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert len(names) == 11 and names <= set(se.queries())
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_oracle(spark, name):
+    res = compare(se.queries()[name](spark, SF), duck(SF), se.oracle_sql()[name])
+    assert res["columns_match"] and res["values_match"], res
+
+
+def test_joins_against_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in se.queries()["op8_ngram_jaccard"](spark, SF).collect()}
+    assert got == ngram_components(docs)
+    vectors = [(r.vec_id, r.embedding, r.label) for r in table(spark, "embeddings").collect()]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in se.queries()["op2_cap_filters"](spark, SF).collect()}
+    assert got == near_vectors(vectors)
+
+
+def test_license_scan_finds_the_planted_lines(spark):
+    rows = {r.doc_id: r for r in se.queries()["op10_license_scan"](spark, SF).collect()}
+    docs = table(spark, "documents").collect()
+    assert len(rows) == len(docs)
+    for d in docs:
+        if "Licensed under the Apache License, Version 2.0." in d.text.split("\n"):
+            assert rows[d.doc_id].license == "Apache-2.0" and rows[d.doc_id].origin == "own"
+
+
+def test_pipeline_stage_by_stage(spark):
+    """Each stage against a plain version on the same rows; the run packs what is left."""
+    docs = table(spark, "documents")
+    left = docs
+    model, net = mil_quality.fit(docs, table(spark, "labels")), None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = left.collect()
+        kept = stage(spark, left, SF)
+        assert kept.columns == docs.columns
+        got = Counter(r.doc_id for r in kept.collect())
+        if name == "quality":
+            keep = [r.doc_id for r in rows if model.scores([r.text])[0] >= 0.3]
+        elif name == "language":
+            net = byte_cnn.fit(left)
+            found = byte_cnn.predict(net, [r.text for r in rows])
+            keep = [r.doc_id for r, v, s in zip(rows, *found, strict=True) if v != "und" and s >= 0.3]
+        elif name == "near_duplicates":
+            comps = ngram_components([(r.doc_id, r.text) for r in rows])
+            keep = [i for i, (_, c) in comps.items() if i == c]
+        else:
+            items = [(r.item_id, r.text) for r in table(spark, "benchmark").collect()]
+            gone = {d for d, _ in contaminations([(r.doc_id, r.text) for r in rows], items)}
+            keep = [r.doc_id for r in rows if r.doc_id not in gone]
+        assert got == Counter(keep), name
+        left = spark.createDataFrame(kept.collect(), docs.schema)
+    run = corpus_pipeline.run(spark, SF).collect()
+    assert {r.doc_id for r in run} == {r.doc_id for r in left.collect()}
+    assert np.sum([r.length for r in run]) == sum({r.doc_id: r.doc_tokens for r in run}.values())
+
+
+def test_stages_survive_nulls_and_empty_tables(spark):
+    docs = table(spark, "documents")
+    odd = spark.createDataFrame([(None, None, None, None, None), (7, "", "en", "s", 0), (7, "", "en", "s", 0)], docs.schema)
+    for rows in (docs.limit(0), docs.limit(40).unionByName(odd)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, rows, SF)
+            assert out.count() <= 60 * 40, name
+
+
+def test_nothing_else_imports_the_subpackage():
+    for path in (ROOT / "gridwright").rglob("*.py"):
+        if "llm" in path.parts:
+            continue
+        for node in ast.walk(ast.parse(path.read_text())):
+            names = [a.name for a in node.names] if isinstance(node, ast.Import) else (
+                [node.module or ""] if isinstance(node, ast.ImportFrom) else [])
+            assert not any("llm" in n or "corpus_pipeline" in n for n in names), path

@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import io
+import os
+
+import pytest
+
+from gridwright.llm import warc
+from gridwright.session import scratch_path
+
+SCHEMA = "page_id bigint, url string, html string"
+PAGES = [
+    (5, "http://a/1", "<p>same</p>"), (3, "http://a/2", "<p>same</p>"), (9, None, "<p>same</p>"),
+    (1, "http://b/ü\r\nX: y", "é" * 100), (2, "http://c", None), (4, "http://c", ""), (None, "http://d", "alone"),
+    (None, "http://e", "<p>same</p>"), (7, "u", "line\r\n\r\nWARC/1.0\r\n" * 3), (8, "big", "x" * 3_000_000),
+]
+
+
+def digest(html):
+    return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+
+
+def expected(pages):
+    first = {}
+    for i, _, h in pages:
+        if i is not None:
+            first[h or ""] = min(i, first.get(h or "", i))
+    out = []
+    for i, _, h in pages:
+        f = first.get(h or "")
+        new = i == f
+        out.append((i, len((h or "").encode()), digest(h), "response" if new else "revisit", None if new else f))
+    return sorted(out, key=str)
+
+
+def result(df, spark):
+    rows = warc.archive_round_trip(spark, df).collect()
+    return sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows), key=str)
+
+
+def test_round_trip(spark):
+    assert result(spark.createDataFrame(PAGES, SCHEMA).repartition(3), spark) == expected(PAGES)
+
+
+def test_whole_pages_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    assert result(df, spark) == expected([tuple(r) for r in df.select("page_id", "url", "html").collect()])
+
+
+def test_payloads_come_back_and_revisits_resolve(spark):
+    folder = scratch_path(spark, "warc-test")
+    warc.write_archives(spark, spark.createDataFrame(PAGES, SCHEMA), folder)
+    rows = warc.resolve_revisits(warc.read_archives(spark, folder)).collect()
+    assert sorted((str(r.page_id), bytes(r.payload)) for r in rows) == sorted(
+        (str(i), (h or "").encode()) for i, _, h in PAGES)
+
+
+def test_one_gzip_member_per_record(spark):
+    folder = scratch_path(spark, "warc-test")
+    warc.write_archives(spark, spark.createDataFrame(PAGES, SCHEMA).coalesce(1), folder)
+    fs, local = warc.filesystem(folder)
+    names = [f for f in os.listdir(local) if f.endswith(".warc.gz")]
+    assert names and not [f for f in os.listdir(local) if ".part-" in f]
+    data = b"".join(open(f"{local}/{n}", "rb").read() for n in names)
+    records = list(warc.read_records(io.BytesIO(data)))
+    assert len(records) == len(PAGES) + len(names)
+    for (start, headers, block), (end, _, _) in zip(records, [*records[1:], (len(data), None, None)], strict=True):
+        assert gzip.decompress(data[start:end]).startswith(b"WARC/1.1\r\n")
+        assert int(headers["content-length"]) == len(block)
+
+
+def test_damaged_archives_are_refused():
+    good = warc.page_record(1, "u", b"payload", warc.base32_sha1(b"payload"), "response", None)
+    _, headers, block = next(warc.read_records(io.BytesIO(good)))
+    assert warc.page_row(0, headers, block, "a")["payload"] == b"payload"
+    with pytest.raises(warc.WarcError):
+        list(warc.read_records(io.BytesIO(good[:-9])))
+    flipped = gzip.decompress(good).replace(b"payload", b"poyload", 1) if b"payload" in gzip.decompress(good) else b""
+    with pytest.raises(warc.WarcError):
+        list(warc.read_records(io.BytesIO(gzip.compress(flipped))))
+    wrong = warc.page_record(1, "u", b"payload", warc.base32_sha1(b"other"), "response", None)
+    _, headers, block = next(warc.read_records(io.BytesIO(wrong)))
+    with pytest.raises(warc.WarcError):
+        warc.page_row(0, headers, block, "a")
+
+
+def test_empty_table_repeated_rows_and_extra_columns(spark):
+    df = spark.createDataFrame([(1, "u", "h", 1, "x"), (1, "u", "h", 1, "x"), (2, "u", "h", 1, "x")],
+                               SCHEMA + ", n int, sha1 string")
+    rows = warc.archive_round_trip(spark, df).collect()
+    assert sorted((r.page_id, r.record_type) for r in rows) == [(1, "response"), (1, "response"), (2, "revisit")]
+    assert warc.archive_round_trip(spark, df.limit(0)).count() == 0
