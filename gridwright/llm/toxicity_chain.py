@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import in_slices, small_or_shuffled, written
+from gridwright.llm.common import hashed_sample, in_slices, small_or_shuffled, written
 
 SAMPLE_DOCS = 20_000
 FEATURES = 4096
@@ -150,19 +150,23 @@ def training_sample(documents: DataFrame, labels: DataFrame, sample_docs: int) -
     marked = labels.where(F.col("toxic").isNotNull() & F.col("quality").isNotNull()).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), *[c.alias(k) for k, c in label_columns().items()])
     known = marked.where("doc_id is not null").groupBy("doc_id").agg(*[F.max(k).alias(k) for k in CATEGORIES])
-    chosen = known.withColumn("key", F.xxhash64("doc_id")).orderBy("key", "doc_id").limit(sample_docs)
+    chosen = hashed_sample(known, F.col("doc_id"), sample_docs).withColumn("key", F.xxhash64("doc_id"))
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return written(
         texts.join(small_or_shuffled(chosen, "toxicity-chosen"), "doc_id").where("text is not null")
-        .select("key", *CATEGORIES, "text"), "toxicity-sample")
+        .groupBy("key", *CATEGORIES).agg(F.min("text").alias("text")), "toxicity-sample")  # one row per id
 
 
 def strongest_features(sample: DataFrame, limit: int = FEATURES) -> list[str]:
     """The features that tell a category best, by document counts over the sample."""
-    word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]+)"), F.lit(1)))).alias("w")
-    begin = [F.when(F.length("w") > n, F.concat(F.substring("w", 1, n), F.lit("*"))) for n in BEGINNINGS]
-    each = sample.withColumn("row", F.monotonically_increasing_id()).select("row", *CATEGORIES, word).select(
-        "row", *CATEGORIES, F.explode(F.array_compact(F.array("w", *begin))).alias("f")).distinct()
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]+)"), F.lit(1)))
+    begin = [
+        F.transform(F.filter("words", lambda w, n=n: F.length(w) > n),
+                    lambda w, n=n: F.concat(F.substring(w, F.lit(1), F.lit(n)), F.lit("*")))
+        for n in BEGINNINGS
+    ]
+    each = sample.withColumn("words", words).select(
+        *CATEGORIES, F.explode(F.array_distinct(F.concat("words", *begin))).alias("f"))
     counts = each.groupBy("f").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in CATEGORIES]).where(f"n >= {LEAST_DOCS}")
     totals = sample.agg(F.count(F.lit(1)).alias("n"), *[F.sum(k).alias(k) for k in CATEGORIES]).first()
@@ -182,7 +186,7 @@ def strongest_features(sample: DataFrame, limit: int = FEATURES) -> list[str]:
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Chain | None:
-    """Train the chain on at most ``sample_docs`` labelled documents; None
+    """Train the chain on about ``sample_docs`` labelled documents; None
     when no category has both kinds of labels or no feature tells them."""
     sample = training_sample(documents, labels, sample_docs)
     features = strongest_features(sample)
