@@ -31,17 +31,6 @@ def run_date(as_of: _dt.date | str | None = None) -> Column:
     return F.lit(as_of)
 
 
-def not_like(col: str | Column, substring: str) -> Column:
-    """``col NOT LIKE '%substring%'`` with the substring literal."""
-    c = F.col(col) if isinstance(col, str) else col
-    return ~c.contains(F.lit(substring))
-
-
-def coalesce_from(target: str, source: str) -> Column:
-    """NULL in ``target`` filled from ``source``."""
-    return F.coalesce(F.col(target), F.col(source))
-
-
 def label_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """Assign column labels positionally, e.g. from result metadata."""
     names = list(names)
@@ -50,4 +39,4 @@ def label_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-__all__ = ["coalesce_from", "date_parts", "label_columns", "month_start", "not_like", "run_date"]
+__all__ = ["date_parts", "label_columns", "month_start", "run_date"]

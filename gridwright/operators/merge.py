@@ -7,6 +7,12 @@ with ``<=>``: Spark plans it as an ordinary hash or sort-merge equi-join on
 left side fan out once per matching right row; unmatched left rows keep
 NULLs on the right columns.
 
+A left outer join lets AQE split a hot key on the left side only. With
+``split_skew=True`` the merge is an inner join, in which AQE splits either
+side, united with the left rows whose key the right side does not have. That
+costs a second pass over the left side, so it is for merges whose right side
+is too big to broadcast.
+
 A key pair of the same name is kept once (left value); differently named
 keys both survive. Non-key columns present on both sides raise instead of
 being silently suffixed, and a numeric key against a text key raises
@@ -61,8 +67,10 @@ def left_merge(
     *,
     on: list[str] | None = None,
     null_safe: bool = True,
+    split_skew: bool = False,
 ) -> DataFrame:
     """Left outer join matching NULL keys to NULL keys (``null_safe=True``).
+    ``split_skew`` plans it so that a hot key is split on either side.
 
     Output columns: all left columns in order, then the right columns in
     order minus right keys that share their name with the paired left key.
@@ -93,11 +101,21 @@ def left_merge(
         lambda a, b: a & b,
         [eq(F.col(lk), F.col(tag[rk])) for lk, rk in zip(left_on, right_on)],
     )
-    joined = left.join(r, cond, "left")
-    return joined.select(
+    joined = left.join(r, cond, "inner" if split_skew else "left").select(
         *[F.col(c) for c in left.columns],
         *[F.col(tag[c]).alias(c) for c in right_kept],
     )
+    if not split_skew:
+        return joined
+    # One row per right key (aggregated before its shuffle), so the hot right
+    # key is one row here, and AQE splits a hot left key.
+    keys = r.select(*[F.col(tag[rk]) for rk in dict.fromkeys(right_on)]).distinct()
+    types = {f.name: f.dataType for f in right.schema.fields}
+    unmatched = left.join(keys, cond, "left_anti").select(
+        *[F.col(c) for c in left.columns],
+        *[F.lit(None).cast(types[c]).alias(c) for c in right_kept],
+    )
+    return joined.unionByName(unmatched)
 
 
 def fill_from(df: DataFrame, target: str, source: str) -> DataFrame:

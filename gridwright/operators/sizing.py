@@ -131,6 +131,11 @@ def broadcast_if_small(
 
 
 def small_side(df: DataFrame, name: str, cap_bytes: int | None = None) -> DataFrame:
+    """``measured_side`` without the decision."""
+    return measured_side(df, name, cap_bytes)[0]
+
+
+def measured_side(df: DataFrame, name: str, cap_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Materialise a relation expected to be small (a dimension-derived map,
     an aggregate) and broadcast it when its measured size is under the cap.
 
@@ -145,4 +150,4 @@ def small_side(df: DataFrame, name: str, cap_bytes: int | None = None) -> DataFr
         name, rows, size, broadcast_cap(stored, cap_bytes),
         "broadcast" if broadcast else "shuffle join",
     )
-    return out
+    return out, broadcast

@@ -36,8 +36,8 @@ Plan shape (see README "Plans at scale"):
 * The grade expansion is an ``explode`` of a literal array: no union of
   three copies, no extra scan.
 * No join carries an unconditional broadcast hint. The only explicit
-  broadcasts are of materialised relations (maxima, the territory map, the
-  staffed grid) whose measured size is under the cap; elsewhere the planner broadcasts a side whose estimated size is under
+  broadcasts are of materialised relations (maxima, the city map, the staff
+  counts, the staffed grid) whose measured size is under the cap; elsewhere the planner broadcasts a side whose estimated size is under
   ``spark.sql.autoBroadcastJoinThreshold`` and AQE converts joins at
   runtime from measured sizes; anything bigger is a sort-merge join, with
   AQE splitting skewed partitions.
@@ -57,7 +57,7 @@ from gridwright.operators.filters import exclude_containing, exclude_equal, excl
 from gridwright.operators.latest import last_day_in_month, latest_per_group
 from gridwright.operators.merge import fill_from, left_merge
 from gridwright.operators.reduce import count_by, distinct_keys, expand_levels
-from gridwright.operators.sizing import small_side
+from gridwright.operators.sizing import materialize, measured_side, small_side
 from gridwright.session import run_concurrently
 
 SALARY_COLUMNS = ["territory", "city", "city_code", "position", "level", "salary", "run_date", "leader_level"]
@@ -129,6 +129,13 @@ def territory_map(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
     return _plain_text(distinct_keys(joined, ["territory", "city_ref"]), ["territory"], cfg.collation)
 
 
+def city_territories(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
+    """City names and codes with the territories of each city: the two small
+    city-keyed relations meet first, so the pay rows meet them once."""
+    cities = sources["cities"].select("city_ref", "city", "city_code")
+    return cities.join(territory_map(sources, cfg), "city_ref")
+
+
 def allowed_positions(positions: DataFrame, cfg: JobConfig) -> DataFrame:
     """Positions whose pay counts: prefix not excluded, name not the
     excluded one, name without the outsourced marker; NULLs fail all three
@@ -153,16 +160,15 @@ def salary_in_force(
 ) -> DataFrame:
     """G1: territory, city, city_code, position, level, salary, run_date,
     leader_level; one row per latest pay row and territory of its city."""
-    cities = sources["cities"].select("city_ref", "city", "city_code")
     positions = allowed_positions(sources["positions"], cfg).select("position_ref", "position", "leader_level")
     if strategy == "auto":
-        latest, territories = run_concurrently(
+        latest, places = run_concurrently(
             lambda: latest_pay(sources, strategy),
-            lambda: small_side(territory_map(sources, cfg), "territory-map"),
+            lambda: small_side(city_territories(sources, cfg), "city-territories"),
         )
     else:
-        latest, territories = latest_pay(sources, strategy), territory_map(sources, cfg)
-    out = latest.join(cities, "city_ref").join(positions, "position_ref").join(territories, "city_ref")
+        latest, places = latest_pay(sources, strategy), city_territories(sources, cfg)
+    out = latest.join(places, "city_ref").join(positions, "position_ref")
     return out.select(
         "territory",
         "city",
@@ -236,29 +242,22 @@ def position_grid(sources: dict[str, DataFrame], cfg: JobConfig, strategy: str =
     return expand_levels(position_base(sources, cfg, strategy), cfg.levels, "level")
 
 
-def staffed_grid(grid: DataFrame, staff: DataFrame) -> DataFrame:
+def staffed_grid(grid: DataFrame, staff: DataFrame, split_skew: bool = False) -> DataFrame:
     """Grid rows left-merged with staff groups on (firm, position, level) =
     (branch, position, pay_level), NULL matching NULL (J12), then the staff
     city and branch filled from the firm's where missing (E4)."""
-    main = left_merge(grid, staff, ["firm", "position", "level"], ["branch", "position", "pay_level"])
+    main = left_merge(
+        grid, staff, ["firm", "position", "level"], ["branch", "position", "pay_level"], split_skew=split_skew)
     main = fill_from(main, "city", "firm_city")
     return fill_from(main, "branch", "firm")
 
 
-def staffed_side(grid: DataFrame, staff: DataFrame, strategy: str = "auto") -> DataFrame:
-    """The staffed grid as the right side of the final merge: under ``auto``
-    materialised and, if it measures under the cap, broadcast, so the pay
-    rows are not shuffled for the merge."""
-    main = staffed_grid(grid, staff)
-    return small_side(main, "staffed-grid") if strategy == "auto" else main
-
-
-def merge_pay(salary: DataFrame, main: DataFrame) -> DataFrame:
+def merge_pay(salary: DataFrame, main: DataFrame, split_skew: bool = False) -> DataFrame:
     """Pay rows left-merged with the staffed grid on (city, position, level),
     NULL matching NULL (J13); the eight published columns (P4), a missing
     head-count as 0 (E5). A pay row without any grid row keeps a NULL
     branch."""
-    out = left_merge(salary, main, on=["city", "position", "level"])
+    out = left_merge(salary, main, on=["city", "position", "level"], split_skew=split_skew)
     return out.select(
         "territory",
         "city",
@@ -271,9 +270,31 @@ def merge_pay(salary: DataFrame, main: DataFrame) -> DataFrame:
     )
 
 
+def measured_merges(salary, grid: DataFrame, staff: DataFrame) -> DataFrame:
+    """J12, E4, J13, P4, E5 with both right sides written and measured. Under
+    the cap a right side is broadcast and nothing is shuffled for its merge;
+    over it, the merge is planned so that AQE can split a hot key on either
+    side (the written copy is then read twice). ``salary`` is a callable, run
+    beside the measuring."""
+
+    def staffed() -> tuple[DataFrame, bool]:
+        counts, small = measured_side(staff, "staff-counts")
+        return measured_side(staffed_grid(grid, counts, split_skew=not small), "staffed-grid")
+
+    pay, (main, small) = run_concurrently(salary, staffed)
+    if not small:
+        # The pay rows are read twice by the split merge: computed once.
+        pay = materialize(pay, "salary-in-force")
+    return merge_pay(pay, main, split_skew=not small)
+
+
 def assemble(salary: DataFrame, staff: DataFrame, grid: DataFrame, strategy: str = "auto") -> DataFrame:
-    """The staffed grid (J12, E4) merged into the pay rows."""
-    return merge_pay(salary, staffed_side(grid, staff, strategy))
+    """The staffed grid (J12, E4) merged into the pay rows.
+    Only ``auto`` measures; the other strategies stay lazy, with merges that
+    split a hot key on either side."""
+    if strategy == "auto":
+        return measured_merges(lambda: salary, grid, staff)
+    return merge_pay(salary, staffed_grid(grid, staff, split_skew=True), split_skew=True)
 
 
 def build_pay_grid(
@@ -286,22 +307,12 @@ def build_pay_grid(
     (the publish write) runs it. Under ``auto`` small jobs run while the
     plan is built: they write to the shared folder, and measure, the
     per-group maxima of the pay register and of the document headers, the
-    territory map, the staff counts and the staffed grid -- the relations
-    that are broadcast when they fit under the cap. Independent ones are
-    built concurrently."""
+    city and territory map, the staff counts and the staffed grid -- the
+    relations that are broadcast when they fit under the cap, and read twice
+    by the split merge when they do not. Independent ones are built
+    concurrently."""
     validate_sources(sources)
+    grid, staff = position_grid(sources, cfg, strategy), headcount(sources, cfg)
     if strategy != "auto":
-        grid, staff = position_grid(sources, cfg, strategy), headcount(sources, cfg)
-        return merge_pay(salary_in_force(sources, cfg, as_of, strategy), staffed_side(grid, staff, strategy))
-
-    def grid_side() -> DataFrame:
-        # The grid and the staff counts do not depend on each other: measure
-        # both at once, then the staffed grid from the two small sides.
-        grid, staff = run_concurrently(
-            lambda: position_grid(sources, cfg, strategy),
-            lambda: small_side(headcount(sources, cfg), "staff-counts"),
-        )
-        return staffed_side(grid, staff, strategy)
-
-    salary, main = run_concurrently(lambda: salary_in_force(sources, cfg, as_of, strategy), grid_side)
-    return merge_pay(salary, main)
+        return assemble(salary_in_force(sources, cfg, as_of, strategy), staff, grid, strategy)
+    return measured_merges(lambda: salary_in_force(sources, cfg, as_of, strategy), grid, staff)

@@ -34,12 +34,19 @@ def refresh(
     as_of: _dt.date | str | None = None,
     strategy: str = "auto",
     served: bool = False,
+    land: bool = False,
 ) -> str:
     """Rebuild and publish the mart; returns the location now served. The
     scratch data the plan materialised is removed once the publish write,
     its last reader, has finished. ``served=True`` publishes under the served
-    table's own column names (with the layout renamed to match)."""
+    table's own column names (with the layout renamed to match). ``land=True``
+    reads every relation once, into the shared folder, before planning (for
+    JDBC sources: one consistent read of each, and one load)."""
     with scratch_scope(spark):
+        if land:
+            from gridwright.sources.erp import land_sources
+
+            sources = land_sources(spark, sources)
         grid = build_pay_grid(sources, cfg, as_of=as_of, strategy=strategy)
         if served:
             from gridwright.sources.erp import served_layout, served_names
@@ -56,6 +63,10 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--parquet", help="folder holding one <relation>.parquet per relation")
     src.add_argument("--erp-url", help="JDBC URL of the ERP database (the HR one via --hr-url)")
     ap.add_argument("--hr-url", help="JDBC URL of the HR database holding the staff list")
+    ap.add_argument(
+        "--connections",
+        help="JSON file with user, password source, driver and per-relation partitioning (see load_connection_options)",
+    )
     ap.add_argument("--served-names", action="store_true", help="publish with the served column names")
     ap.add_argument("--report", action="store_true", help="print the quality figures of the published data")
     ap.add_argument(
@@ -75,11 +86,14 @@ def main(argv: list[str] | None = None) -> None:
 
         sources, cfg = standin_sources(spark, args.standin), STANDIN
     elif args.erp_url:
-        from gridwright.sources.erp import erp_sources
+        from gridwright.sources.erp import ConnectionOptions, erp_sources, load_connection_options
 
         if not args.hr_url:
             ap.error("--erp-url needs --hr-url")
-        sources, cfg = erp_sources(spark, args.erp_url, args.hr_url), PRODUCTION
+        given = load_connection_options(args.connections) if args.connections else ConnectionOptions()
+        sources = erp_sources(
+            spark, args.erp_url, args.hr_url, erp_auth=given.erp, hr_auth=given.hr, partitioning=given.partitioning)
+        cfg = PRODUCTION
     else:
         from gridwright.sources.readers import load_parquet_sources
         from gridwright.sources.standins import RELATIONS
@@ -90,7 +104,7 @@ def main(argv: list[str] | None = None) -> None:
     t0 = time.perf_counter()
     path = refresh(
         spark, sources, cfg, args.root, args.name, args.mode, as_of=args.as_of, strategy=args.strategy,
-        served=args.served_names,
+        served=args.served_names, land=bool(args.erp_url),
     )
     out = {"published": path, "name": args.name, "sec": round(time.perf_counter() - t0, 3)}
     if args.report:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -115,9 +116,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     scopes = _SCOPES.get()
     if scopes:
         scopes[-1].append(path)
+    else:
+        _UNSCOPED.append((spark, path))
     return path
 
 
+# Paths handed out outside any scope: their readers are lazy DataFrames whose
+# last action is not known, so they go when the process ends.
+_UNSCOPED: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def remove_unscoped() -> list[str]:
+    """Delete the scratch handed out outside any scope, where its session
+    still runs. Call it earlier when no DataFrame of it is in use."""
+    held, _UNSCOPED[:] = list(_UNSCOPED), []
+    removed = []
+    for spark in {id(s): s for s, _ in held}.values():
+        if spark.sparkContext._jsc is not None:
+            removed += _delete(spark, [p for s, p in held if s is spark])
+    return removed
+
+
 def open_scopes() -> tuple[list[str], ...]:
     return _SCOPES.get()
 
@@ -173,6 +193,7 @@ __all__ = [
     "ensure_checkpoint_dir",
     "is_local",
     "open_scopes",
+    "remove_unscoped",
     "run_concurrently",
     "scratch_path",
     "scratch_scope",

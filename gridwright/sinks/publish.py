@@ -21,9 +21,11 @@ Modes of ``publish``:
 ``Layout`` re-aims the source system's composite lookup indexes (K3):
 rows are clustered by territory with a ``REBALANCE`` hint -- AQE splits a
 territory that holds a large share of the rows into several tasks and
-merges small ones -- sorted within each file by the lookup keys (parquet
-min/max statistics then skip row groups), and written partitioned by
-territory so lookups prune folders.
+merges small ones -- and sorted within each file by the lookup keys, so the
+parquet min/max statistics let a lookup skip files and row groups. All
+columns are stored in the files with their own types. Nothing is written as
+a folder name: a folder partition is text that has to be guessed back
+(``'007'`` reads as 7, an empty text as NULL).
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ import datetime as _dt
 import logging
 import re
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -45,7 +48,6 @@ _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
 @dataclass(frozen=True)
 class Layout:
-    partition_by: tuple[str, ...] = ("territory",)
     cluster_by: tuple[str, ...] = ("territory",)
     sort_by: tuple[str, ...] = ("territory", "city", "branch", "position")
     max_records_per_file: int | None = None
@@ -69,7 +71,7 @@ def _arrange(df: DataFrame, layout: Layout | None) -> DataFrame:
     """Rows clustered and sorted for the layout (no-op without one)."""
     if layout is None:
         return df
-    missing = [c for c in (*layout.partition_by, *layout.cluster_by, *layout.sort_by) if c not in df.columns]
+    missing = [c for c in (*layout.cluster_by, *layout.sort_by) if c not in df.columns]
     if missing:
         raise KeyError(f"layout columns not in the frame: {missing}")
     cols = [F.col(_quote(c)) for c in layout.cluster_by]
@@ -83,21 +85,11 @@ def _writer(df: DataFrame, layout: Layout | None):
     if layout is None:
         return df.write
     w = _arrange(df, layout).write
-    if layout.partition_by:
-        w = w.partitionBy(*layout.partition_by)
     if layout.max_records_per_file:
         w = w.option("maxRecordsPerFile", int(layout.max_records_per_file))
     return w
 
 
-def _typed_select(df: DataFrame) -> str:
-    # Partition columns come back last and with inferred types; restore the
-    # frame's order and types.
-    return ", ".join(
-        f"CAST({_quote(f.name)} AS {f.dataType.simpleString()}) AS {_quote(f.name)}" for f in df.schema.fields
-    )
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -162,7 +154,8 @@ def _publish(spark, df, name, root, base, mode, layout, keep_versions) -> str:
     if mode == "swap":
         path = f"{base}/{_new_version()}"
         _writer(df, layout).mode("errorifexists").parquet(path)
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {_typed_select(df)} FROM parquet.`{path}`")
+        columns = ", ".join(map(_quote, df.columns))
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
         if keep_versions:
             prune_versions(spark, root, name, keep_versions, protect=path)
         return path
@@ -182,10 +175,13 @@ def _publish(spark, df, name, root, base, mode, layout, keep_versions) -> str:
         raise ValueError(f"columns differ from {name}: {sorted(df.columns)} vs {sorted(target_cols)}")
     staging_path = f"{base}/staging-{uuid.uuid4().hex[:12]}"
     _writer(df, None).mode("errorifexists").parquet(staging_path)  # the observed write
-    # insertInto matches columns by position: follow the table's order
-    # (partition columns last).
-    staged = _arrange(spark.read.schema(df.schema).parquet(staging_path), layout).select(*target_cols)
-    staged.write.insertInto(name, overwrite=True)
+    # insertInto matches columns by position: follow the table's order. A
+    # table made elsewhere may be partitioned; the whole table is replaced,
+    # whatever the session's partitionOverwriteMode.
+    staged = _arrange(spark.read.schema(df.schema).parquet(staging_path), layout)
+    staged = staged.select(*[F.col(_quote(c)) for c in target_cols])
+    with _static_overwrite(spark):
+        staged.write.insertInto(name, overwrite=True)
     fs, p = _fs(spark, staging_path)
     fs.delete(p, True)
     location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").select("data_type")
@@ -193,6 +189,18 @@ def _publish(spark, df, name, root, base, mode, layout, keep_versions) -> str:
     return rows[0][0] if rows else base
 
 
+@contextmanager
+def _static_overwrite(spark: SparkSession):
+    """``insertInto`` takes the mode from the session only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_published(spark: SparkSession, name: str) -> DataFrame:
     """The served relation (the catalog view or table of this session's
     metastore)."""
@@ -203,11 +211,11 @@ def read_published(spark: SparkSession, name: str) -> DataFrame:
 def read_latest(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
     """The newest committed ``swap`` version of ``name`` under ``root``, for
     readers in any session: a version counts only once its ``_SUCCESS``
-    marker exists, which the commit writes last. Pass the frame's
-    ``schema`` to keep partition-column types exactly."""
+    marker exists, which the commit writes last. Names and types are those
+    of the published frame, from the files themselves; pass ``schema`` to
+    require one."""
     versions = list_versions(spark, root, name)
     if not versions:
         raise FileNotFoundError(f"no committed version of {name!r} under {root!r}")
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(versions[-1])
-    return df.select(*schema.fieldNames()) if schema is not None else df
+    return reader.parquet(versions[-1])

@@ -11,12 +11,17 @@ back to the names readers of the served table expect.
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwright.sources.readers import jdbc_options, read_jdbc
+from gridwright.operators.sizing import materialize
+from gridwright.session import run_concurrently
+from gridwright.sources.readers import jdbc_options, nan_to_null, read_jdbc
 
 # Source object names and column names (source name -> ours).
 ERP_TABLES = {
@@ -81,7 +86,6 @@ def served_layout():
 
     rename = SERVED_COLUMNS.get
     return Layout(
-        partition_by=tuple(rename(c, c) for c in PAY_GRID_LAYOUT.partition_by),
         cluster_by=tuple(rename(c, c) for c in PAY_GRID_LAYOUT.cluster_by),
         sort_by=tuple(rename(c, c) for c in PAY_GRID_LAYOUT.sort_by),
     )
@@ -126,6 +130,73 @@ def erp_sources(
     return out
 
 
+def land_sources(spark: SparkSession, sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every relation read once, into parquet under the shared checkpoint
+    folder (inside a ``scratch_scope`` it is removed with the scope).
+
+    The plan reads the register and the documents more than once; over JDBC a
+    second read could see other rows than the first, and would load the source
+    system again. Relations are landed concurrently, NaN becomes NULL on the
+    way (the one missing-value marker used from here on)."""
+    names = list(sources)
+    stored = run_concurrently(*[
+        lambda n=n: materialize(nan_to_null(sources[n]), f"landed-{n}") for n in names
+    ])
+    return dict(zip(names, stored))
+
+
+@dataclass(frozen=True)
+class ConnectionOptions:
+    """What a production read needs beyond the two URLs.
+
+    ``erp`` and ``hr`` hold user, password, driver (and any other argument of
+    ``jdbc_options``); ``partitioning`` maps a relation to its range read.
+    """
+
+    erp: Mapping = field(default_factory=dict)
+    hr: Mapping = field(default_factory=dict)
+    partitioning: Mapping[str, Mapping] = field(default_factory=dict)
+
+
+def load_connection_options(path: str) -> ConnectionOptions:
+    """Options from a JSON file::
+
+        {"erp": {"user": "u", "password_env": "ERP_PASSWORD", "driver": "..."},
+         "hr": {"user": "u", "password_file": "/run/secrets/hr"},
+         "partitioning": {"approval_lines": {"partition_column": "...", "lower_bound": 0,
+                                             "upper_bound": 1000000, "num_partitions": 64}}}
+
+    A password is named by an environment variable or a file, never written
+    in the options or on the command line."""
+    with open(path, encoding="utf-8") as f:
+        given = json.load(f)
+    unknown = set(given) - {"erp", "hr", "partitioning"}
+    if unknown:
+        raise ValueError(f"unknown options: {sorted(unknown)}")
+    wrong = set(given.get("partitioning", {})) - set(ERP_TABLES) - set(HR_TABLES)
+    if wrong:
+        raise ValueError(f"partitioning of unknown relations: {sorted(wrong)}")
+    return ConnectionOptions(
+        _with_password("erp", given.get("erp", {})), _with_password("hr", given.get("hr", {})),
+        given.get("partitioning", {}),
+    )
+
+
+def _with_password(system: str, given: Mapping) -> dict:
+    out = dict(given)
+    if "password" in out:
+        raise ValueError(f"{system}: name the password by password_env or password_file")
+    env, path = out.pop("password_env", None), out.pop("password_file", None)
+    if env is not None:
+        if env not in os.environ:
+            raise ValueError(f"{system}: environment variable {env} is not set")
+        out["password"] = os.environ[env]
+    elif path is not None:
+        with open(path, encoding="utf-8") as f:
+            out["password"] = f.read().rstrip("\r\n")
+    return out
+
+
 def served_names(df: DataFrame) -> DataFrame:
     """The published frame with the served table's column names."""
     missing = [c for c in SERVED_COLUMNS if c not in df.columns]

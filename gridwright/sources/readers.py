@@ -8,8 +8,8 @@ a numeric column and push filters into the remote ``WHERE``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,14 +45,22 @@ def require_kind(url: str, kind: str) -> None:
         raise ValueError(f"connection {redact_url(url)!r} is not a {kind} connection")
 
 
+# Parameters that carry a secret, in any URL form (`;k=v`, `?k=v`, `&k=v`).
+_SECRET = re.compile(r"(?i)([;?&]\s*[^=;?&]*(?:password|passwd|pwd|secret|token|passphrase)[^=;?&]*=)(\{[^}]*\}|[^;&]*)")
+
+
 def redact_url(url: str) -> str:
-    """A JDBC URL with any password parameter hidden, for messages."""
-    head, _, params = url.partition(";")
-    parsed = urlparse(head[5:] if head.startswith("jdbc:") else head)
-    if parsed.password:
-        head = head.replace(parsed.password, "***")
-    kept = [p if not p.lower().startswith("password=") else "password=***" for p in params.split(";") if p]
-    return ";".join([head, *kept])
+    """A JDBC URL without its secrets, for messages: ``user:password@`` and
+    every parameter that names a password, secret or token."""
+    head, sep, rest = url.partition("//")
+    if sep:
+        # Everything up to the last @ before the path is user information.
+        authority = re.split(r"[/?;]", rest, maxsplit=1)[0]
+        at = rest.rfind("@", 0, len(authority)) if "@" in authority else re.split(r"[?;]", rest, maxsplit=1)[0].rfind("@")
+        if at >= 0:
+            user = rest[:at].split(":", 1)
+            rest = user[0] + (":***" if len(user) > 1 else "") + rest[at:]
+    return _SECRET.sub(r"\1***", head + sep + rest)
 
 
 def jdbc_options(
@@ -128,17 +136,17 @@ def read_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 def sql_with_external_tables(
     spark: SparkSession, query: str, external_tables: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Run ``query`` with extra relations visible under the given names
-    (S4's "external tables" shipped with a query).
+    """Run ``query`` with extra relations under names of the query's own
+    (S4's "external tables" shipped with a query): ``{name}`` in the query
+    stands for the relation of that name.
 
-    The relations are DataFrames, so they can be as large as any other
+    No catalog name is touched: a caller's view of the same name stays as it
+    is. The relations are DataFrames, so they can be as large as any other
     input; the planner broadcasts one only when its estimated size is under
     ``spark.sql.autoBroadcastJoinThreshold``, and AQE may do so from runtime
     sizes.
     """
-    for name, df in (external_tables or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query)
+    return spark.sql(query, **(external_tables or {}))
 
 
 def nan_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -6,14 +6,16 @@ module is that mapping, once as DataFrames (what the job runs on) and once
 as SQL (what the DuckDB oracle runs on). All derivations are scans,
 projections and equi-joins, so their work grows with the tables.
 
-The stand-ins deliberately contain NULL names (one city, one firm) and a
-second territory per firm, so the NULL-safe merges and the fan-outs of the
-job are exercised.
+Every part is a position, every supplier a firm, every line a staff row and a
+pay row, so all keys grow with the tables. The stand-ins deliberately contain
+NULL names (one city, one firm) and a second territory per firm, so the
+NULL-safe merges and the fan-outs of the job are exercised; ties (pay periods
+are months) and rows without a partner come from the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,29 +35,21 @@ RELATIONS = (
 # Fixed values of the stand-in mapping (FIXTURES.md part B).
 NULL_CITY_NAME = "NATION_15"
 NULL_FIRM_NAME = "Supplier#000000003"
-POSITION_MODULUS = 50
-FIRM_MODULUS = 10
-UNCOUNTED_LINE = 2
+POOLED_POSITION = "red widget"
 OPEN_STATUS = "O"
 
 
-# Parquet schemas already read, by path: schema inference runs a footer-reading
-# job, so each table pays it once per process, not once per query.
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
 def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     sf_dir = sf_dir.rstrip("/")
-    return {t: read_table(spark, f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
+    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
+
+
+def position_name() -> Column:
+    """Every part is a position with a name of its own, except the parts of
+    one common name, which share it (so several keys have one name)."""
+    return F.when(F.col("p_name") == POOLED_POSITION, F.col("p_name")).otherwise(
+        F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string"))
+    )
 
 
 def standin_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -93,7 +87,7 @@ def standin_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     positions = part.select(
         F.col("p_partkey").alias("position_ref"),
-        F.col("p_name").alias("position"),
+        position_name().alias("position"),
         F.col("p_size").alias("leader_level"),
         F.col("p_type").alias("prefix"),
     )
@@ -102,32 +96,35 @@ def standin_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .join(customer, orders.o_custkey == customer.c_custkey)
         .select(
             F.col("c_nationkey").alias("city_ref"),
-            (F.col("l_partkey") % POSITION_MODULUS).alias("position_ref"),
+            F.col("l_partkey").alias("position_ref"),
             F.col("l_linenumber").alias("level"),
             F.col("l_extendedprice").alias("salary"),
-            F.col("o_orderdate").alias("period"),
+            # Months, so that pay rows of one group tie on the latest period.
+            F.date_trunc("month", F.col("o_orderdate")).cast(orders.schema["o_orderdate"].dataType).alias("period"),
         )
     )
-    approvals = orders.select(
+    # The firm of a document is the first supplier of its lines.
+    issuers = lineitem.groupBy(F.col("l_orderkey").alias("i_orderkey")).agg(F.min("l_suppkey").alias("firm_ref"))
+    approvals = orders.join(issuers, F.col("o_orderkey") == F.col("i_orderkey"), "left").select(
         F.col("o_orderkey").alias("doc_ref"),
-        (F.col("o_custkey") % FIRM_MODULUS).alias("firm_ref"),
+        "firm_ref",
         F.col("o_orderdate").alias("doc_ts"),
     )
     approval_lines = lineitem.select(
         F.col("l_orderkey").alias("doc_ref"),
-        (F.col("l_partkey") % POSITION_MODULUS).alias("position_ref"),
+        F.col("l_partkey").alias("position_ref"),
         F.col("l_quantity").alias("rate"),
     )
-    li = lineitem.where(F.col("l_linenumber") != UNCOUNTED_LINE).select(
+    li = lineitem.select(
         "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"
     )
     f = firms.select("firm_ref", "firm", F.col("city_ref").alias("f_city_ref"))
     c = cities.select(F.col("city_ref").alias("c_city_ref"), F.col("city").alias("firm_city"))
     p = positions.select(F.col("position_ref").alias("p_ref"), "position")
     actual_staff = (
-        li.join(f, (F.col("l_suppkey") % FIRM_MODULUS) == F.col("firm_ref"))
+        li.join(f, F.col("l_suppkey") == F.col("firm_ref"))
         .join(c, F.col("f_city_ref") == F.col("c_city_ref"))
-        .join(p, (F.col("l_partkey") % POSITION_MODULUS) == F.col("p_ref"))
+        .join(p, F.col("l_partkey") == F.col("p_ref"))
         .select(
             F.col("position"),
             F.col("l_linenumber").alias("pay_level"),
@@ -154,6 +151,7 @@ def standin_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # The same relations in SQL over the base tables, for the DuckDB oracle.
+POSITION_NAME_SQL = f"CASE WHEN p_name = '{POOLED_POSITION}' THEN p_name ELSE p_name || ' #' || p_partkey END"
 STANDIN_SQL = {
     "cities": f"""
         SELECT n_nationkey AS city_ref, nullif(n_name, '{NULL_CITY_NAME}') AS city,
@@ -172,33 +170,33 @@ STANDIN_SQL = {
         UNION ALL
         SELECT s_suppkey, CAST(2 AS INTEGER), CAST((n_regionkey + 1) % 5 AS INTEGER)
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
-    "positions": """
-        SELECT p_partkey AS position_ref, p_name AS position, p_size AS leader_level,
+    "positions": f"""
+        SELECT p_partkey AS position_ref, {POSITION_NAME_SQL} AS position, p_size AS leader_level,
                p_type AS prefix
         FROM part""",
-    "salary_register": f"""
-        SELECT c_nationkey AS city_ref, l_partkey % {POSITION_MODULUS} AS position_ref,
-               l_linenumber AS level, l_extendedprice AS salary, o_orderdate AS period
+    "salary_register": """
+        SELECT c_nationkey AS city_ref, l_partkey AS position_ref, l_linenumber AS level,
+               l_extendedprice AS salary, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS period
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         JOIN customer ON o_custkey = c_custkey""",
-    "approvals": f"""
-        SELECT o_orderkey AS doc_ref, o_custkey % {FIRM_MODULUS} AS firm_ref, o_orderdate AS doc_ts
+    "approvals": """
+        SELECT o_orderkey AS doc_ref,
+               (SELECT min(l_suppkey) FROM lineitem WHERE l_orderkey = o_orderkey) AS firm_ref,
+               o_orderdate AS doc_ts
         FROM orders""",
-    "approval_lines": f"""
-        SELECT l_orderkey AS doc_ref, l_partkey % {POSITION_MODULUS} AS position_ref,
-               l_quantity AS rate
+    "approval_lines": """
+        SELECT l_orderkey AS doc_ref, l_partkey AS position_ref, l_quantity AS rate
         FROM lineitem""",
     "actual_staff": f"""
-        SELECT p.p_name AS position, l.l_linenumber AS pay_level,
+        SELECT {POSITION_NAME_SQL} AS position, l.l_linenumber AS pay_level,
                l.l_returnflag AS current_branch, CAST(year(l.l_shipdate) AS INTEGER) AS refreshed,
                CASE WHEN l.l_linestatus = '{OPEN_STATUS}' THEN NULL
                     ELSE nullif(n.n_name, '{NULL_CITY_NAME}') END AS city,
                nullif(s.s_name, '{NULL_FIRM_NAME}') AS branch, l.l_linestatus AS rrs
         FROM lineitem l
-        JOIN supplier s ON l.l_suppkey % {FIRM_MODULUS} = s.s_suppkey
+        JOIN supplier s ON l.l_suppkey = s.s_suppkey
         JOIN nation n ON s.s_nationkey = n.n_nationkey
-        JOIN part p ON l.l_partkey % {POSITION_MODULUS} = p.p_partkey
-        WHERE l.l_linenumber <> {UNCOUNTED_LINE}""",
+        JOIN part p ON l.l_partkey = p.p_partkey""",
 }
 
 

@@ -4,6 +4,7 @@ import os
 import sys
 import tempfile
 from collections import Counter
+from contextlib import contextmanager
 
 import pytest
 
@@ -27,6 +28,19 @@ def spark():
     session.stop()
 
 
+@contextmanager
+def settings_of(spark, settings: dict):
+    """Session settings inside the block, restored after it."""
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in previous.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def bag(df) -> Counter:
     return Counter(tuple(r) for r in df.collect())
 

@@ -138,3 +138,17 @@ def test_small_side_logs_its_decision(spark, caplog):
         small_side(spark.range(5), "five-rows-capped", cap_bytes=1)
     text = caplog.text
     assert "five-rows: 5 rows" in text and "-> broadcast" in text and "-> shuffle join" in text
+
+
+def test_long_texts_are_measured_by_their_length(spark):
+    """1,000 rows of 100,000 characters are 100 MB, not 20 bytes a row."""
+    from pyspark.sql import functions as F
+
+    from gridwright.operators.sizing import broadcast_if_small, materialize_measured, measured_side
+
+    wide = spark.range(1000).select("id", F.repeat(F.lit("x"), 100_000).alias("t"), F.array("id").alias("a"))
+    stored, rows, size = materialize_measured(wide, "wide")
+    assert rows == 1000 and size > 100_000_000
+    assert broadcast_if_small(stored, 10 << 20, size)[1] is False and broadcast_if_small(stored, 10 << 20)[1] is False
+    assert measured_side(spark.range(1000), "narrow", 10 << 20)[1] is True
+    assert materialize_measured(spark.range(0), "none")[1:] == (0, 0)

@@ -133,3 +133,19 @@ def test_left_merge_matches_dataframe_library_semantics(spark):
         assert bag(got) == expected
 
     check()
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_split_skew_form_gives_the_same_rows(spark, null_safe):
+    left = spark.createDataFrame([("a", 1, 10), ("a", 1, 11), (None, 1, 12), (None, None, 13), ("z", 9, 14), ("z", 9, 14)],
+                                 "k string, l int, v int")
+    right = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), (None, 1, "n"), (None, 1, "n"), ("q", 1, "q")],
+                                  "k string, l int, w string")
+    plain = left_merge(left, right, on=["k", "l"], null_safe=null_safe)
+    split = left_merge(left, right, on=["k", "l"], null_safe=null_safe, split_skew=True)
+    assert split.schema == plain.schema and Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
+    for empty in (left_merge(left.limit(0), right, on=["k", "l"], split_skew=True),
+                  left_merge(left, right.limit(0), on=["k", "l"], split_skew=True)):
+        assert empty.schema == plain.schema
+    named = left_merge(left, right.toDF("k2", "l2", "w"), ["k", "l"], ["k2", "l2"], split_skew=True)
+    assert named.columns == ["k", "l", "v", "k2", "l2", "w"] and named.where("v = 14 and k2 is null").count() == 2

@@ -116,40 +116,64 @@ def test_hot_key_is_spread_by_the_semi_join_partitioning(spark, src):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_aqe_splits_a_null_heavy_key_in_the_null_safe_merge(spark):
-    """Over the broadcast cap, the NULL-safe left merge is a sort-merge join;
-    when a third of the left rows share a NULL key, AQE splits that
-    partition (thresholds lowered so the split triggers at test size)."""
+SPLITTING = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_aqe_splits_a_null_heavy_key_on_either_side(spark, hot_side):
+    """Over the broadcast cap the NULL-safe merge is a sort-merge join; when a
+    third of the rows of either side share a NULL key, AQE splits that
+    partition (thresholds lowered so the split triggers at test size), and
+    the rows are those of the plain left join."""
     from pyspark.sql import functions as F
 
+    from conftest import bag, settings_of
     from gridwright.operators.merge import left_merge
 
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    previous = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        reg = standin_sources(spark, "/root/testdata/sf0.01")["salary_register"]
-        reg = reg.select(F.col("city_ref").cast("string").alias("city"), "position_ref", "level", "salary")
-        left = reg.withColumn("city", F.when(F.col("position_ref") % 3 == 0, F.lit(None)).otherwise(F.col("city")))
-        right = reg.groupBy("city", "level").agg(F.count(F.lit(1)).alias("n")).unionByName(
-            spark.range(3).select(F.lit(None).cast("string").alias("city"), F.lit(1).alias("level"), F.col("id").alias("n"))
-        )
-        out = left_merge(left, right, on=["city", "level"])
-        rows = out._jdf.queryExecution().toRdd().count()
+    reg = standin_sources(spark, "/root/testdata/sf0.01")["salary_register"]
+    reg = reg.select(F.col("city_ref").cast("string").alias("city"), "position_ref", "level", "salary")
+    hot = reg.withColumn("city", F.when(F.col("position_ref") % 3 == 0, F.lit(None)).otherwise(F.col("city")))
+    hot = hot.repartition(8)  # several map tasks, as on a cluster
+    few = reg.groupBy("city", "level").agg(F.count(F.lit(1)).alias("n")).unionByName(
+        spark.range(3).select(F.lit(None).cast("string").alias("city"), F.lit(1).alias("level"), F.col("id").alias("n"))
+    ).unionByName(spark.createDataFrame([("nowhere", 1, 5)], "city string, level int, n bigint"))
+    left, right = (hot, few) if hot_side == "left" else (few, hot)
+    expected = bag(left_merge(left, right, on=["city", "level"]))
+    with settings_of(spark, SPLITTING):
+        out = left_merge(left, right, on=["city", "level"], split_skew=True)
+        assert bag(out) == expected
+        out._jdf.queryExecution().toRdd().count()
         final = out._jdf.queryExecution().executedPlan().toString()
-        merge_line = next(ln for ln in final.splitlines() if "SortMergeJoin" in ln and "isnull(city" in ln)
-        assert "skew=true" in merge_line
-        assert rows == left.count() + 2 * left.where(F.col("city").isNull() & (F.col("level") == 1)).count()
-    finally:
-        for k, v in previous.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    inner = [ln for ln in final.splitlines() if "SortMergeJoin" in ln and "Inner" in ln and "isnull(city" in ln]
+    assert inner and all("skew=true" in ln for ln in inner[:1]), final
+    assert "LeftOuter" not in final
+
+
+def test_city_names_and_territories_meet_the_pay_rows_once(spark, src):
+    """With broadcasting off, the latest pay rows are shuffled once for the
+    city side and once for the positions."""
+    from conftest import settings_of
+
+    with settings_of(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        p = plan(pg.salary_in_force(src, STANDIN, as_of="2024-01-01", strategy="auto"))
+    assert p.count("hashpartitioning(city_ref") <= 2 and p.count("SortMergeJoin") <= 5
+
+
+def test_one_base_and_one_document_join(spark):
+    """Each copy of the literal union reads the stored base; the latest step
+    of the approvals reads stored rows."""
+    from gridwright.plans import registry
+
+    p = plan(registry.queries()["level_union_all"](spark, SF))
+    assert "Join" not in p and p.count("FileScan parquet") == len(STANDIN.levels)
+    p = plan(registry.queries()["approval_latest"](spark, SF))
+    assert p.count("Join") == 1 and "l_orderkey" not in p
 
 
 def test_aqe_splits_rows_tying_on_a_hot_maximum(spark):

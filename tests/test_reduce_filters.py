@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bag
-from gridwright.functions import date_parts, label_columns, month_start, not_like, run_date
+from gridwright.functions import date_parts, label_columns, month_start, run_date
 from gridwright.operators.filters import (
     exclude_containing,
     exclude_equal,
@@ -93,9 +93,8 @@ def test_scalar_functions(spark):
 
     df = spark.createDataFrame([(dt.datetime(2024, 2, 29, 23, 0),)], "ts timestamp")
     p = date_parts("ts")
-    r = df.select(p["year"], p["month"], p["day"], month_start("ts"), run_date("2024-06-30"),
-                  not_like(F.lit("abc"), "b")).first()
-    assert tuple(r) == (2024, 2, 29, dt.date(2024, 2, 1), dt.date(2024, 6, 30), False)
+    r = df.select(p["year"], p["month"], p["day"], month_start("ts"), run_date("2024-06-30")).first()
+    assert tuple(r) == (2024, 2, 29, dt.date(2024, 2, 1), dt.date(2024, 6, 30))
     assert label_columns(df, ["x"]).columns == ["x"]
     with pytest.raises(ValueError):
         label_columns(df, ["x", "y"])

@@ -42,7 +42,7 @@ def test_refresh_with_served_names(spark):
     refresh(spark, standin_sources(spark, SF), STANDIN, root, name="pay_grid_served", as_of="2024-01-01", served=True)
     served = read_published(spark, "pay_grid_served")
     assert served.columns == list(SERVED_COLUMNS.values())
-    assert served.count() == 1358
+    assert served.count() == 1339
 
 
 def test_threads_record_into_their_callers_scope(spark):
@@ -78,5 +78,48 @@ def test_cli_served_names_with_report(spark, capsys):
     main(["--standin", SF, "--root", root, "--name", "pay_grid_cli_served", "--served-names", "--report",
           "--as-of", "2024-01-01"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["report"]["null_census"]["branch"] == 515  # FIXTURES.md: rows with NULL branch at sf0.001
+    assert out["report"]["null_census"]["branch"] == 1051  # FIXTURES.md: rows with NULL branch at sf0.001
     assert read_published(spark, "pay_grid_cli_served").columns[0] == "Территория"
+
+
+def test_scratch_outside_a_scope_can_be_removed(spark):
+    from gridwright import session
+
+    held, session._UNSCOPED[:] = list(session._UNSCOPED), []
+    try:
+        path = scratch_path(spark, "unscoped")
+        spark.range(3).write.parquet(path)
+        assert _exists(spark, path)
+        session.remove_unscoped()
+        assert not _exists(spark, path) and not session._UNSCOPED
+    finally:
+        session._UNSCOPED[:] = held
+
+
+def test_no_local_scratch_on_a_cluster():
+    import pytest
+
+    from gridwright.session import ensure_checkpoint_dir, is_local
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def setCheckpointDir(self, path):
+            raise AssertionError("no folder may be chosen here")
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+    for master, local in (("local", True), ("local[8]", True), ("local[*]", True), ("local-cluster[2,1,1024]", False),
+                          ("yarn", False)):
+        Context.master = master
+        assert is_local(Session()) is local

@@ -31,14 +31,14 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = se.entry(spark)
     assert df.columns == ["territory", "city", "branch", "position", "level", "salary", "leader_level", "headcount"]
-    assert df.count() == 1358
+    assert df.count() == 1339
 
 
 FIRST_N = {"masked_first_n", "first_n_then_sort"}
 
 
 def test_limits_only_where_first_n_is_the_feature(spark):
-    for name, sql in se.oracle_sql().items():
+    for name, sql in registry.oracle_sql().items():
         assert ("LIMIT" in sql.upper()) == (name in FIRST_N), name
     for name in ("pay_grid", "salary_in_force", "headcount_hidden_keys", "masked_first_n"):
         p = se.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
@@ -47,7 +47,7 @@ def test_limits_only_where_first_n_is_the_feature(spark):
 
 def test_plain_equality_merges_would_lose_rows(spark):
     """FIXTURES.md: with SQL equality instead of NULL-safe matching the pay
-    grid at sf0.001 has 1310 rows, not 1358."""
+    grid at sf0.001 has 1335 rows, not 1339."""
     from pyspark.sql import functions as F
 
     from gridwright.config import STANDIN
@@ -61,6 +61,6 @@ def test_plain_equality_merges_would_lose_rows(spark):
                       ["firm", "position", "level"], ["branch", "position", "pay_level"], null_safe=False)
     main = fill_from(fill_from(main, "city", "firm_city"), "branch", "firm")
     plain = left_merge(salary, main, on=["city", "position", "level"], null_safe=False)
-    assert plain.count() == 1310
-    assert pg.merge_pay(salary, pg.staffed_side(pg.position_grid(s, STANDIN), pg.headcount(s, STANDIN))).count() == 1358
+    assert plain.count() == 1335
+    assert pg.merge_pay(salary, pg.staffed_grid(pg.position_grid(s, STANDIN), pg.headcount(s, STANDIN))).count() == 1339
     assert plain.where(F.col("city").isNull() & F.col("branch").isNotNull()).count() == 0

@@ -66,17 +66,36 @@ def test_nan_to_null(spark):
 def test_external_table(spark):
     ext = spark.createDataFrame([(0, "x"), (1, "y")], "k int, v string")
     out = sql_with_external_tables(
-        spark, "SELECT count(*) AS n FROM ext_t e JOIN ext_u u ON e.k = u.id", {"ext_t": ext, "ext_u": spark.range(1)}
+        spark, "SELECT count(*) AS n FROM {ext_t} e JOIN {ext_u} u ON e.k = u.id", {"ext_t": ext, "ext_u": spark.range(1)}
     )
     assert out.first().n == 1
 
 
+def test_external_tables_leave_the_callers_views_alone(spark):
+    spark.range(7).createOrReplaceTempView("ext_mine")
+    before = {t.name for t in spark.catalog.listTables()}
+    out = sql_with_external_tables(spark, "SELECT count(*) AS n FROM {ext_mine}", {"ext_mine": spark.range(2)})
+    assert out.first().n == 2 and spark.table("ext_mine").count() == 7
+    assert {t.name for t in spark.catalog.listTables()} == before
+    spark.catalog.dropTempView("ext_mine")
+
+
 def test_standins_have_all_relations(spark):
     src = standin_sources(spark, SF)
     assert set(src) == set(RELATIONS)
     assert src["cities"].where("city IS NULL").count() == 1
     assert src["firms"].where("firm IS NULL").count() == 1
-    assert src["actual_staff"].where("pay_level = 2").count() == 0
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert src["actual_staff"].count() == src["salary_register"].count() == src["approval_lines"].count() == lines
+
+
+def test_standin_keys_grow_with_the_tables(spark):
+    def groups(sf):
+        reg = standin_sources(spark, f"/root/testdata/{sf}")["salary_register"]
+        return reg.groupBy("city_ref", "position_ref", "level").count().count(), reg.count()
+
+    (small, few), (large, many) = groups("sf0.001"), groups("sf0.01")
+    assert large / small > 0.6 * many / few
 
 
 def test_erp_rename_runs_the_job_on_source_names(spark):
@@ -139,6 +158,89 @@ def test_guard_message_hides_passwords():
     assert "s3cret" not in str(err.value) and "password=***" in str(err.value)
 
 
+@pytest.mark.parametrize("url", [
+    "jdbc:postgresql://h/db?user=u&password=s3cret", "jdbc:postgresql://u:s3cret@h/db?ssl=true",
+    "jdbc:sqlserver://h:1;user=u;Password=s3cret;x=1", "jdbc:sqlserver://h;trustStorePassword={s3;cret}",
+    "jdbc:postgresql://u:p@s3cret@h/db", "jdbc:clickhouse://h/db?access_token=s3cret",
+])
+def test_no_url_form_shows_a_password(url):
+    from gridwright.sources.readers import redact_url
+
+    assert "s3" not in redact_url(url) and "***" in redact_url(url) and "h" in redact_url(url)
+
+
+def test_connection_options_file(tmp_path, monkeypatch):
+    import json
+
+    from gridwright.sources.erp import load_connection_options
+
+    secret = tmp_path / "hr"
+    secret.write_text("hr-secret\n")
+    monkeypatch.setenv("ERP_TEST_PASSWORD", "erp-secret")
+    file = tmp_path / "connections.json"
+    part = {"approval_lines": {"partition_column": "n", "lower_bound": 0, "upper_bound": 9, "num_partitions": 4}}
+    file.write_text(json.dumps({"erp": {"user": "u", "password_env": "ERP_TEST_PASSWORD", "driver": "d"},
+                                "hr": {"user": "v", "password_file": str(secret)}, "partitioning": part}))
+    got = load_connection_options(str(file))
+    assert got.erp == {"user": "u", "password": "erp-secret", "driver": "d"} and got.hr["password"] == "hr-secret"
+    assert got.partitioning == part
+    for bad in ({"erp": {"password": "x"}}, {"erp": {"password_env": "NOT_SET_ANYWHERE"}}, {"other": {}},
+                {"partitioning": {"nope": {}}}):
+        file.write_text(json.dumps(bad))
+        with pytest.raises(ValueError):
+            load_connection_options(str(file))
+
+
+def test_landed_relations_are_read_once_without_nan(spark):
+    from gridwright.session import scratch_scope
+    from gridwright.sources.erp import land_sources
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        reads.add(1)
+        return x
+
+    rows = spark.sparkContext.parallelize([(1, math.nan), (2, 5.0)], 1).map(seen)
+    with scratch_scope(spark):
+        landed = land_sources(spark, {"salary_register": spark.createDataFrame(rows, "k int, salary double")})
+        for _ in range(3):
+            assert [tuple(r) for r in landed["salary_register"].orderBy("k").collect()] == [(1, None), (2, 5.0)]
+    assert reads.value == 2
+
+
+def test_cli_lands_jdbc_relations_with_their_credentials(spark, monkeypatch, tmp_path, capsys):
+    import json
+
+    from world import DATA, SCHEMAS
+
+    import gridwright.sources.erp as erp
+    from gridwright.plans.refresh import main
+    from gridwright.session import scratch_path
+    from gridwright.sinks.publish import read_published
+
+    tables = {**erp.ERP_TABLES, **erp.HR_TABLES}
+    seen = []
+
+    def fake_read(_spark, opts):
+        seen.append(opts)
+        name = next(n for n, (t, _) in tables.items() if t == opts["dbtable"])
+        back = {ours: src for src, ours in tables[name][1].items()}
+        df = _spark.createDataFrame(DATA[name], SCHEMAS[name])
+        return df.select(*[df[c].alias(back[c]) for c in df.columns])
+
+    monkeypatch.setattr(erp, "read_jdbc", fake_read)
+    monkeypatch.setenv("ERP_TEST_PASSWORD", "erp-secret")
+    file = tmp_path / "connections.json"
+    file.write_text(json.dumps({"erp": {"user": "u", "password_env": "ERP_TEST_PASSWORD"}}))
+    root = scratch_path(spark, "cli-root")
+    main(["--erp-url", "jdbc:sqlserver://h", "--hr-url", "jdbc:postgresql://h/d", "--connections", str(file),
+          "--root", root, "--name", "pay_grid_cli_jdbc", "--as-of", "2024-06-30"])
+    assert "erp-secret" not in capsys.readouterr().out
+    assert all(o.get("password") == "erp-secret" for o in seen if o["url"].startswith("jdbc:sqlserver"))
+    assert read_published(spark, "pay_grid_cli_jdbc").count() > 0
+
+
 def test_extra_jdbc_options_pass_through():
     o = jdbc_options("jdbc:postgresql://h/db", dbtable="t", extra={"sessionInitStatement": "SET x = 1", "pushDownAggregate": True})
     assert o["sessionInitStatement"] == "SET x = 1" and o["pushDownAggregate"] == "True"
