@@ -32,11 +32,12 @@ FEATURES = 4096
 BEGINNINGS = (4, 5, 6)
 # A feature needs this many documents of a category, and this many times the
 # frequency it has outside the category.
-LEAST_DOCS = 4
+LEAST_DOCS = 3
 LEAST_LIFT = 4.0
 FOLDS = 4
 STEPS = 400
-ACCEPT = 0.5
+# Probability of `toxic` from which a text counts as toxic.
+ACCEPT = 0.3
 BATCH_ROWS = 256
 REMEMBERED_WORDS = 400_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -213,7 +214,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, chain: Chain | None
     """Probabilities of the toxicity categories for every whole text.
 
     Returns doc_id, one probability per category (``toxic``, ``toxic_prose``,
-    ``toxic_junk``) and is_toxic (toxic >= 0.5). A null or empty text has no
+    ``toxic_junk``) and is_toxic (toxic >= 0.3). A null or empty text has no
     features and gets the chain's base rates; without anything to learn from
     all probabilities are 0. Only the text enters a prediction. Repeated rows
     are scored each; an empty table gives no rows.
