@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridwright.operators.sizing import broadcast_if_small, materialize, materialize_measured
 
@@ -17,17 +15,14 @@ from gridwright.operators.sizing import broadcast_if_small, materialize, materia
 # beyond it takes the shuffle join of the same plan.
 BROADCAST_CAP = 48 << 20
 
-# The words of a text: what is left between runs of ASCII white space once
-# A-Z is lower-cased (bytes.lower / bytes.split do exactly that).
-WORD = r"[^\x20\x09-\x0D]+"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words of a text as UTF-8 bytes (none for null)."""
+    """Words of a text as UTF-8 bytes: A-Z in lower case, cut at runs of ASCII
+    white space, which is what bytes.lower and bytes.split do (none for null)."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
@@ -56,15 +51,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
-def schema_of(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
-
-
-def arrow_batches(columns: dict[str, Iterable], types: dict[str, pa.DataType]) -> pa.RecordBatch:
-    """One record batch from Python or numpy columns."""
-    return pa.record_batch([pa.array(v, types[k]) for k, v in columns.items()], names=list(columns))
-
-
 def byte_lists(arrays: list[np.ndarray]) -> pa.ListArray:
     """A list<int64> Arrow array from int64 numpy arrays, without boxing."""
     offsets = np.zeros(len(arrays) + 1, np.int32)
@@ -116,22 +102,3 @@ def tied_edges(ids: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarra
     ends = np.union1d(p, q)
     ends = ends[ids[ends] != label[ends]]
     return ids[ends], label[ends]
-
-
-def free_name(df: DataFrame, base: str) -> str:
-    """A column name that ``df`` does not use."""
-    taken = {c.lower() for c in df.columns}
-    name = base
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
-def pick(df: DataFrame, *columns: str, **casts: str) -> DataFrame:
-    """Exactly these columns (extra ones, clashing names included, are left out)."""
-    return df.select(*[df[f"`{c}`"].cast(casts[c]).alias(c) if c in casts else df[f"`{c}`"] for c in columns])
-
-
-def unsigned_crc32(data: bytes) -> int:
-    return zlib.crc32(data) & 0xFFFFFFFF
-
