@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import crc_mod, hashed_sample, in_slices
+from gridwright.llm.common import crc_mod, hashed_sample, in_slices, kept_by_text
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -227,16 +227,11 @@ def in_known_language(documents: DataFrame, least_score: float = 0.3, net: ByteN
     languages with at least ``least_score``; undetermined ones go."""
     net = net or fit(documents)
 
-    @F.pandas_udf("boolean")
-    def accepted(text):
-        import pandas as pd
-
-        keep = []
-        for lo in range(0, len(text), BATCH_ROWS):
-            langs, scores = predict(net, list(text.iloc[lo : lo + BATCH_ROWS]))
-            keep += [v != UNDETERMINED and s >= least_score for v, s in zip(langs, scores, strict=True)]
-        return pd.Series(keep, dtype=bool)
-
     if net is None:
         return documents.where(F.lit(False))
-    return documents.where(accepted(F.col("text").cast("string")))
+
+    def keep(texts: list[str | None]) -> np.ndarray:
+        langs, scores = predict(net, texts)
+        return (np.array(langs) != UNDETERMINED) & (scores >= least_score)
+
+    return kept_by_text(documents, keep, BATCH_ROWS)

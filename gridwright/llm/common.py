@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,10 +60,25 @@ def byte_lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def in_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows`` (bounds what a task holds)."""
+    """The same rows in batches of at most ``rows`` (bounds what a task holds).
+    Memory of finished batches goes back to the system: workers live on."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def kept_by_text(documents: DataFrame, keep: Callable[[list[str | None]], np.ndarray], rows: int) -> DataFrame:
+    """The documents (all columns) whose text ``keep`` accepts; it gets the
+    whole texts of at most ``rows`` documents at a time."""
+    at = [c.lower() for c in documents.columns].index("text")
+
+    def accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, rows):
+            yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+
+    return documents.mapInArrow(accepted, documents.schema)
 
 
 def runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:

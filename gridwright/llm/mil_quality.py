@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import byte_lists, crc_mod, hashed_sample, in_slices, small_or_shuffled
+from gridwright.llm.common import byte_lists, crc_mod, hashed_sample, in_slices, kept_by_text, small_or_shuffled
 
 PASSAGE = 512
 LAGS = tuple(range(2, 18))
@@ -32,7 +32,7 @@ EPOCHS = 25
 SEED = 5
 SAMPLE_DOCS = 5000
 SAMPLE_PASSAGES = 12
-BATCH_ROWS = 128
+BATCH_ROWS = 64
 # Passages encoded at a time.
 TILE = 512
 # Score from which a document is predicted to be of label 1.
@@ -249,14 +249,4 @@ def of_quality(documents: DataFrame, labels: DataFrame, accept: float = ACCEPT)
     if model is None:
         return documents
 
-    @F.pandas_udf("boolean")
-    def accepted(text):
-        import pandas as pd
-
-        keep: list[bool] = []
-        for lo in range(0, len(text), BATCH_ROWS):
-            part = [t if isinstance(t, str) else None for t in text.iloc[lo : lo + BATCH_ROWS]]
-            keep += (np.asarray(model.scores(part)) >= accept).tolist()
-        return pd.Series(keep, dtype=bool)
-
-    return documents.where(accepted(F.col("text").cast("string")))
+    return kept_by_text(documents, lambda texts: np.asarray(model.scores(texts)) >= accept, BATCH_ROWS)

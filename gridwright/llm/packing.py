@@ -23,10 +23,11 @@ same rows.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,8 @@ TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 # Words whose ids a worker remembers before it starts over, and documents
 # packed at a time.
-REMEMBERED_WORDS = 600_000
-BATCH_ROWS = 512
+REMEMBERED_WORDS = 200_000
+BATCH_ROWS = 256
 # Blanks other than space and line feed.
 OTHER_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 # A character that marks word starts; texts that contain it are encoded whole.
@@ -82,10 +83,10 @@ class WordCachedTokenizer:
     def __init__(self, path: str, ranks: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            special = [t["content"] for t in json.load(f).get("added_tokens", [])]
         self.whole = ["  ", " \n", "\n ", MARK, *OTHER_BLANKS, *special]
         with open(ranks, "rb") as f:
             by_rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -97,6 +98,13 @@ class WordCachedTokenizer:
             self.widths[rank] = len(token)
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def tokenizer(self):
+        """Loaded with the first text that has to be encoded whole."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
@@ -143,8 +151,9 @@ class WordCachedTokenizer:
         known.update(self._words(list(new)))
         for (i, words), ids in zip(cut, found, strict=True):
             out[i] = b"".join(map(known.__getitem__, words) if None in ids else ids)
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
-            out[i] = ids
+        if whole:
+            for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
+                out[i] = ids
         return out
 
 
