@@ -19,8 +19,6 @@ from __future__ import annotations
 
 import math
 import re
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,8 +59,6 @@ TEMPLATES = {
     "CC0-1.0": ["Released under CC0 1.0 Universal public domain dedication."],
 }
 TERM = r"([a-z0-9]+)"
-# Every template holds one of these, so a line without any cannot match.
-CUES = ("licens", "permission is hereby", "redistribut", "public domain", "free software")
 
 
 def terms(text: Column) -> Column:
@@ -86,16 +82,10 @@ def vocabulary() -> list[str]:
 
 
 def file_lines(files: DataFrame) -> DataFrame:
-    """(path, line, n_words, terms): lines that hold a cue; the other lines cannot match."""
-    lines = files.where(has_cue(F.col("text"))).select(
-        "path", F.size(F.split(F.trim("text"), r"\s+")).alias("n_words"),
-        F.posexplode(F.split("text", r"\n")).alias("line", "content"))
-    return lines.where(has_cue(F.col("content"))).select("path", "line", "n_words", terms(F.col("content")).alias("t"))
-
-
-def has_cue(text: Column) -> Column:
-    low = F.lower(text)
-    return reduce(or_, [low.contains(c) for c in CUES])
+    """(path, line, n_words, terms): every line that has words."""
+    lines = files.select("path", F.size(F.split(F.trim("text"), r"\s+")).alias("n_words"),
+                         F.posexplode(F.split("text", r"\n")).alias("line", "content"))
+    return lines.select("path", "line", "n_words", terms(F.col("content")).alias("t")).where(F.size("t") > 0)
 
 
 def inverse_frequencies(files: DataFrame) -> dict[str, float]:

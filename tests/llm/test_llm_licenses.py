@@ -54,3 +54,10 @@ def test_ties_nulls_repeats_and_empty_table(spark):
 def test_documents_as_files(spark):
     df = spark.createDataFrame([(12345, "t", None), (None, MIT, "s")], "doc_id bigint, text string, source string")
     assert sorted(str(r.path) for r in licenses.document_files(df).collect()) == ["None", "unknown/12/123/12345.txt"]
+
+
+def test_lines_without_a_cue_word_match(spark):
+    """Words like 'license' need not be on the line."""
+    line = "This Source Code Form is subject to the terms of the Mozilla Public"
+    got = scan(spark, [("a.txt", PROSE + "\n" + line + "\n" + PROSE), ("b.txt", PROSE)])
+    assert got["a.txt"][:2] == ("MPL-2.0", "own") and got["b.txt"][:2] == (None, "none")
