@@ -1,11 +1,12 @@
 """License scan: TF-IDF cosine to license templates, then directory inheritance.
 
-1. Every file is cut into lines (a header sentence is a line); a line is a
-   sparse TF-IDF vector over the words of the templates. Inverse document
-   frequencies are counted over all files, so template words that are common
-   in the corpus weigh little.
-2. A line matches the template with the highest cosine at or above
-   ``THRESHOLD``; a file's own license is that of its best line.
+1. Templates are short notices, full notices and full license texts. A file's
+   lines, its windows of a notice's length (over line ends) and the file as a
+   whole are sparse TF-IDF vectors. Inverse document frequencies are counted
+   over all files, so template words that are common in the corpus weigh little.
+2. A piece matches the template with the highest cosine at or above
+   ``THRESHOLD``; a file's own license is that of its best piece. Pieces that
+   cannot reach the bound are left out before, by a bound that loses none.
 3. A file that is little more than its license (``NOTICE_WORDS`` words at most)
    is the license file of its directory. A file without a license of its own
    inherits from the nearest ancestor directory that has one, by joining its
@@ -19,11 +20,17 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import small_or_shuffled, written
+from gridwright.llm.common import in_slices, small_or_shuffled, written
+from gridwright.llm.license_texts import FULL_TEXTS
 
 THRESHOLD = 0.75
 NOTICE_WORDS = 64
@@ -58,34 +65,84 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
     "CC0-1.0": ["Released under CC0 1.0 Universal public domain dedication."],
 }
+# Full notices: the header that a license asks for, or (MIT, BSD) its whole text.
+NOTICES = {
+    "MIT": [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, "
+        "EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+        "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ],
+    "BSD-3-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of "
+        "its contributors may be used to endorse or promote products derived from this software without specific "
+        "prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND "
+        "ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY "
+        "AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS "
+        "BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT "
+        "NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+        "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+        "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+        "THE POSSIBILITY OF SUCH DAMAGE.",
+    ],
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+        "compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+        "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS "
+        "OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
+        "limitations under the License.",
+    ],
+    **{name: [
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}"
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
+        "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+        f"the GNU {kind}General Public License for more details. You should have received a copy of the GNU {kind}"
+        "General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."]
+       for name, kind in (("GPL-3.0", ""), ("LGPL-3.0", "Lesser "), ("AGPL-3.0", "Affero "))},
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ],
+}
+# Notices that are the whole license, so a file that holds one is a license file.
+WHOLE_NOTICES = ("MIT", "BSD-3-Clause")
 TERM = r"([a-z0-9]+)"
+# Texts scanned at a time.
+BATCH_ROWS = 64
 
 
-def terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(1))
+class Template(NamedTuple):
+    number: int
+    license: str
+    counts: dict[str, int]
+    length: int  # in terms
+    slides: bool  # compared with windows and lines, and not with whole files only
+    whole: bool  # the text of a license, not a mention
 
 
-def template_terms() -> dict[tuple[str, int], dict[str, int]]:
-    """Term counts of each template text, by (license, number)."""
-    out = {}
-    for name, texts in TEMPLATES.items():
-        for k, text in enumerate(texts):
-            counts: dict[str, int] = {}
-            for t in re.findall(TERM, text.lower()):
-                counts[t] = counts.get(t, 0) + 1
-            out[name, k] = counts
-    return out
+def templates() -> list[Template]:
+    """The short notices, the full notices, and the full license texts."""
+    listed = [(name, t, True, False) for name, texts in TEMPLATES.items() for t in texts]
+    listed += [(name, t, True, name in WHOLE_NOTICES) for name, texts in NOTICES.items() for t in texts]
+    listed += [(name, t, False, True) for name, t in FULL_TEXTS.items()]
+    found = [(name, re.findall(TERM, t.lower()), slides, whole) for name, t, slides, whole in listed]
+    return [Template(k, name, Counter(t), len(t), slides, whole) for k, (name, t, slides, whole) in enumerate(found)]
 
 
 def vocabulary() -> list[str]:
-    return sorted({t for counts in template_terms().values() for t in counts})
-
-
-def file_lines(files: DataFrame) -> DataFrame:
-    """(path, line, n_words, terms): every line that has words."""
-    lines = files.select("path", F.size(F.split(F.trim("text"), r"\s+")).alias("n_words"),
-                         F.posexplode(F.split("text", r"\n")).alias("line", "content"))
-    return lines.select("path", "line", "n_words", terms(F.col("content")).alias("t")).where(F.size("t") > 0)
+    return sorted({t for one in templates() for t in one.counts})
 
 
 def inverse_frequencies(files: DataFrame) -> dict[str, float]:
@@ -100,39 +157,130 @@ def inverse_frequencies(files: DataFrame) -> dict[str, float]:
     return {t: math.log((1 + total) / (1 + seen.get(t, 0))) + 1 for t in known}
 
 
-def template_vectors(idf: dict[str, float]) -> list[tuple[str, int, str, float]]:
-    """(license, number, term, weight): unit TF-IDF vectors of the templates."""
-    out = []
-    for (name, k), counts in template_terms().items():
-        norm = math.sqrt(sum((c * idf[t]) ** 2 for t, c in counts.items()))
-        out += [(name, k, t, c * idf[t] / norm) for t, c in sorted(counts.items())]
+def template_vectors(idf: dict[str, float]) -> list[tuple[int, int, float]]:
+    """(number, term, weight): unit TF-IDF vectors of the templates; a term is
+    its place in the vocabulary."""
+    place, out = {t: k for k, t in enumerate(idf)}, []
+    for one in templates():
+        norm = math.sqrt(sum((c * idf[t]) ** 2 for t, c in one.counts.items()))
+        out += [(one.number, place[t], c * idf[t] / norm) for t, c in sorted(one.counts.items())]
     return out
 
 
-def line_matches(files: DataFrame, threshold: float) -> DataFrame:
-    """(path, license, line, cosine, n_words): the best template of each file.
+class Finder:
+    """The pieces of a text that may reach the threshold with a template.
+
+    Pieces are the whole text, each line, and each window that starts at a
+    template's word and has as many words as the template. Two bounds leave
+    pieces out, and neither loses one: a cosine is at most the root of the
+    template's mass (squared weights) on the words that the text has, and at
+    most the dot product over the root of the sum of squared IDFs, which is
+    the length of the piece's vector if no word repeats and less otherwise."""
 
-    The cosine of a line counts all its words: words outside the templates
+    def __init__(self, idf: dict[str, float], threshold: float):
+        self.place = {t: k for k, t in enumerate(idf)}
+        self.idf = np.array([*idf.values(), max(idf.values())])  # the last: all words outside the templates
+        self.listed = templates()
+        self.weights = np.zeros((len(self.idf), len(self.listed)))
+        for number, term, weight in template_vectors(idf):
+            self.weights[term, number] = weight
+        self.least = threshold - 1e-9
+
+    def pieces(self, text: str) -> list[dict]:
+        """number, line, whole, terms, tfs (of template words) and other (the sum
+        of squared counts of all other words). Equal pieces are given once, with their first line."""
+        low = text.lower()
+        get, rest = self.place.get, len(self.place)
+        known = {k for k in map(get, set(re.findall(TERM, low))) if k is not None}
+        if not known:
+            return []
+        mass = (self.weights[list(known)] ** 2).sum(0)
+        may = np.flatnonzero(mass >= self.least**2)
+        if not len(may):
+            return []
+        new: dict[str, int] = {}
+        ids, breaks = [], [0]
+        for line in low.split("\n"):
+            for w in re.findall(TERM, line):
+                k = get(w)
+                ids.append(new.setdefault(w, rest + len(new)) if k is None else k)
+            breaks.append(len(ids))
+        ids, breaks = np.array(ids), np.array(breaks)
+        at = np.minimum(ids, rest)
+        squares = np.concatenate([[0.0], np.cumsum(self.idf[at] ** 2)])
+        out: dict[tuple, dict] = {}
+        for number in may.tolist():
+            one, weight = self.listed[number], self.weights[at, number]
+            dots = np.concatenate([[0.0], np.cumsum(self.idf[at] * weight)])
+            lo, hi = [np.array([0])], [np.array([len(ids)])]
+            if one.slides:
+                starts = np.flatnonzero(weight > 0)
+                lo += [breaks[:-1], starts]
+                hi += [breaks[1:], np.minimum(starts + one.length, len(ids))]
+            lo, hi = np.concatenate(lo), np.concatenate(hi)
+            ok = (hi > lo) & (dots[hi] - dots[lo] >= self.least * np.sqrt(squares[hi] - squares[lo]) - 1e-9)
+            for a, b in sorted(set(zip(lo[ok].tolist(), hi[ok].tolist(), strict=True))):
+                terms, tfs = np.unique(ids[a:b], return_counts=True)
+                inside = terms < rest
+                other = float((tfs[~inside] ** 2).sum())
+                whole = bool(one.whole and b - a == len(ids))
+                key = (number, whole, terms[inside].tobytes(), tfs[inside].tobytes(), other)
+                if key not in out:
+                    line = int(np.searchsorted(breaks, a, "right")) - 1
+                    out[key] = {"number": number, "line": line, "whole": whole, "terms": terms[inside].tolist(),
+                                "tfs": tfs[inside].tolist(), "other": other}
+        return list(out.values())
+
+
+PIECES = "array<struct<number:int,line:int,whole:boolean,terms:array<int>,tfs:array<int>,other:double>>"
+ARROW_PIECES = pa.list_(pa.struct([
+    ("number", pa.int32()), ("line", pa.int32()), ("whole", pa.bool_()), ("terms", pa.list_(pa.int32())),
+    ("tfs", pa.list_(pa.int32())), ("other", pa.float64())]))
+
+
+def file_pieces(files: DataFrame, idf: dict[str, float], threshold: float) -> DataFrame:
+    """Written once, a row per row of ``files``: file (a row number), path,
+    n_words and its pieces."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(idf, threshold)
+        for batch in in_slices(batches, BATCH_ROWS):
+            found = [finder.pieces(t) for t in batch.column(2).to_pylist()]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, ARROW_PIECES)],
+                                  names=["path", "n_words", "pieces"])
+
+    rows = files.select("path", F.size(F.split(F.trim("text"), r"\s+")).alias("n_words"), "text").mapInArrow(
+        find, f"path string, n_words int, pieces {PIECES}")
+    return written(rows.withColumn("file", F.monotonically_increasing_id()), "license-pieces")
+
+
+def file_matches(found: DataFrame, idf: dict[str, float], threshold: float) -> DataFrame:
+    """(file, path, n_words, license, line, cosine, whole): the best template
+    of each row of ``file_pieces`` that has one; whole says that the file is
+    the text of a license.
+
+    The cosine of a piece counts all its words: words outside the templates
     weigh as words that no file has."""
-    spark = files.sparkSession
-    idf = inverse_frequencies(files)
+    spark = found.sparkSession
     rare = max(idf.values())
-    weights = spark.createDataFrame(list(idf.items()), "term string, idf double")
-    templates = spark.createDataFrame(template_vectors(idf), "license string, number int, term string, weight double")
-    lines = written(file_lines(files).withColumn("row", F.monotonically_increasing_id()), "license-lines")
-    tf = lines.select("row", F.explode("t").alias("term")).groupBy("row", "term").agg(F.count(F.lit(1)).alias("tf"))
-    vectors = tf.join(F.broadcast(weights), "term", "left").withColumn("v", F.col("tf") * F.coalesce("idf", F.lit(rare)))
-    norms = vectors.groupBy("row").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    dots = vectors.join(F.broadcast(templates), "term").groupBy("row", "license", "number").agg(
-        F.sum(F.col("v") * F.col("weight")).alias("dot"))
-    best = dots.join(norms, "row").select("row", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine"))
-    best = best.where(F.col("cosine") >= threshold)
-    rows = best.join(lines.select("row", "path", "line", "n_words"), "row")
+    weights = spark.createDataFrame([(k, v) for k, v in enumerate(idf.values())], "term int, idf double")
+    vectors = spark.createDataFrame(template_vectors(idf), "number int, term int, weight double")
+    names = spark.createDataFrame([(t.number, t.license) for t in templates()], "number int, license string")
+    pieces = found.select("file", F.posexplode("pieces").alias("nth", "p")).select("file", "nth", "p.*")
+    key = ["file", "nth", "number", "line", "whole", "other"]
+    tf = pieces.select(*key, F.explode(F.arrays_zip("terms", "tfs")).alias("t")).select(*key, "t.terms", "t.tfs")
+    tf = tf.withColumnsRenamed({"terms": "term", "tfs": "tf"})
+    entries = tf.join(F.broadcast(weights), "term").join(F.broadcast(vectors), ["number", "term"], "left").select(
+        *key, (F.col("tf") * F.col("idf")).alias("v"), F.coalesce("weight", F.lit(0.0)).alias("weight"))
+    sums = entries.groupBy(*key).agg(F.sum(F.col("v") * F.col("weight")).alias("dot"), F.sum(F.col("v") * F.col("v")).alias("sq"))
+    cosine = F.round(F.col("dot") / F.sqrt(F.col("sq") + F.col("other") * F.lit(rare * rare)), 9)
+    best = sums.withColumn("cosine", cosine).where(F.col("cosine") >= threshold).join(F.broadcast(names), "number")
     # Highest cosine, then the earlier line, then the name.
     order = F.struct(-F.col("cosine"), "line", "license")
-    return rows.groupBy("path").agg(
+    best = best.groupBy("file").agg(
         F.min_by("license", order).alias("license"), F.min_by("line", order).alias("line"),
-        F.max("cosine").alias("cosine"), F.max("n_words").alias("n_words"))
+        F.max("cosine").alias("cosine"), F.max("whole").alias("whole"))
+    return best.join(found.select("file", "path", "n_words"), "file")
 
 
 def ancestors(path: Column) -> Column:
@@ -155,14 +303,19 @@ def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, notice_words:
     cosine wins, then the path. An empty table gives no rows.
     """
     files = files.select(F.col("path").cast("string").alias("path"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    own = written(line_matches(files.where("path is not null"), threshold), "license-own")
+    idf = inverse_frequencies(files)
+    found = file_pieces(files.where("path is not null"), idf, threshold)
+    order = F.struct(-F.col("cosine"), "line", "license")
+    own = written(file_matches(found, idf, threshold).groupBy("path").agg(
+        F.min_by("license", order).alias("license"), F.min_by("line", order).alias("line"),
+        F.max("cosine").alias("cosine"), F.max("n_words").alias("n_words"), F.max("whole").alias("whole")), "license-own")
     licensed = own.where(F.col("n_words") <= notice_words).select(
         F.get(ancestors(F.col("path")), F.lit(0)).alias("dir"), "license", "cosine", "path")
     order = F.struct(-F.col("cosine"), "path")
     directories = small_or_shuffled(
         licensed.groupBy("dir").agg(F.min_by("license", order).alias("dir_license")), "license-directories")
     paths = files.groupBy("path").agg(F.lit(1).alias("one")).select("path")
-    marked = written(paths.join(own.drop("n_words"), "path", "left"), "license-marked")
+    marked = written(paths.join(own.drop("n_words", "whole"), "path", "left"), "license-marked")
     # Ancestor directories are few and shared: inheritance is decided per directory, not per file.
     open_dirs = marked.where("license is null and path is not null").select(
         F.get(ancestors(F.col("path")), F.lit(0)).alias("from_dir")).distinct()

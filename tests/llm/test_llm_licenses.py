@@ -1,5 +1,11 @@
 from __future__ import annotations
 
+import math
+import re
+import textwrap
+from collections import Counter
+
+import numpy as np
 import pytest
 
 from gridwright.llm import licenses
@@ -61,3 +67,64 @@ def test_lines_without_a_cue_word_match(spark):
     line = "This Source Code Form is subject to the terms of the Mozilla Public"
     got = scan(spark, [("a.txt", PROSE + "\n" + line + "\n" + PROSE), ("b.txt", PROSE)])
     assert got["a.txt"][:2] == ("MPL-2.0", "own") and got["b.txt"][:2] == (None, "none")
+
+
+def wrapped(text, width=60, prefix=" * "):
+    return "\n".join(prefix + line for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_headers_and_sentences_inside_a_line(spark):
+    mit, bsd = licenses.TEMPLATES["MIT"][1], licenses.TEMPLATES["BSD-3-Clause"][1]
+    notices = {f"{name}.c": (name, PROSE + "\n/*\n" + wrapped(texts[0]) + "\n */\n" + PROSE) for name, texts in licenses.NOTICES.items()}
+    files = {
+        "mit.c": ("MIT", PROSE + "\n" + wrapped(mit, 40, "# ") + "\n" + PROSE),
+        "bsd.c": ("BSD-3-Clause", wrapped(bsd, 40, "// ") + "\n" + PROSE),
+        "foo.c": ("MIT", PROSE + "\nCopyright (c) 2020 Foo. Released under the MIT License."),
+        "see.c": ("MIT", "Released under the MIT License. See the LICENSE file for details.\n" + PROSE),
+        **notices,
+    }
+    got = scan(spark, [(path, text) for path, (_, text) in files.items()] + [("plain/prose.txt", PROSE)], notice_words=0)
+    assert {p: got[p][:2] for p in files} == {p: (name, "own") for p, (name, _) in files.items()}
+
+
+def test_pieces_lose_nothing():
+    """Against the cosine of every line, window and whole text, without bounds."""
+    rng = np.random.default_rng(5)
+    listed = licenses.templates()
+    idf = {t: float(1 + 6 * rng.random()) for t in licenses.vocabulary()}
+    rare = max(idf.values())
+    finder = licenses.Finder(idf, 0.75)
+    words = list(idf)
+
+    def cosine(piece, one):
+        tf = Counter(piece)
+        norm = math.sqrt(sum((c * idf.get(t, rare)) ** 2 for t, c in tf.items()))
+        own = math.sqrt(sum((c * idf[t]) ** 2 for t, c in one.counts.items()))
+        return sum(c * idf[t] * one.counts[t] * idf[t] for t, c in tf.items() if t in one.counts) / norm / own
+
+    for trial in range(12):
+        notice = list(licenses.TEMPLATES.values())[trial % len(licenses.TEMPLATES)][-1].split()
+        text = " ".join(rng.choice(words, 8)) + " zzz\n" + " ".join(
+            w + ("\n" if rng.random() < 0.2 else "") + (" qqq" if rng.random() < 0.15 else "") for w in notice) + "\nend " + " ".join(rng.choice(words, 5))
+        lines = [re.findall(licenses.TERM, line) for line in text.lower().split("\n")]
+        terms = [t for line in lines for t in line]
+        got = Counter(p["number"] for p in finder.pieces(text))
+        for one in listed:
+            pieces = [terms]
+            if one.slides:
+                pieces += [p for p in lines if p] + [terms[k : k + one.length] for k, t in enumerate(terms) if t in one.counts]
+            reach = {tuple(sorted(p)) for p in pieces if cosine(p, one) >= 0.75}
+            assert got[one.number] >= bool(reach)
+            # Pieces are told apart by their template words and the counts of the others.
+            kinds = {(tuple(sorted(t for t in p if t in idf)), sum(c * c for t, c in Counter(p).items() if t not in idf)) for p in reach}
+            found = {(tuple(sorted(words[t] for t, c in zip(p["terms"], p["tfs"]) for _ in range(c))), p["other"])
+                     for p in finder.pieces(text) if p["number"] == one.number}
+            assert kinds <= found
+
+
+def test_whole_license_texts(spark):
+    """Full texts under other names: the license is that of the whole file."""
+    files = [(f"{name}/x.txt", "Some title\n\n" + text) for name, text in licenses.FULL_TEXTS.items()]
+    got = scan(spark, files + [(f"p/{k}.txt", PROSE) for k in range(8)])
+    assert {p: v[:2] for p, v in got.items() if not p.startswith("p/")} == {f"{n}/x.txt": (n, "own") for n in licenses.FULL_TEXTS}
+    assert got["p/1.txt"][1] == "none"
