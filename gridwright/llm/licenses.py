@@ -7,8 +7,10 @@
 2. A piece matches the template with the highest cosine at or above
    ``THRESHOLD``; a file's own license is that of its best piece. Pieces that
    cannot reach the bound are left out before, by a bound that loses none.
-3. A file that is little more than its license (``NOTICE_WORDS`` words at most)
-   is the license file of its directory. A file without a license of its own
+3. A file is the license file of its directory if it has a license and is
+   named as one (LICENSE, COPYING, NOTICE), or matches the text of a license
+   as a whole, however long, or is a short notice (``NOTICE_WORDS`` words at
+   most). A file without a license of its own
    inherits from the nearest ancestor directory that has one, by joining its
    ancestor paths with the license files' directories.
 
@@ -119,6 +121,8 @@ NOTICES = {
 # Notices that are the whole license, so a file that holds one is a license file.
 WHOLE_NOTICES = ("MIT", "BSD-3-Clause")
 TERM = r"([a-z0-9]+)"
+# Names of license files, in lower case.
+LICENSE_NAME = r"^(un)?(licen[sc]e|copying|notice)([-_][a-z0-9.+_-]*)?(\.(txt|md|rst|html|lesser|mit|apache|bsd))?$"
 # Texts scanned at a time.
 BATCH_ROWS = 64
 
@@ -309,7 +313,8 @@ def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, notice_words:
     own = written(file_matches(found, idf, threshold).groupBy("path").agg(
         F.min_by("license", order).alias("license"), F.min_by("line", order).alias("line"),
         F.max("cosine").alias("cosine"), F.max("n_words").alias("n_words"), F.max("whole").alias("whole")), "license-own")
-    licensed = own.where(F.col("n_words") <= notice_words).select(
+    named = F.lower(F.element_at(F.split("path", "/"), -1)).rlike(LICENSE_NAME)
+    licensed = own.where((F.col("n_words") <= notice_words) | F.col("whole") | named).select(
         F.get(ancestors(F.col("path")), F.lit(0)).alias("dir"), "license", "cosine", "path")
     order = F.struct(-F.col("cosine"), "path")
     directories = small_or_shuffled(

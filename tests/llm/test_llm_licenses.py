@@ -128,3 +128,17 @@ def test_whole_license_texts(spark):
     got = scan(spark, files + [(f"p/{k}.txt", PROSE) for k in range(8)])
     assert {p: v[:2] for p, v in got.items() if not p.startswith("p/")} == {f"{n}/x.txt": (n, "own") for n in licenses.FULL_TEXTS}
     assert got["p/1.txt"][1] == "none"
+
+
+def test_long_license_files_pass_their_license_down(spark):
+    """By name or by their whole text, whatever their number of words."""
+    mit = "Copyright (c) 2020 Foo\n\n" + licenses.NOTICES["MIT"][0]
+    files = [
+        ("a/LICENSE", licenses.FULL_TEXTS["Apache-2.0"]), ("a/b/x.txt", PROSE), ("c/17.txt", mit), ("c/x.txt", PROSE),
+        ("d/COPYING.md", PROSE + "\n" + APACHE), ("d/x.txt", PROSE), ("e/license.py", PROSE + "\n" + MIT), ("e/x.txt", PROSE),
+        ("f/9.txt", licenses.FULL_TEXTS["GPL-3.0"]), ("f/g/h/x.txt", PROSE), ("x.txt", PROSE),
+    ]
+    got = scan(spark, files)
+    assert got["a/b/x.txt"] == ("Apache-2.0", "inherited", "a") and got["c/x.txt"] == ("MIT", "inherited", "c")
+    assert got["d/x.txt"] == ("Apache-2.0", "inherited", "d") and got["f/g/h/x.txt"] == ("GPL-3.0", "inherited", "f")
+    assert got["e/license.py"][:2] == ("MIT", "own") and got["e/x.txt"][1] == got["x.txt"][1] == "none"
