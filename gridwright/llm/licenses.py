@@ -298,19 +298,22 @@ def ancestors(path: Column) -> Column:
 def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, notice_words: int = NOTICE_WORDS) -> DataFrame:
     """License of every file.
 
-    ``files`` has path and text. Returns path, license (null if none applies),
-    origin (``own``, ``inherited`` or ``none``), inherited_from (the directory
-    whose license file gave it), cosine and line (of an own license). A null
-    or empty text has no own license and inherits; a null path can neither
-    give nor inherit. Rows that repeat a path are one file with all their
-    lines. Where several license files of a directory disagree, the highest
-    cosine wins, then the path. An empty table gives no rows.
+    ``files`` has path and text. Returns, for each of its rows, path, license
+    (null if none applies), origin (``own``, ``inherited`` or ``none``),
+    inherited_from (the directory whose license file gave it), cosine and line
+    (of an own license). A null or empty text has no own license and inherits.
+    A row with a null path is a file of its own at an unknown place: it has the
+    license of its text, and can neither give nor inherit. Rows that repeat a
+    path are one file with all their lines, and each gets that file's result.
+    Where several license files of a directory disagree, the highest cosine
+    wins, then the path. An empty table gives no rows.
     """
     files = files.select(F.col("path").cast("string").alias("path"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     idf = inverse_frequencies(files)
-    found = file_pieces(files.where("path is not null"), idf, threshold)
+    found = file_pieces(files, idf, threshold)
+    matches = written(file_matches(found, idf, threshold), "license-matches")
     order = F.struct(-F.col("cosine"), "line", "license")
-    own = written(file_matches(found, idf, threshold).groupBy("path").agg(
+    own = written(matches.where("path is not null").groupBy("path").agg(
         F.min_by("license", order).alias("license"), F.min_by("line", order).alias("line"),
         F.max("cosine").alias("cosine"), F.max("n_words").alias("n_words"), F.max("whole").alias("whole")), "license-own")
     named = F.lower(F.element_at(F.split("path", "/"), -1)).rlike(LICENSE_NAME)
@@ -319,10 +322,10 @@ def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, notice_words:
     order = F.struct(-F.col("cosine"), "path")
     directories = small_or_shuffled(
         licensed.groupBy("dir").agg(F.min_by("license", order).alias("dir_license")), "license-directories")
-    paths = files.groupBy("path").agg(F.lit(1).alias("one")).select("path")
-    marked = written(paths.join(own.drop("n_words", "whole"), "path", "left"), "license-marked")
+    known = small_or_shuffled(own.drop("n_words", "whole"), "license-known")
+    marked = written(found.where("path is not null").select("path").join(known, "path", "left"), "license-marked")
     # Ancestor directories are few and shared: inheritance is decided per directory, not per file.
-    open_dirs = marked.where("license is null and path is not null").select(
+    open_dirs = marked.where("license is null").select(
         F.get(ancestors(F.col("path")), F.lit(0)).alias("from_dir")).distinct()
     steps = open_dirs.select("from_dir", F.posexplode(F.concat(F.array("from_dir"), F.when(
         F.col("from_dir") == "", F.array().cast("array<string>")).otherwise(ancestors(F.col("from_dir"))))).alias("up", "dir"))
@@ -332,11 +335,23 @@ def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, notice_words:
     nearest = small_or_shuffled(nearest, "license-nearest")
     at = F.when(F.col("license").isNull(), F.get(ancestors(F.col("path")), F.lit(0)))
     out = marked.withColumn("from_dir", at).join(nearest, "from_dir", "left")
-    return out.select(
+    out = out.select(
         "path", F.coalesce("license", "given_license").alias("license"),
         F.when(F.col("license").isNotNull(), "own").when(F.col("given_license").isNotNull(), "inherited")
         .otherwise("none").alias("origin"),
         F.col("given_dir").alias("inherited_from"), "cosine", "line")
+    return placeless(found, matches, out).unionByName(out)
+
+
+def placeless(found: DataFrame, matches: DataFrame, like: DataFrame) -> DataFrame:
+    """The rows with a null path, in the columns of ``like``: those with a
+    license of their own, then the others."""
+    licensed = matches.where("path is null")
+    plain = found.where("path is null").join(licensed.select("file"), "file", "left_anti")
+    nothing = {c: F.lit(None).cast(like.schema[c].dataType) for c in like.columns}
+    return licensed.select(*[{**nothing, "license": F.col("license"), "origin": F.lit("own"), "cosine": F.col("cosine"),
+                              "line": F.col("line")}[c].alias(c) for c in like.columns]).unionByName(
+        plain.select(*[{**nothing, "origin": F.lit("none")}[c].alias(c) for c in like.columns]))
 
 
 def document_files(documents: DataFrame) -> DataFrame:

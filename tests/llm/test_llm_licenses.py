@@ -142,3 +142,12 @@ def test_long_license_files_pass_their_license_down(spark):
     assert got["a/b/x.txt"] == ("Apache-2.0", "inherited", "a") and got["c/x.txt"] == ("MIT", "inherited", "c")
     assert got["d/x.txt"] == ("Apache-2.0", "inherited", "d") and got["f/g/h/x.txt"] == ("GPL-3.0", "inherited", "f")
     assert got["e/license.py"][:2] == ("MIT", "own") and got["e/x.txt"][1] == got["x.txt"][1] == "none"
+
+
+def test_every_row_has_a_result(spark):
+    """Rows without a path are scanned and kept one by one; so are repeats."""
+    df = spark.createDataFrame(
+        [(None, MIT, "s"), (None, PROSE, "s"), (None, PROSE + "\n" + APACHE, None), (None, None, "s"), (7, MIT, "s"), (7, PROSE, "s")],
+        "doc_id bigint, text string, source string")
+    got = Counter((r.path, r.license, r.origin) for r in licenses.scan_licenses(licenses.document_files(df)).collect())
+    assert got == Counter({(None, "MIT", "own"): 1, (None, None, "none"): 2, (None, "Apache-2.0", "own"): 1, ("s/0/0/7.txt", "MIT", "own"): 2})
