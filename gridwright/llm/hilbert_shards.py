@@ -79,14 +79,14 @@ def hashed_cell(value: Column, bits: int = BITS) -> Column:
     return F.when(value.isNull(), 0).otherwise(cell).cast("int")
 
 
-def curve_positions(documents: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, hilbert, position (0-based, gapless, in curve
+def curve_positions(documents: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """The ``carried`` columns, doc_id, size, text_crc32, hilbert, position (0-based, gapless, in curve
     order). Ties on the curve are ordered by text, then id, so equal texts of
     one cell are neighbours and a cell of any number of rows still spreads
     over several ranges."""
     data = F.encode(F.col("text").cast("string"), "UTF-8")
     rows = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+        *carried, F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length(data), F.lit(0)).cast("bigint") + 16).alias("size"),
         F.crc32(F.coalesce(data, F.lit(b""))).alias("text_crc32"),
         F.xxhash64(F.coalesce(data, F.lit(b""))).alias("text_hash"),
@@ -98,7 +98,7 @@ def curve_positions(documents: DataFrame) -> DataFrame:
     log = lambda c: F.log2(c.cast("double"))
     bounds = (np.log2(box[2]), np.log2(box[3])) if box[2] is not None else (None, None)
     placed = facts.select(
-        "doc_id", "size", "text_crc32", "text_hash",
+        *carried, "doc_id", "size", "text_crc32", "text_hash",
         hilbert_column(
             quantised(log(F.col("size")), *bounds), quantised(F.col("doc_id"), box[0], box[1]),
             hashed_cell(F.col("lang")), hashed_cell(F.col("source")),
@@ -119,7 +119,7 @@ def curve_positions(documents: DataFrame) -> DataFrame:
     starts = spark.createDataFrame([(p, o, at) for p, o in offsets.items()] or [(0, 0, 0)],
                                    "part int, start bigint, total bigint")
     return numbered.join(F.broadcast(starts), "part").select(
-        "doc_id", "size", "text_crc32", "hilbert", (F.col("start") + F.col("nth")).alias("position"), "total"
+        *carried, "doc_id", "size", "text_crc32", "hilbert", (F.col("start") + F.col("nth")).alias("position"), "total"
     )
 
 
@@ -133,9 +133,14 @@ def hilbert_shards(documents: DataFrame, shards: int = 40) -> DataFrame:
     hilbert. Repeated rows each get a slot of their own; null ids and
     metadata go to cell 0; an empty table gives no rows.
     """
+    return assigned(documents, shards)
+
+
+def assigned(documents: DataFrame, shards: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``hilbert_shards`` with the ``carried`` columns of the documents in front."""
     if shards < 1:
         raise ValueError("shards must be positive")
-    rows = curve_positions(documents)
+    rows = curve_positions(documents, carried)
     # The first `total % shards` runs are one longer than the others.
     base, longer = F.floor(F.col("total") / shards).cast("bigint"), F.col("total") % shards
     head = longer * (base + 1)
@@ -145,18 +150,23 @@ def hilbert_shards(documents: DataFrame, shards: int = 40) -> DataFrame:
     slot = F.when(in_head, F.col("position") % (base + 1)).otherwise(
         (F.col("position") - head) % F.greatest(base, F.lit(1)))
     return rows.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"),
+        *carried, "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"),
         slot.cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "hilbert",
     )
 
 
 def write_shards(documents: DataFrame, folder: str, shards: int = 40) -> DataFrame:
     """Write the documents as parquet under ``folder/shard=N``, each shard
-    sorted by slot, and return the assignment. Rows meet their shard by
-    doc_id, so ids must be unique and not null here."""
-    placed = written(hilbert_shards(documents, shards).select("doc_id", "shard", "slot"), "shard-assignment")
+    sorted by slot, and return the assignment (doc_id, shard, slot). Rows meet
+    their slot by a row number stored with them, so each row, with a null or a
+    repeated id too, is written once. Documents have no columns named shard or slot."""
+    rows = written(documents.select(F.struct("*").alias("doc")).withColumn("__row", F.monotonically_increasing_id()),
+                   "shard-documents")
+    facts = rows.select("__row", *(F.col(f"doc.{c}").alias(c) for c in ("doc_id", "text", "lang", "source")))
+    placed = written(assigned(facts, shards, ("__row",)).select("__row", "doc_id", "shard", "slot"), "shard-assignment")
     (
-        documents.join(placed, "doc_id").repartitionByRange(4 * shards, "shard", "slot")
+        rows.join(placed.drop("doc_id"), "__row").select("doc.*", "shard", "slot")
+        .repartitionByRange(4 * shards, "shard", "slot")
         .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
     )
-    return placed
+    return placed.drop("__row")

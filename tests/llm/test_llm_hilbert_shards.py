@@ -68,3 +68,14 @@ def test_written_shards(spark):
     back = spark.read.parquet(folder)
     assert back.count() == df.count() == placed.count()
     assert {r.doc_id: r.shard for r in back.collect()} == {r.doc_id: r.shard for r in placed.collect()}
+
+
+def test_written_shards_with_null_and_repeated_ids(spark):
+    docs = [(None, f"text {k}") for k in range(9)] + [(5, "same")] * 6 + [(5, f"other {k}") for k in range(4)] + [(6, None)]
+    df = spark.createDataFrame([(i, t, "en", None, 0) for i, t in docs], DOCS)
+    folder = scratch_path(spark, "shards")
+    placed = hs.write_shards(df, folder, 3)
+    back = spark.read.parquet(folder).collect()
+    assert Counter((r.doc_id, r.text) for r in back) == Counter(docs)
+    assert Counter((r.doc_id, r.shard, r.slot) for r in back) == Counter(tuple(r) for r in placed.collect())
+    assert len({(r.shard, r.slot) for r in back}) == len(docs)
