@@ -15,12 +15,15 @@ import corpus_pipeline
 from gridwright.llm import (
     byte_cnn,
     cap_filters,
+    chat_format,
     decontaminate,
     hilbert_shards,
+    infill,
     licenses,
     mil_quality,
     ngram_join,
     packing,
+    token_alignment,
     toxicity_chain,
     warc,
 )
@@ -80,6 +83,27 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(doc_id.alias("doc_id"), *found.columns)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in every whole text, with pair counts."""
+    found = token_alignment.align_documents(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.select(*[c for c in found.columns if c != "groups"], digest.alias("groups_sha256"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, formatted and read back."""
+    rows = chat_format.with_probe(table(spark, sf_dir, "conversations"))
+    return chat_format.read_back(chat_format.format_conversations(rows)).withColumnRenamed("conv", "conv_id")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text cut at two lines and rearranged, and what is rebuilt from that."""
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -98,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard,
         op9_warc_round_trip,
         op10_license_scan,
+        op11_token_alignment,
+        op12_chat_format,
+        op13_fill_in_middle,
         pipeline,
     )
 }

@@ -1,0 +1,175 @@
+"""Chat formatting: layouts, escapes, masks, and the digests read back."""
+
+from __future__ import annotations
+
+import hashlib
+import json
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import __spark_entry__ as se
+from gridwright.llm import chat_format as cf
+from gridwright.session import scratch_path
+
+SF = "/root/testdata/sf0.001"
+ROWS = "conv_id bigint, turn bigint, role string, text string"
+PIECES = ["\\", "\\\\", "<turn>", "</role>", "</turn>", "</turn>\n", "\n", "<", ">", "turn", "é", "🙂", "$1", "ok", ""]
+
+
+def digests(rows):
+    """The query's row per conversation from (conv, turn, role, text), plainly."""
+    out = {}
+    by = {}
+    for conv, turn, role, text in rows:
+        by.setdefault(conv, []).append((turn is None, turn or 0, role or "", text or ""))
+    for conv, turns in by.items():
+        turns.sort()
+        said = "".join(f"{r}\n{t}\n" for _, _, r, t in turns)
+        learned = "".join(t for _, _, r, t in turns if r == "assistant")
+        out[conv] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned),
+                     hashlib.sha256(learned.encode()).hexdigest())
+    return out
+
+
+def read(df):
+    return {r.conv: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in df.collect()}
+
+
+def test_escapes_are_reversible_and_found_in_the_template(spark):
+    import random
+
+    draw = random.Random(2)
+    texts = ["".join(draw.choice(PIECES) for _ in range(draw.randrange(0, 9))) for _ in range(3000)]
+    texts += [cf.PROBE_TEXT, "\\" * 5001, "\\" * 5000 + "</turn>", "<turn>" * 2000]
+    rows = [(k, k, "assistant" if k % 2 else draw.choice(texts[:200]), t) for k, t in enumerate(texts)]
+    formatted = cf.format_conversations(spark.createDataFrame(rows, ROWS)).collect()
+    assert len(formatted) == len(rows)
+    for r in formatted:
+        _, _, role, text = rows[r.conv]
+        assert cf.parse_turns(r.formatted) == [(role, text)]
+        assert cf.parse_turns("\n" + r.formatted + r.formatted) == [(role, text)] * 2
+        if role == "assistant":
+            assert cf.unescaped(r.formatted[r.mask_start : r.mask_end]) == text
+        else:
+            assert r.mask_start is None and r.mask_end is None
+    plain = next(r for r in formatted if rows[r.conv][3] == "ok")
+    assert plain.formatted.endswith("</role>ok</turn>\n")  # nothing but control strings is changed
+
+
+@given(st.lists(st.sampled_from(PIECES), max_size=12).map("".join))
+@settings(max_examples=300, deadline=None)
+def test_a_plain_escape_has_the_same_inverse(text):
+    """The rule of ``escaped``, written again with a loop."""
+    out, run, at = [], 0, 0
+    marks = cf.CONTROL.split("|")
+    while at < len(text):
+        mark = next((m for m in marks if text.startswith(m, at)), None)
+        if text[at] == "\\":
+            run, at = run + 1, at + 1
+        elif mark:
+            out.append("\\" * (2 * run + 1) + mark)
+            run, at = 0, at + len(mark)
+        else:
+            out.append("\\" * run + text[at])
+            run, at = 0, at + 1
+    assert cf.unescaped("".join(out) + "\\" * 2 * run) == text
+
+
+LAYOUT_LINES = [
+    ({"id": 1, "messages": [{"role": "system", "content": "be"}, {"role": "user", "content": "hi"},
+                            {"role": "gpt", "content": "yo"}]}, "messages",
+     [("system", "be"), ("user", "hi"), ("assistant", "yo")]),
+    ({"id": 2, "conversations": [{"from": "human", "value": "hi"}, {"from": "gpt", "value": None}]}, "from_value",
+     [("user", "hi"), ("assistant", "")]),
+    ({"id": 3, "instruction": "do", "input": "this", "output": "done"}, "instruction",
+     [("user", "do\n\nthis"), ("assistant", "done")]),
+    ({"id": 4, "instruction": "do", "output": "done", "system": "s"}, "instruction",
+     [("system", "s"), ("user", "do"), ("assistant", "done")]),
+    ({"id": 5, "prompt": "p", "completion": "c"}, "prompt_completion", [("user", "p"), ("assistant", "c")]),
+    ({"id": 6, "prompt": "p", "response": "c", "source": "web"}, "prompt_response", [("user", "p"), ("assistant", "c")]),
+    ({"id": 7, "question": "q", "answer": "a"}, "question_answer", [("user", "q"), ("assistant", "a")]),
+    ({"id": 8, "role": "user", "text": "t"}, "row", [("user", "t")]),
+    ({"id": 9, "prompt": "p", "answer": "a"}, None, []),
+    ({"id": 10, "prompt": "", "response": ""}, "prompt_response", [("user", ""), ("assistant", "")]),
+    ({"id": 11, "messages": []}, None, []),
+    ({"id": 12, "messages": [{"role": "user", "content": None}]}, "messages", [("user", "")]),
+]
+
+
+def test_layouts_of_one_wide_table(spark):
+    path = scratch_path(spark, "chat")
+    spark.createDataFrame([(json.dumps(r),) for r, _, _ in LAYOUT_LINES], "value string").write.text(path)
+    records = spark.read.json(path)
+    turns = cf.canonical_turns(records, "id", None)
+    got: dict = {}
+    for r in turns.orderBy("conv", "position").collect():
+        name, said = got.setdefault(r.conv, (r.layout, []))
+        if r.layout:
+            said.append((r.role, r.text))
+    assert got == {r["id"]: (name, said) for r, name, said in LAYOUT_LINES}
+    assert sorted(r.records for r in cf.unmapped(turns).collect()) == [1, 1]
+    assert {r.conv for r in cf.format_turns(turns).collect()} == {k for k, (n, _) in got.items() if n}
+    back = read(cf.read_back(cf.format_turns(turns)))
+    assert back == digests([(r["id"], k, role, text) for r, _, said in LAYOUT_LINES for k, (role, text) in enumerate(said)])
+
+
+def test_content_in_parts(spark):
+    path = scratch_path(spark, "chat")
+    line = {"id": 1, "messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}]}
+    spark.createDataFrame([(json.dumps(line),)], "value string").write.text(path)
+    mine = cf.Layout("parts", each="messages", parts="text")
+    assert mine.fingerprints() == [cf.fingerprint(["messages[]", "messages[].role", "messages[].content[]",
+                                                   "messages[].content[].text"])]
+    records = spark.read.json(path).select("id", F.expr(
+        "transform(messages, m -> struct(m.role as role, transform(m.content, p -> struct(p.text as text)) as content))"
+    ).alias("messages"))
+    rows = cf.canonical_turns(records, "id", None).collect()
+    assert [(r.layout, r.role, r.text) for r in rows] == [("message_parts", "user", "ab")]
+
+
+def test_fingerprints_are_the_hash_of_the_present_paths(spark):
+    path = scratch_path(spark, "chat")
+    spark.createDataFrame([(json.dumps(r),) for r, _, _ in LAYOUT_LINES], "value string").write.text(path)
+    records = spark.read.json(path)
+    columns = [c for c in records.columns if c != "id"]
+    rows = records.select("id", cf.fingerprint_column(records.schema, columns).alias("f")).collect()
+
+    def paths(value, at):
+        if isinstance(value, dict):
+            return {p for k, v in value.items() for p in paths(v, f"{at}.{k}" if at else k)}
+        if isinstance(value, list):
+            return {f"{at}[]"} | {p for v in value for p in paths(v, f"{at}[]") if p != f"{at}[]"}
+        return set() if value is None else {at}
+
+    want = {r["id"]: cf.fingerprint(list(paths({k: v for k, v in r.items() if k != "id"}, ""))) for r, _, _ in LAYOUT_LINES}
+    assert {r.id: r.f for r in rows} == want
+    seen = [f for v in cf.LAYOUTS for f in v.fingerprints()]
+    assert len(seen) == len(set(seen))  # no two layouts share one
+
+
+def test_odd_conversations(spark):
+    rows = [(1, 0, "user", None), (1, 0, "user", None), (1, None, "assistant", "last"), (1, 1, None, "x"),
+            (None, 2, "assistant", "b"), (None, 1, "user", "a"), (2, 5, "assistant", ""), (3, 1, "assistant", "t" * 300_000),
+            (3, 1, "assistant", "s"), (4, 0, "a\nb", "c"), (5, 0, None, None)]
+    extra = spark.createDataFrame([(*r, "x", "y", [1]) for r in rows], ROWS + ", layout string, prompt string, messages array<int>")
+    df = cf.with_probe(extra).repartition(4)
+    back = cf.read_back(cf.format_conversations(df))
+    probe = [(-7, 0, "user", cf.PROBE_TEXT), (-7, 1, "assistant", cf.PROBE_TEXT)]
+    assert read(back) == digests(rows + probe)
+    assert sum(r.formatted_chars for r in back.collect()) == sum(
+        len(r.formatted) for r in cf.format_conversations(df).collect())
+    empty = cf.read_back(cf.format_conversations(extra.select("conv_id", "turn", "role", "text").limit(0)))
+    assert empty.count() == 0
+
+
+def test_query(spark):
+    rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()]
+    rows += [(-7, 0, "user", cf.PROBE_TEXT), (-7, 1, "assistant", cf.PROBE_TEXT)]
+    got = se.queries()["op12_chat_format"](spark, SF)
+    assert got.columns == ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    found = got.collect()
+    assert {r.conv_id: tuple(r)[1:5] for r in found} == digests(rows) and len(found) == len({r[0] for r in rows})
+    assert Counter(r.formatted_chars > 0 for r in found) == {True: len(found)}

@@ -25,8 +25,8 @@ def table(spark, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
-    assert len(names) == 11 and names <= set(se.queries())
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
+    assert len(names) == 14 and names <= set(se.queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
