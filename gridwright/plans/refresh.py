@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridwright.config import PRODUCTION, STANDIN, JobConfig
 from gridwright.plans.pay_grid import build_pay_grid
 from gridwright.session import build_session, scratch_scope
+from gridwright.sinks.commits import CommitLog
 from gridwright.sinks.publish import PAY_GRID_LAYOUT, Layout, publish
 
 
@@ -41,7 +42,9 @@ def refresh(
     its last reader, has finished. ``served=True`` publishes under the served
     table's own column names (with the layout renamed to match). ``land=True``
     reads every relation once, into the shared folder, before planning (for
-    JDBC sources: one consistent read of each, and one load)."""
+    JDBC sources: one consistent read of each, and one load). If another refresh
+    commits while this one runs, this one changes nothing (``CommitConflict``)."""
+    base = CommitLog(spark, root, name).head()  # what these rows replace: an older refresh may not
     with scratch_scope(spark):
         if land:
             from gridwright.sources.erp import land_sources
@@ -53,7 +56,7 @@ def refresh(
 
             grid = served_names(grid)
             layout = served_layout() if layout is not None else None
-        return publish(grid, name, root, mode=mode, layout=layout)
+        return publish(grid, name, root, mode=mode, layout=layout, base=base)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -1,11 +1,13 @@
 """Sinks: atomic publish of the mart, JDBC write options."""
 
+from gridwright.sinks.commits import Commit, CommitConflict, CommitLog, pinned
 from gridwright.sinks.jdbc import jdbc_write_options, write_jdbc
 from gridwright.sinks.publish import (
     MODES,
     PAY_GRID_LAYOUT,
     Layout,
     list_versions,
+    lookup,
     prune_versions,
     publish,
     read_latest,
@@ -13,11 +15,16 @@ from gridwright.sinks.publish import (
 )
 
 __all__ = [
+    "Commit",
+    "CommitConflict",
+    "CommitLog",
     "MODES",
     "PAY_GRID_LAYOUT",
     "Layout",
     "jdbc_write_options",
     "list_versions",
+    "lookup",
+    "pinned",
     "prune_versions",
     "publish",
     "read_latest",

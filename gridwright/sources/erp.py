@@ -88,6 +88,7 @@ def served_layout():
     return Layout(
         cluster_by=tuple(rename(c, c) for c in PAY_GRID_LAYOUT.cluster_by),
         sort_by=tuple(rename(c, c) for c in PAY_GRID_LAYOUT.sort_by),
+        lookups=tuple(tuple(rename(c, c) for c in keys) for keys in PAY_GRID_LAYOUT.lookups),
     )
 
 
