@@ -8,10 +8,12 @@ left side fan out once per matching right row; unmatched left rows keep
 NULLs on the right columns.
 
 A left outer join lets AQE split a hot key on the left side only. With
-``split_skew=True`` the merge is an inner join, in which AQE splits either
-side, united with the left rows whose key the right side does not have. That
-costs a second pass over the left side, so it is for merges whose right side
-is too big to broadcast.
+``split_skew=True`` the hot keys of the right side are found by a sketch while
+that side is written (``operators.skew``), and only they are dealt into slices:
+a right row of a hot key goes to one slice, a left row of that key to all of
+them. Such a key is known to be on the right, so a left row that meets nothing
+in one slice is no unmatched row there and is dropped. All other keys take the
+plain left join; both sides are read and shuffled once.
 
 A key pair of the same name is kept once (left value); differently named
 keys both survive. Non-key columns present on both sides raise instead of
@@ -27,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridwright.operators.skew import SLICES, Written, hot_keys, write_with_sketch
+
 _NUMERIC = (T.NumericType, T.BooleanType)
 _TEXT = (T.StringType, T.CharType, T.VarcharType)
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -67,10 +71,12 @@ def left_merge(
     *,
     on: list[str] | None = None,
     null_safe: bool = True,
-    split_skew: bool = False,
+    split_skew: bool | Written = False,
 ) -> DataFrame:
     """Left outer join matching NULL keys to NULL keys (``null_safe=True``).
-    ``split_skew`` plans it so that a hot key is split on either side.
+    ``split_skew`` splits a hot key on either side; the right side is written
+    for its sketch, unless the caller has done so (``Written`` of the right
+    side and its keys).
 
     Output columns: all left columns in order, then the right columns in
     order minus right keys that share their name with the paired left key.
@@ -90,6 +96,12 @@ def left_merge(
     if clash:
         raise ValueError(f"columns on both sides that are not paired keys: {clash}")
 
+    right_keys = list(dict.fromkeys(right_on))
+    hot = None
+    if split_skew:
+        sketched = split_skew if isinstance(split_skew, Written) else write_with_sketch(right, right_keys, "merge-right")
+        right, hot = sketched.frame, hot_keys(sketched, right_keys, null_safe)
+
     # Rename the right side so every reference below is unambiguous.
     tag = {c: f"__r_{i}" for i, c in enumerate(right.columns)}
     r = right.select(*[F.col(c).alias(tag[c]) for c in right.columns])
@@ -101,21 +113,25 @@ def left_merge(
         lambda a, b: a & b,
         [eq(F.col(lk), F.col(tag[rk])) for lk, rk in zip(left_on, right_on)],
     )
-    joined = left.join(r, cond, "inner" if split_skew else "left").select(
-        *[F.col(c) for c in left.columns],
-        *[F.col(tag[c]).alias(c) for c in right_kept],
-    )
-    if not split_skew:
-        return joined
-    # One row per right key (aggregated before its shuffle), so the hot right
-    # key is one row here, and AQE splits a hot left key.
-    keys = r.select(*[F.col(tag[rk]) for rk in dict.fromkeys(right_on)]).distinct()
-    types = {f.name: f.dataType for f in right.schema.fields}
-    unmatched = left.join(keys, cond, "left_anti").select(
-        *[F.col(c) for c in left.columns],
-        *[F.lit(None).cast(types[c]).alias(c) for c in right_kept],
+    columns = [*[F.col(c) for c in left.columns], *[F.col(tag[c]).alias(c) for c in right_kept]]
+    if hot is None:
+        return left.join(r, cond, "left").select(*columns)
+
+    of_hot = {c: f"__h_{i}" for i, c in enumerate(right_keys)}
+    hot = F.broadcast(hot.withColumnsRenamed(of_hot))  # at most skew.MAX_HOT rows
+    on_left = reduce(lambda a, b: a & b, [eq(F.col(lk), F.col(of_hot[rk])) for lk, rk in zip(left_on, right_on)])
+    on_right = reduce(lambda a, b: a & b, [eq(F.col(tag[c]), F.col(h)) for c, h in of_hot.items()])
+    slices = F.coalesce(F.col(SLICES), F.lit(1))
+    dealt = left.join(hot, on_left, "left").select(
+        *left.columns, slices.alias("__l_slices"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("__l_slice"))
+    # The stored right side is read in the same order by every attempt of a task.
+    place = F.pmod(F.monotonically_increasing_id(), slices.cast("long")).cast("int")
+    sliced = r.join(hot, on_right, "left").select(*r.columns, place.alias("__r_slice"))
+    return (
+        dealt.join(sliced, cond & (F.col("__l_slice") == F.col("__r_slice")), "left")
+        .where((F.col("__l_slices") == 1) | F.col("__r_slice").isNotNull())
+        .select(*columns)
     )
-    return joined.unionByName(unmatched)
 
 
 def fill_from(df: DataFrame, target: str, source: str) -> DataFrame:

@@ -11,7 +11,7 @@ import logging
 import re
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,24 +80,32 @@ def row_bytes(df: DataFrame):
     return total
 
 
-def materialize_measured(df: DataFrame, name: str = "materialized") -> tuple[DataFrame, int, int]:
-    """``(stored, rows, bytes)``: compute ``df`` once and cut its lineage.
+def materialize_observed(
+    df: DataFrame, name: str = "materialized", aggregates: dict[str, Column] | None = None
+) -> tuple[DataFrame, dict]:
+    """``(stored, observed)``: compute ``df`` once and cut its lineage.
 
     Written as parquet under the shared folder named by
     ``spark.checkpoint.dir`` and read back (survives executor loss; never a
-    machine-local copy). Row count and real in-memory bytes (text and binary
-    by their own length) are observed during the same write job, so measuring
-    costs no extra job. (An RDD checkpoint would compute an unpersisted input
-    twice.)"""
+    machine-local copy). ``rows``, real in-memory ``bytes`` (text and binary
+    by their own length) and any further ``aggregates`` are observed during
+    the same write job, so measuring costs no extra job. (An RDD checkpoint
+    would compute an unpersisted input twice.)"""
     from gridwright.session import scratch_path
 
     path = scratch_path(df.sparkSession, name)
     obs = Observation(f"{name}-size-{uuid.uuid4().hex[:8]}")
     df.observe(
-        obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
+        obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes"),
+        *[c.alias(k) for k, c in (aggregates or {}).items()],
     ).write.mode("errorifexists").parquet(path)
-    got = obs.get
-    return df.sparkSession.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"])
+    return df.sparkSession.read.schema(df.schema).parquet(path), dict(obs.get)
+
+
+def materialize_measured(df: DataFrame, name: str = "materialized") -> tuple[DataFrame, int, int]:
+    """``materialize_observed`` as ``(stored, rows, bytes)``."""
+    stored, got = materialize_observed(df, name)
+    return stored, int(got["rows"]), int(got["bytes"])
 
 
 def materialize_counted(df: DataFrame, name: str = "materialized") -> tuple[DataFrame, int]:

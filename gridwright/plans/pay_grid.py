@@ -57,7 +57,8 @@ from gridwright.operators.filters import exclude_containing, exclude_equal, excl
 from gridwright.operators.latest import last_day_in_month, latest_per_group
 from gridwright.operators.merge import fill_from, left_merge
 from gridwright.operators.reduce import count_by, distinct_keys, expand_levels
-from gridwright.operators.sizing import materialize, measured_side, small_side
+from gridwright.operators.sizing import small_side
+from gridwright.operators.skew import Written, sketched_side
 from gridwright.session import run_concurrently
 
 SALARY_COLUMNS = ["territory", "city", "city_code", "position", "level", "salary", "run_date", "leader_level"]
@@ -242,7 +243,7 @@ def position_grid(sources: dict[str, DataFrame], cfg: JobConfig, strategy: str =
     return expand_levels(position_base(sources, cfg, strategy), cfg.levels, "level")
 
 
-def staffed_grid(grid: DataFrame, staff: DataFrame, split_skew: bool = False) -> DataFrame:
+def staffed_grid(grid: DataFrame, staff: DataFrame, split_skew: bool | Written = False) -> DataFrame:
     """Grid rows left-merged with staff groups on (firm, position, level) =
     (branch, position, pay_level), NULL matching NULL (J12), then the staff
     city and branch filled from the firm's where missing (E4)."""
@@ -252,7 +253,7 @@ def staffed_grid(grid: DataFrame, staff: DataFrame, split_skew: bool = False) ->
     return fill_from(main, "branch", "firm")
 
 
-def merge_pay(salary: DataFrame, main: DataFrame, split_skew: bool = False) -> DataFrame:
+def merge_pay(salary: DataFrame, main: DataFrame, split_skew: bool | Written = False) -> DataFrame:
     """Pay rows left-merged with the staffed grid on (city, position, level),
     NULL matching NULL (J13); the eight published columns (P4), a missing
     head-count as 0 (E5). A pay row without any grid row keeps a NULL
@@ -273,25 +274,22 @@ def merge_pay(salary: DataFrame, main: DataFrame, split_skew: bool = False) -> D
 def measured_merges(salary, grid: DataFrame, staff: DataFrame) -> DataFrame:
     """J12, E4, J13, P4, E5 with both right sides written and measured. Under
     the cap a right side is broadcast and nothing is shuffled for its merge;
-    over it, the merge is planned so that AQE can split a hot key on either
-    side (the written copy is then read twice). ``salary`` is a callable, run
-    beside the measuring."""
+    over it, its hot keys are dealt into slices and AQE splits those of the
+    left side (``left_merge``); either side is read once. ``salary`` is a
+    callable, run beside the measuring."""
 
-    def staffed() -> tuple[DataFrame, bool]:
-        counts, small = measured_side(staff, "staff-counts")
-        return measured_side(staffed_grid(grid, counts, split_skew=not small), "staffed-grid")
+    def staffed() -> tuple[DataFrame, Written | None]:
+        counts, sketch = sketched_side(staff, ["branch", "position", "pay_level"], "staff-counts")
+        return sketched_side(staffed_grid(grid, counts, sketch or False), ["city", "position", "level"], "staffed-grid")
 
-    pay, (main, small) = run_concurrently(salary, staffed)
-    if not small:
-        # The pay rows are read twice by the split merge: computed once.
-        pay = materialize(pay, "salary-in-force")
-    return merge_pay(pay, main, split_skew=not small)
+    pay, (main, sketch) = run_concurrently(salary, staffed)
+    return merge_pay(pay, main, sketch or False)
 
 
 def assemble(salary: DataFrame, staff: DataFrame, grid: DataFrame, strategy: str = "auto") -> DataFrame:
     """The staffed grid (J12, E4) merged into the pay rows.
-    Only ``auto`` measures; the other strategies stay lazy, with merges that
-    split a hot key on either side."""
+    Only ``auto`` measures; the other strategies merge by joins that split a
+    hot key on either side."""
     if strategy == "auto":
         return measured_merges(lambda: salary, grid, staff)
     return merge_pay(salary, staffed_grid(grid, staff, split_skew=True), split_skew=True)
@@ -308,8 +306,7 @@ def build_pay_grid(
     plan is built: they write to the shared folder, and measure, the
     per-group maxima of the pay register and of the document headers, the
     city and territory map, the staff counts and the staffed grid -- the
-    relations that are broadcast when they fit under the cap, and read twice
-    by the split merge when they do not. Independent ones are built
+    relations that are broadcast when they fit under the cap. Independent ones are built
     concurrently."""
     validate_sources(sources)
     grid, staff = position_grid(sources, cfg, strategy), headcount(sources, cfg)

@@ -125,34 +125,83 @@ SPLITTING = {
 }
 
 
-@pytest.mark.parametrize("hot_side", ["left", "right"])
-def test_aqe_splits_a_null_heavy_key_on_either_side(spark, hot_side):
-    """Over the broadcast cap the NULL-safe merge is a sort-merge join; when a
-    third of the rows of either side share a NULL key, AQE splits that
-    partition (thresholds lowered so the split triggers at test size), and
-    the rows are those of the plain left join."""
+def _null_heavy(spark, hot_side):
+    """A merge of which one side has a third of its rows on one NULL key."""
     from pyspark.sql import functions as F
 
-    from conftest import bag, settings_of
-    from gridwright.operators.merge import left_merge
-
     reg = standin_sources(spark, "/root/testdata/sf0.01")["salary_register"]
     reg = reg.select(F.col("city_ref").cast("string").alias("city"), "position_ref", "level", "salary")
-    hot = reg.withColumn("city", F.when(F.col("position_ref") % 3 == 0, F.lit(None)).otherwise(F.col("city")))
-    hot = hot.repartition(8)  # several map tasks, as on a cluster
+    third = F.col("position_ref") % 3 == 0
+    hot = reg.withColumns({"city": F.when(third, F.lit(None)).otherwise(F.col("city")),
+                           "level": F.when(third, F.lit(None)).otherwise(F.col("level"))}).repartition(8)
     few = reg.groupBy("city", "level").agg(F.count(F.lit(1)).alias("n")).unionByName(
-        spark.range(3).select(F.lit(None).cast("string").alias("city"), F.lit(1).alias("level"), F.col("id").alias("n"))
+        spark.range(3).select(F.lit(None).cast("string").alias("city"), F.lit(None).cast("int").alias("level"), F.col("id").alias("n"))
     ).unionByName(spark.createDataFrame([("nowhere", 1, 5)], "city string, level int, n bigint"))
-    left, right = (hot, few) if hot_side == "left" else (few, hot)
-    expected = bag(left_merge(left, right, on=["city", "level"]))
+    return (hot, few) if hot_side == "left" else (few, hot)
+
+
+def _join_tasks(plan):
+    """Rows that each task of the last shuffle join handed on, and whether AQE split it."""
+    return [ln for ln in plan.splitlines() if "SortMergeJoin" in ln and "LeftOuter" in ln]
+
+
+@pytest.mark.parametrize("hot_side", ["left", "right", "both"])
+def test_a_null_heavy_key_is_split_on_either_side(spark, hot_side):
+    """Over the broadcast cap the NULL-safe merge is one left sort-merge join.
+    A third of the left rows on one NULL key: AQE splits that partition
+    (thresholds lowered so that it does at test size). A third of the right
+    rows: the key is dealt into slices. The rows are the plain left join's,
+    and the left side is read once."""
+    from pyspark.sql import functions as F
+
+    from conftest import bag, settings_of
+    from gridwright.operators.merge import left_merge
+    from gridwright.operators.sizing import materialize
+
+    left, right = _null_heavy(spark, "left" if hot_side == "both" else hot_side)
+    if hot_side == "both":  # thousands of rows of the same NULL key on the right as well
+        right = right.unionByName(spark.range(6000).select(
+            F.lit(None).cast("string").alias("city"), F.lit(None).cast("int").alias("level"), (F.col("id") + 9).alias("n")))
+        left = left.limit(900).repartition(8)
+    left = materialize(left, "merge-left")
+    expected = bag(left_merge(left, right, on=["city", "level"]).groupBy("city", "level").agg(
+        F.count(F.lit(1)), F.sum(F.xxhash64(*[c for c in (*left.columns, *right.columns) if c not in ("city", "level")]) % 10**9)))
     with settings_of(spark, SPLITTING):
         out = left_merge(left, right, on=["city", "level"], split_skew=True)
-        assert bag(out) == expected
+        assert bag(out.groupBy("city", "level").agg(
+            F.count(F.lit(1)), F.sum(F.xxhash64(*[c for c in out.columns if c not in ("city", "level")]) % 10**9))) == expected
+        sizes = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
         out._jdf.queryExecution().toRdd().count()
-        final = out._jdf.queryExecution().executedPlan().toString()
-    inner = [ln for ln in final.splitlines() if "SortMergeJoin" in ln and "Inner" in ln and "isnull(city" in ln]
-    assert inner and all("skew=true" in ln for ln in inner[:1]), final
-    assert "LeftOuter" not in final
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    joins = _join_tasks(final)
+    assert len(joins) == 1 and "Inner" not in joins[0]
+    assert final.count("merge-left") == 1 and "Union" not in final  # one scan of the left side
+    if hot_side == "left":
+        assert "skew=true" in joins[0], final
+    if hot_side != "left":
+        assert "__l_slice" in joins[0], final
+    total = sum(sizes)
+    assert total > 3000 and max(sizes) < total / 3, sorted(sizes)[-5:]  # four fifths of the rows made are of the hot key
+
+
+def test_hot_keys_are_exact_and_null_safe(spark):
+    from pyspark.sql import functions as F
+
+    from gridwright.operators.skew import Written, hot_keys, write_with_sketch
+
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 1500).alias("k"), (F.col("id") % 3).cast("string").alias("s"))
+    found = write_with_sketch(rows, ["k", "s"], "hot")
+    assert found.rows == 9000 and found.bytes > 9000 * 16
+    hot = hot_keys(found, ["k", "s"], slice_rows=100)
+    assert [tuple(r) for r in hot.collect()] == [(None, "0", 30)]
+    assert hot_keys(found, ["k", "s"], null_safe=False, slice_rows=100) is None
+    assert hot_keys(found, ["k", "s"], slice_rows=3000) is None
+    # a hash that the sketch names without cause is no hot key
+    wrong = Written(found.frame, found.rows, found.bytes, ((12345, 9000), *found.top))
+    assert hot_keys(wrong, ["k", "s"], slice_rows=100).count() == 1
+    empty = write_with_sketch(rows.limit(0), ["k"], "hot")
+    assert empty.top == () and hot_keys(empty, ["k"]) is None
 
 
 def test_city_names_and_territories_meet_the_pay_rows_once(spark, src):
