@@ -19,6 +19,12 @@ def _is_missing(df: DataFrame, c: str) -> Column:
     return F.col(c).isNull()
 
 
+def null_counts(df: DataFrame) -> dict[str, Column]:
+    """For each column the aggregate that counts its NULLs, for use in another
+    job over the same rows."""
+    return {c: F.count_if(_is_missing(df, c)) for c in df.columns}
+
+
 def null_census(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row: for each column, how many rows hold NULL (A5; A6 with one
     column). Columns keep their names; counts are bigint."""

@@ -123,6 +123,14 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0])
 
 
+def fits_one_task(df: DataFrame) -> bool:
+    """The planner's estimate of the whole relation is under the session's
+    advisory partition size. Such a relation needs no measuring: whatever its
+    keys are, one task holds it. (The estimate bounds joins from above.)"""
+    advisory = parse_bytes(df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= advisory
+
+
 def broadcast_if_small(
     df: DataFrame, cap_bytes: int | None = None, size_bytes: int | None = None
 ) -> tuple[DataFrame, bool]:

@@ -53,11 +53,12 @@ from pyspark.sql import types as T
 
 from gridwright.config import JobConfig
 from gridwright.functions import run_date
+from gridwright.operators.bloom import prefiltered
 from gridwright.operators.filters import exclude_containing, exclude_equal, exclude_values
-from gridwright.operators.latest import last_day_in_month, latest_per_group
+from gridwright.operators.latest import MEASURED, last_day_in_month, latest_per_group
 from gridwright.operators.merge import fill_from, left_merge
 from gridwright.operators.reduce import count_by, distinct_keys, expand_levels
-from gridwright.operators.sizing import small_side
+from gridwright.operators.sizing import broadcast_if_small, fits_one_task, materialize_measured, small_side
 from gridwright.operators.skew import Written, sketched_side
 from gridwright.session import run_concurrently
 
@@ -162,7 +163,7 @@ def salary_in_force(
     """G1: territory, city, city_code, position, level, salary, run_date,
     leader_level; one row per latest pay row and territory of its city."""
     positions = allowed_positions(sources["positions"], cfg).select("position_ref", "position", "leader_level")
-    if strategy == "auto":
+    if strategy in MEASURED:
         latest, places = run_concurrently(
             lambda: latest_pay(sources, strategy),
             lambda: small_side(city_territories(sources, cfg), "city-territories"),
@@ -196,12 +197,21 @@ def headcount(sources: dict[str, DataFrame], cfg: JobConfig) -> DataFrame:
     return count_by(staff, visible, STAFF_HIDDEN, name="headcount", output=STAFF_COLUMNS)
 
 
-def approved_rows(sources: dict[str, DataFrame], strategy: str = "auto") -> DataFrame:
+def approved_rows(
+    sources: dict[str, DataFrame], strategy: str = "auto", broadcast_bytes: int | None = None
+) -> DataFrame:
     """Distinct (firm_ref, position_ref, doc_ts) of lines in documents dated
-    on the last document day of their firm-month (W3 + J8)."""
+    on the last document day of their firm-month (W3 + J8). Where it is
+    measured, the documents are written first: they are broadcast under the
+    cap, and beyond it a Bloom filter of their keys thins the lines."""
     approvals = sources["approvals"].select("doc_ref", "firm_ref", "doc_ts")
     final_docs = last_day_in_month(approvals, ["firm_ref"], "doc_ts", strategy=strategy)
     lines = sources["approval_lines"].select("doc_ref", "position_ref")
+    if strategy == "maxima" or (strategy == "auto" and not fits_one_task(final_docs)):
+        final_docs, rows, size = materialize_measured(final_docs, "final-docs")
+        final_docs, small = broadcast_if_small(final_docs, broadcast_bytes, size)
+        if not small:  # most lines belong to other documents: they go before the shuffle
+            lines = prefiltered(lines, ["doc_ref"], final_docs, ["doc_ref"], rows, broadcast_bytes)
     return final_docs.join(lines, "doc_ref").select("firm_ref", "position_ref", "doc_ts").distinct()
 
 
@@ -271,16 +281,18 @@ def merge_pay(salary: DataFrame, main: DataFrame, split_skew: bool | Written = F
     )
 
 
-def measured_merges(salary, grid: DataFrame, staff: DataFrame) -> DataFrame:
+def measured_merges(salary, grid, staff: DataFrame) -> DataFrame:
     """J12, E4, J13, P4, E5 with both right sides written and measured. Under
     the cap a right side is broadcast and nothing is shuffled for its merge;
     over it, its hot keys are dealt into slices and AQE splits those of the
-    left side (``left_merge``); either side is read once. ``salary`` is a
-    callable, run beside the measuring."""
+    left side (``left_merge``); either side is read once. ``salary`` and
+    ``grid`` are callables, whose small jobs run beside each other and beside
+    the measuring."""
 
     def staffed() -> tuple[DataFrame, Written | None]:
-        counts, sketch = sketched_side(staff, ["branch", "position", "pay_level"], "staff-counts")
-        return sketched_side(staffed_grid(grid, counts, sketch or False), ["city", "position", "level"], "staffed-grid")
+        approved, (counts, sketch) = run_concurrently(
+            grid, lambda: sketched_side(staff, ["branch", "position", "pay_level"], "staff-counts"))
+        return sketched_side(staffed_grid(approved, counts, sketch or False), ["city", "position", "level"], "staffed-grid")
 
     pay, (main, sketch) = run_concurrently(salary, staffed)
     return merge_pay(pay, main, sketch or False)
@@ -288,10 +300,10 @@ def measured_merges(salary, grid: DataFrame, staff: DataFrame) -> DataFrame:
 
 def assemble(salary: DataFrame, staff: DataFrame, grid: DataFrame, strategy: str = "auto") -> DataFrame:
     """The staffed grid (J12, E4) merged into the pay rows.
-    Only ``auto`` measures; the other strategies merge by joins that split a
+    Only ``auto`` and ``maxima`` measure; the other strategies merge by joins that split a
     hot key on either side."""
-    if strategy == "auto":
-        return measured_merges(lambda: salary, grid, staff)
+    if strategy in MEASURED:
+        return measured_merges(lambda: salary, lambda: grid, staff)
     return merge_pay(salary, staffed_grid(grid, staff, split_skew=True), split_skew=True)
 
 
@@ -309,7 +321,9 @@ def build_pay_grid(
     relations that are broadcast when they fit under the cap. Independent ones are built
     concurrently."""
     validate_sources(sources)
-    grid, staff = position_grid(sources, cfg, strategy), headcount(sources, cfg)
-    if strategy != "auto":
-        return assemble(salary_in_force(sources, cfg, as_of, strategy), staff, grid, strategy)
-    return measured_merges(lambda: salary_in_force(sources, cfg, as_of, strategy), grid, staff)
+    staff = headcount(sources, cfg)
+    if strategy not in MEASURED:
+        salary = salary_in_force(sources, cfg, as_of, strategy)
+        return assemble(salary, staff, position_grid(sources, cfg, strategy), strategy)
+    return measured_merges(
+        lambda: salary_in_force(sources, cfg, as_of, strategy), lambda: position_grid(sources, cfg, strategy), staff)

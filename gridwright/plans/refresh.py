@@ -73,8 +73,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--served-names", action="store_true", help="publish with the served column names")
     ap.add_argument("--report", action="store_true", help="print the quality figures of the published data")
     ap.add_argument(
-        "--strategy", default="auto", choices=["auto", "agg_join", "window"],
-        help="latest-per-group strategy (auto: measured broadcasts, see README)",
+        "--strategy", default="auto", choices=["auto", "maxima", "agg_join", "window"],
+        help="latest-per-group strategy (auto: by a sketch of the keys, see README)",
     )
     ap.add_argument("--root", required=True, help="shared folder for published versions")
     ap.add_argument("--name", default="pay_grid")
@@ -111,15 +111,15 @@ def main(argv: list[str] | None = None) -> None:
     )
     out = {"published": path, "name": args.name, "sec": round(time.perf_counter() - t0, 3)}
     if args.report:
-        from gridwright.plans.quality_report import report_summary
+        from gridwright.plans.quality_report import published_report, report_summary, summary_of
         from gridwright.sinks.publish import read_published
 
-        served = read_published(spark, args.name)
         if args.served_names:
             from gridwright.sources.erp import SERVED_COLUMNS
 
-            served = served.toDF(*SERVED_COLUMNS)
-        out["report"] = report_summary(served)
+            out["report"] = report_summary(read_published(spark, args.name).toDF(*SERVED_COLUMNS))
+        else:
+            out["report"] = summary_of(published_report(spark, args.root, args.name))
     print(json.dumps(out, ensure_ascii=False, default=str))
 
 

@@ -48,6 +48,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridwright.operators.merge import check_key_types
+from gridwright.operators.quality import null_counts
 from gridwright.sinks.commits import Commit, CommitConflict, CommitLog
 
 log = logging.getLogger(__name__)
@@ -162,16 +163,18 @@ def publish(
     if table and mode == "truncate_insert":
         df = _as_defined(df, name, table)
     storage_format = table["format"] if table and mode == "truncate_insert" and table["switchable"] else "parquet"
-    # Rows written, counted during the write itself (no extra job).
+    # Rows written and NULLs of each column, counted during the write itself (no extra job).
     written = Observation(f"publish-{name}-{uuid.uuid4().hex[:8]}")
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    nulls = [c.alias(f"nulls_{k}") for k, c in enumerate(null_counts(df).values())]
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"), *nulls)
     folder = _version_folder()
     path = f"{log_of.base}/{folder}"
     try:
         _writer(counted, layout).format(storage_format).mode("errorifexists").save(path)
         indexes = _write_indexes(spark, df.schema, path, layout) if storage_format == "parquet" else []
         detail = {"mode": mode, "format": storage_format, "indexes": indexes,
-                  "sort_by": list(layout.sort_by) if layout else []}
+                  "sort_by": list(layout.sort_by) if layout else [],
+                  "nulls": {c: written.get[f"nulls_{k}"] for k, c in enumerate(df.columns)}}
         before = log_of.latest()
         commit = log_of.append(base, folder, written.get["rows"], df.schema, detail)
     except BaseException:

@@ -30,7 +30,7 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("strategy", ["auto", "agg_join", "window"])
+@pytest.mark.parametrize("strategy", ["auto", "maxima", "agg_join", "window"])
 def test_latest_keeps_ties_and_null_key_groups(spark, strategy):
     df = spark.createDataFrame(ROWS, SCHEMA)
     out = latest_per_group(df, ["k1", "k2"], "ts", strategy=strategy)
@@ -38,7 +38,7 @@ def test_latest_keeps_ties_and_null_key_groups(spark, strategy):
     assert Counter(r.v for r in out.collect()) == Counter({11: 1, 12: 1, 31: 1, 40: 1, 50: 2})
 
 
-@pytest.mark.parametrize("strategy", ["auto", "agg_join", "window"])
+@pytest.mark.parametrize("strategy", ["auto", "maxima", "agg_join", "window"])
 def test_latest_without_null_safe_keys_drops_null_keys(spark, strategy):
     df = spark.createDataFrame(ROWS, SCHEMA)
     out = latest_per_group(df, ["k1", "k2"], "ts", null_safe_keys=False, strategy=strategy)
@@ -51,7 +51,7 @@ def test_latest_rejects_unknown_strategy(spark):
         latest_per_group(df, ["k1"], "ts", strategy="rank")
 
 
-@pytest.mark.parametrize("strategy", ["auto", "agg_join", "window"])
+@pytest.mark.parametrize("strategy", ["auto", "maxima", "agg_join", "window"])
 def test_with_group_max(spark, strategy):
     df = spark.createDataFrame(ROWS, SCHEMA)
     out = with_group_max(df, ["k1", "k2"], "ts", "mx", strategy=strategy)
@@ -75,7 +75,7 @@ DOCS = [
 ]
 
 
-@pytest.mark.parametrize("strategy", ["auto", "agg_join", "window"])
+@pytest.mark.parametrize("strategy", ["auto", "maxima", "agg_join", "window"])
 def test_last_day_in_month(spark, strategy):
     df = spark.createDataFrame(DOCS, "doc string, firm string, ts timestamp")
     out = last_day_in_month(df, ["firm"], "ts", strategy=strategy)
@@ -97,7 +97,7 @@ def test_strategies_agree(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
     a = latest_per_group(df, ["k1", "k2"], "ts", strategy="agg_join")
     w = latest_per_group(df, ["k1", "k2"], "ts", strategy="window")
-    b = latest_per_group(df, ["k1", "k2"], "ts", strategy="auto", broadcast_bytes=0)
+    b = latest_per_group(df, ["k1", "k2"], "ts", strategy="maxima", broadcast_bytes=0)
     assert bag(a) == bag(w) == bag(b)
     # and both equal a driver-side brute force over the literal rows
     groups = {}
@@ -109,9 +109,9 @@ def test_strategies_agree(spark, rows):
     assert bag(a) == expected
 
 
-def test_auto_broadcasts_only_under_the_cap(spark):
+def test_maxima_are_broadcast_only_under_the_cap(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    small = latest_per_group(df, ["k1", "k2"], "ts", strategy="auto", broadcast_bytes=1 << 20)
+    small = latest_per_group(df, ["k1", "k2"], "ts", strategy="maxima", broadcast_bytes=1 << 20)
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
     # Over the cap no hint is added; with the planner's own size rule off
@@ -119,7 +119,7 @@ def test_auto_broadcasts_only_under_the_cap(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        capped = latest_per_group(df, ["k1", "k2"], "ts", strategy="auto", broadcast_bytes=1)
+        capped = latest_per_group(df, ["k1", "k2"], "ts", strategy="maxima", broadcast_bytes=1)
         plan = capped._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     finally:

@@ -72,7 +72,7 @@ EXPECTED_PAY_GRID = Counter(
 )
 
 
-@pytest.mark.parametrize("strategy", ["auto", "agg_join", "window"])
+@pytest.mark.parametrize("strategy", ["auto", "maxima", "agg_join", "window"])
 def test_salary_in_force(spark, src, strategy):
     out = pg.salary_in_force(src, CFG, as_of=AS_OF, strategy=strategy)
     assert out.columns == pg.SALARY_COLUMNS
@@ -92,7 +92,7 @@ def test_headcount(src):
     assert bag(out) == EXPECTED_STAFF
 
 
-@pytest.mark.parametrize("strategy", ["auto", "agg_join", "window"])
+@pytest.mark.parametrize("strategy", ["auto", "maxima", "agg_join", "window"])
 def test_position_base(src, strategy):
     assert bag(pg.position_base(src, CFG, strategy)) == EXPECTED_BASE
 
@@ -121,7 +121,7 @@ def test_staffed_grid_fills(src):
     assert not any(k[4] == "Unknown" for k in got)
 
 
-@pytest.mark.parametrize("strategy", ["auto", "agg_join", "window"])
+@pytest.mark.parametrize("strategy", ["auto", "maxima", "agg_join", "window"])
 def test_pay_grid(src, strategy):
     out = pg.build_pay_grid(src, CFG, as_of=AS_OF, strategy=strategy)
     assert out.columns == pg.PAY_GRID_COLUMNS

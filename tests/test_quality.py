@@ -80,3 +80,37 @@ def test_report_summary(grid):
     assert s["null_census"]["branch"] == 2
     assert s["repeated_tuples"] == 1 and s["rows_in_repeated_tuples"] == 2
     assert s["cities_without_pay"] == 1 and s["cities_without_branch"] == 2
+
+
+def test_the_published_report_equals_the_report_of_the_rows(spark):
+    """The NULL census comes from the publish write; one scan gives the rest."""
+    import importlib
+
+    from conftest import bag
+    from gridwright.session import scratch_path
+    from gridwright.sinks.publish import publish
+
+    Q = importlib.import_module("gridwright.plans.quality_report")  # the package exports a function of that name
+    schema = ("territory string, city string, branch string, position string, level int, salary double, "
+              "leader_level string, headcount bigint")
+    rows = spark.createDataFrame([
+        ("t", "a", "b", "p", 1, 1.0, "l", 2), ("u", "a", "b", "p", 1, 1.0, "l", 2), ("t", "a", None, "p", 1, 1.0, "l", 0),
+        ("t", None, None, "p", 1, None, None, 0), (None, "c", "d", "p", 2, float("nan"), "l", 0)], schema)
+    root = scratch_path(spark, "report")
+    for name, df in (("rep_full", rows), ("rep_empty", rows.limit(0))):
+        publish(df, name, root, layout=None)
+        want, got = Q.quality_report(df), Q.published_report(spark, root, name)
+        for figure in want:
+            assert got[figure].columns == want[figure].columns, figure
+            assert bag(got[figure]) == bag(want[figure]), figure
+        assert Q.summary_of(got) == Q.report_summary(df)
+    figures = {(r.figure, r.item): r.value for r in Q.profile_rows(Q.published_report(spark, root, "rep_full")).collect()}
+    assert figures[("nulls", "salary")] == 2 and figures[("nulls", "headcount")] == 0
+    assert figures[("repeated_tuples", None)] == 1 and figures[("rows_in_repeated_tuples", None)] == 2
+    assert figures[("cities_without_branch", "a")] == 1 and figures[("cities_without_pay", None)] == 1
+    # every frame of the report reads the folded rows, none the published files
+    commits = importlib.import_module("gridwright.sinks.commits")
+    path = commits.CommitLog(spark, root, "rep_full").latest().path.split("/")[-1]
+    for df in Q.published_report(spark, root, "rep_full").values():
+        assert path not in df._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(path in f for f in df.inputFiles())
