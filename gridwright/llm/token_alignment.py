@@ -41,7 +41,7 @@ from gridwright.llm.perfect_hash import PerfectHash
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 # Stretches a worker remembers before it sheds the rare ones, and documents at a time.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 BATCH_ROWS = 64
 # Dense vectors added up by one task of the tree.
 FAN_IN = 16
@@ -177,33 +177,33 @@ class Aligner:
         and for one whose tokens of A or B do not spell its bytes. The caller
         lets the aligner ``shed`` between calls when it is ``full``."""
         known = self.codes
-        cut: list[list[str] | None] = []
-        found: list[list | None] = []
+        found: list[tuple[list, list[str], list[int]] | None] = []
         missing: dict[str, None] = {}
         for text in texts:
             if not text:
                 found.append(None)
-                cut.append(None)
                 continue
             spaced = " " + text
             units = WORDS.findall(spaced)
             if "".join(units) != spaced:
                 units = CUTS.split(spaced)
             codes = list(map(known.get, units))
-            complete = None not in codes
-            if not complete:
-                missing.update(dict.fromkeys(u for u, c in zip(units, codes, strict=True) if c is None))
-            cut.append(None if complete else units)
-            found.append(codes)
+            gaps = [k for k, c in enumerate(codes) if c is None] if None in codes else []
+            for k in gaps:
+                missing[units[k]] = None
+            found.append((codes, units, gaps))
         if missing:
             self._learn(list(missing))
         out: list[np.ndarray | None] = []
         used: list[np.ndarray] = []
-        for codes, units in zip(found, cut, strict=True):
-            if codes is None:
+        for each in found:
+            if each is None:
                 out.append(None)
                 continue
-            at = np.array(list(map(known.__getitem__, units)) if units else codes, np.int64)
+            codes, units, gaps = each
+            for k in gaps:
+                codes[k] = known[units[k]]
+            at = np.array(codes, np.int64)
             used.append(at)
             out.append(at if self.sound[at].all() else None)
         if used:
