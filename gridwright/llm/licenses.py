@@ -7,11 +7,12 @@
 2. A piece matches the template with the highest cosine at or above
    ``THRESHOLD``; a file's own license is that of its best piece. Pieces that
    cannot reach the bound are left out before, by a bound that loses none.
+   Licenses of one family differ in a few terms (version, ``lesser``, ``nd``):
+   a piece with others than its template's, or without one that is needed,
+   tells of a license without a template, which is ``unknown``.
 3. A file is the license file of its directory if it has a license and is
-   named as one (LICENSE, COPYING, NOTICE), or matches the text of a license
-   as a whole, however long, or is a short notice (``NOTICE_WORDS`` words at
-   most). A file without a license of its own
-   inherits from the nearest ancestor directory that has one, by joining its
+   named as one (LICENSE, COPYING, NOTICE), or matches a template as a whole,
+   however long. A file without a license of its own inherits from the nearest ancestor directory that has one, by joining its
    ancestor paths with the license files' directories.
 
 The templates are few and fixed; everything else is counted, joined and
@@ -35,7 +36,8 @@ from gridwright.llm.common import in_slices, small_or_shuffled, written
 from gridwright.llm.license_texts import FULL_TEXTS
 
 THRESHOLD = 0.75
-NOTICE_WORDS = 64
+# What a file has that resembles a template but tells of another license.
+UNKNOWN = "unknown"
 
 # SPDX ids and the customary short notices of the licenses.
 TEMPLATES = {
@@ -54,9 +56,25 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License",
     ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License",
+    ],
+    "LGPL-2.1": ["Licensed under the GNU Lesser General Public License, version 2.1."],
     "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3."],
     "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License."],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+    ],
     "BSD-3-Clause": [
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
@@ -65,6 +83,9 @@ TEMPLATES = {
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "Licensed under the Creative Commons Attribution 4.0 License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0."],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0."],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0."],
     "CC0-1.0": ["Released under CC0 1.0 Universal public domain dedication."],
 }
 # Full notices: the header that a license asks for, or (MIT, BSD) its whole text.
@@ -107,19 +128,38 @@ NOTICES = {
     ],
     **{name: [
         f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}"
-        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        f"General Public License as published by the Free Software Foundation, either version {version} of the License, or (at "
         "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
         "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
         f"the GNU {kind}General Public License for more details. You should have received a copy of the GNU {kind}"
         "General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."]
-       for name, kind in (("GPL-3.0", ""), ("LGPL-3.0", "Lesser "), ("AGPL-3.0", "Affero "))},
+       for name, kind, version in (
+           ("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"),
+           ("AGPL-3.0", "Affero ", "3"))},
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
 }
-# Notices that are the whole license, so a file that holds one is a license file.
-WHOLE_NOTICES = ("MIT", "BSD-3-Clause")
+# Terms that tell the licenses of a family apart, by the start of their ids, and
+# whether a piece must have all those of its template (GNU and Creative Commons
+# licenses have several siblings here) or may leave them out.
+DIGITS = ("1", "2", "3", "4", "5", "6", "7", "8", "9")
+SIBLINGS = {
+    ("GPL", "LGPL", "AGPL"): (("lesser", "library", "affero", *DIGITS), True),
+    ("CC-",): (("nc", "nd", "sa", "noncommercial", "noderivatives", "noderivs", "sharealike", *DIGITS), True),
+    ("Apache", "MPL", "EPL"): (DIGITS, False),
+}
+# BSD licenses are told apart by their number of clauses where it is given.
+CLAUSES = DIGITS
+BEYOND = 3
+# The full texts say their version in the title.
+TITLES = {
+    "Apache-2.0": "apache license version 2 0",
+    "GPL-3.0": "gnu general public license version 3",
+    "LGPL-3.0": "gnu lesser general public license version 3",
+    "MPL-2.0": "mozilla public license version 2 0",
+}
 TERM = r"([a-z0-9]+)"
 # Names of license files, in lower case.
 LICENSE_NAME = r"^(un)?(licen[sc]e|copying|notice)([-_][a-z0-9.+_-]*)?(\.(txt|md|rst|html|lesser|mit|apache|bsd))?$"
@@ -133,20 +173,28 @@ class Template(NamedTuple):
     counts: dict[str, int]
     length: int  # in terms
     slides: bool  # compared with windows and lines, and not with whole files only
-    whole: bool  # the text of a license, not a mention
+    family: frozenset[str]  # terms of which a piece must have no others than the template
+    exact: bool  # and all of the template's
+    title: str  # words that a whole file must have
 
 
 def templates() -> list[Template]:
     """The short notices, the full notices, and the full license texts."""
-    listed = [(name, t, True, False) for name, texts in TEMPLATES.items() for t in texts]
-    listed += [(name, t, True, name in WHOLE_NOTICES) for name, texts in NOTICES.items() for t in texts]
-    listed += [(name, t, False, True) for name, t in FULL_TEXTS.items()]
-    found = [(name, re.findall(TERM, t.lower()), slides, whole) for name, t, slides, whole in listed]
-    return [Template(k, name, Counter(t), len(t), slides, whole) for k, (name, t, slides, whole) in enumerate(found)]
+    listed = [(name, t, True) for texts in (TEMPLATES, NOTICES) for name, some in texts.items() for t in some]
+    listed += [(name, t, False) for name, t in FULL_TEXTS.items()]
+    out = []
+    for k, (name, text, slides) in enumerate(listed):
+        terms = re.findall(TERM, text.lower())
+        family, exact = next((f for starts, f in SIBLINGS.items() if name.startswith(starts)), ((), False)) if slides else ((), False)
+        if slides and "clause" in terms:
+            family, exact = CLAUSES, True
+        title = "" if slides else TITLES.get(name, "")
+        out.append(Template(k, name, Counter(terms), len(terms), slides, frozenset(family), exact, title))
+    return out
 
 
 def vocabulary() -> list[str]:
-    return sorted({t for one in templates() for t in one.counts})
+    return sorted({t for one in templates() for t in (*one.counts, *one.family)})
 
 
 def inverse_frequencies(files: DataFrame) -> dict[str, float]:
@@ -189,10 +237,13 @@ class Finder:
         for number, term, weight in template_vectors(idf):
             self.weights[term, number] = weight
         self.least = threshold - 1e-9
+        self.family = [np.array(sorted(self.place[t] for t in one.family), np.int64) for one in self.listed]
+        self.telling = [{self.place[t] for t in one.family if t in one.counts} for one in self.listed]
 
     def pieces(self, text: str) -> list[dict]:
-        """number, line, whole, terms, tfs (of template words) and other (the sum
-        of squared counts of all other words). Equal pieces are given once, with their first line."""
+        """number, line, whole (the piece is the file), told (it has the terms
+        that tell the template's license from its siblings), terms, tfs (of
+        template words) and other (the sum of squared counts of all other words). Equal pieces are given once, with their first line."""
         low = text.lower()
         get, rest = self.place.get, len(self.place)
         known = {k for k in map(get, set(re.findall(TERM, low))) if k is not None}
@@ -213,6 +264,7 @@ class Finder:
         at = np.minimum(ids, rest)
         squares = np.concatenate([[0.0], np.cumsum(self.idf[at] ** 2)])
         out: dict[tuple, dict] = {}
+        words = None
         for number in may.tolist():
             one, weight = self.listed[number], self.weights[at, number]
             dots = np.concatenate([[0.0], np.cumsum(self.idf[at] * weight)])
@@ -227,41 +279,47 @@ class Finder:
                 terms, tfs = np.unique(ids[a:b], return_counts=True)
                 inside = terms < rest
                 other = float((tfs[~inside] ** 2).sum())
-                whole = bool(one.whole and b - a == len(ids))
-                key = (number, whole, terms[inside].tobytes(), tfs[inside].tobytes(), other)
+                whole = bool(b - a == len(ids))
+                if one.title and words is None:
+                    words = " ".join(re.findall(TERM, low))
+                if one.title:
+                    told = one.title in words
+                else:
+                    # A window may end before the version: the next words tell, too.
+                    beyond = terms if one.exact else ids[a : b + BEYOND]
+                    has = set(np.intersect1d(beyond, self.family[number]).tolist())
+                    told = has == self.telling[number] or (not one.exact and has <= self.telling[number])
+                key = (number, whole, told, terms[inside].tobytes(), tfs[inside].tobytes(), other)
                 if key not in out:
                     line = int(np.searchsorted(breaks, a, "right")) - 1
-                    out[key] = {"number": number, "line": line, "whole": whole, "terms": terms[inside].tolist(),
+                    out[key] = {"number": number, "line": line, "whole": whole, "told": told, "terms": terms[inside].tolist(),
                                 "tfs": tfs[inside].tolist(), "other": other}
         return list(out.values())
 
 
-PIECES = "array<struct<number:int,line:int,whole:boolean,terms:array<int>,tfs:array<int>,other:double>>"
+PIECES = "array<struct<number:int,line:int,whole:boolean,told:boolean,terms:array<int>,tfs:array<int>,other:double>>"
 ARROW_PIECES = pa.list_(pa.struct([
-    ("number", pa.int32()), ("line", pa.int32()), ("whole", pa.bool_()), ("terms", pa.list_(pa.int32())),
+    ("number", pa.int32()), ("line", pa.int32()), ("whole", pa.bool_()), ("told", pa.bool_()), ("terms", pa.list_(pa.int32())),
     ("tfs", pa.list_(pa.int32())), ("other", pa.float64())]))
 
 
 def file_pieces(files: DataFrame, idf: dict[str, float], threshold: float) -> DataFrame:
-    """Written once, a row per row of ``files``: file (a row number), path,
-    n_words and its pieces."""
+    """Written once, a row per row of ``files``: file (a row number), path
+    and its pieces."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(idf, threshold)
         for batch in in_slices(batches, BATCH_ROWS):
-            found = [finder.pieces(t) for t in batch.column(2).to_pylist()]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, ARROW_PIECES)],
-                                  names=["path", "n_words", "pieces"])
+            found = [finder.pieces(t) for t in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(found, ARROW_PIECES)], names=["path", "pieces"])
 
-    rows = files.select("path", F.size(F.split(F.trim("text"), r"\s+")).alias("n_words"), "text").mapInArrow(
-        find, f"path string, n_words int, pieces {PIECES}")
+    rows = files.select("path", "text").mapInArrow(find, f"path string, pieces {PIECES}")
     return written(rows.withColumn("file", F.monotonically_increasing_id()), "license-pieces")
 
 
 def file_matches(found: DataFrame, idf: dict[str, float], threshold: float) -> DataFrame:
-    """(file, path, n_words, license, line, cosine, whole): the best template
-    of each row of ``file_pieces`` that has one; whole says that the file is
-    the text of a license.
+    """(file, path, license, line, cosine, whole): the best template of each
+    row of ``file_pieces`` that has one; whole says that a template matches the file as a whole.
 
     The cosine of a piece counts all its words: words outside the templates
     weigh as words that no file has."""
@@ -271,7 +329,7 @@ def file_matches(found: DataFrame, idf: dict[str, float], threshold: float) -> D
     vectors = spark.createDataFrame(template_vectors(idf), "number int, term int, weight double")
     names = spark.createDataFrame([(t.number, t.license) for t in templates()], "number int, license string")
     pieces = found.select("file", F.posexplode("pieces").alias("nth", "p")).select("file", "nth", "p.*")
-    key = ["file", "nth", "number", "line", "whole", "other"]
+    key = ["file", "nth", "number", "line", "whole", "told", "other"]
     tf = pieces.select(*key, F.explode(F.arrays_zip("terms", "tfs")).alias("t")).select(*key, "t.terms", "t.tfs")
     tf = tf.withColumnsRenamed({"terms": "term", "tfs": "tf"})
     entries = tf.join(F.broadcast(weights), "term").join(F.broadcast(vectors), ["number", "term"], "left").select(
@@ -279,12 +337,17 @@ def file_matches(found: DataFrame, idf: dict[str, float], threshold: float) -> D
     sums = entries.groupBy(*key).agg(F.sum(F.col("v") * F.col("weight")).alias("dot"), F.sum(F.col("v") * F.col("v")).alias("sq"))
     cosine = F.round(F.col("dot") / F.sqrt(F.col("sq") + F.col("other") * F.lit(rare * rare)), 9)
     best = sums.withColumn("cosine", cosine).where(F.col("cosine") >= threshold).join(F.broadcast(names), "number")
-    # Highest cosine, then the earlier line, then the name.
-    order = F.struct(-F.col("cosine"), "line", "license")
-    best = best.groupBy("file").agg(
+    best = best.withColumn("license", F.when(F.col("told"), F.col("license")).otherwise(F.lit(UNKNOWN)))
+    return best_of(best, "file").join(found.select("file", "path"), "file")
+
+
+def best_of(matches: DataFrame, key: str) -> DataFrame:
+    """One row per key: the highest cosine, then a known license before an
+    unknown one, the earlier line, the name."""
+    order = F.struct(-F.col("cosine"), F.col("license") == UNKNOWN, "line", "license")
+    return matches.groupBy(key).agg(
         F.min_by("license", order).alias("license"), F.min_by("line", order).alias("line"),
-        F.max("cosine").alias("cosine"), F.max("whole").alias("whole"))
-    return best.join(found.select("file", "path", "n_words"), "file")
+        F.min_by("cosine", order).alias("cosine"), F.max("whole").alias("whole"))
 
 
 def ancestors(path: Column) -> Column:
@@ -295,11 +358,13 @@ def ancestors(path: Column) -> Column:
         lambda k: F.array_join(F.slice(parts, F.lit(1), F.size(parts) - k), "/"))
 
 
-def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, notice_words: int = NOTICE_WORDS) -> DataFrame:
+def scan_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """License of every file.
 
-    ``files`` has path and text. Returns, for each of its rows, path, license
-    (null if none applies), origin (``own``, ``inherited`` or ``none``),
+    ``files`` has path and text; other columns are ignored whatever their
+    names, and texts of any length are scanned whole. Returns, for each of its
+    rows, path, license (null if none applies, ``unknown`` for a relative of a
+    template that is none of them), origin (``own``, ``inherited`` or ``none``),
     inherited_from (the directory whose license file gave it), cosine and line
     (of an own license). A null or empty text has no own license and inherits.
     A row with a null path is a file of its own at an unknown place: it has the
@@ -312,17 +377,14 @@ def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, notice_words:
     idf = inverse_frequencies(files)
     found = file_pieces(files, idf, threshold)
     matches = written(file_matches(found, idf, threshold), "license-matches")
-    order = F.struct(-F.col("cosine"), "line", "license")
-    own = written(matches.where("path is not null").groupBy("path").agg(
-        F.min_by("license", order).alias("license"), F.min_by("line", order).alias("line"),
-        F.max("cosine").alias("cosine"), F.max("n_words").alias("n_words"), F.max("whole").alias("whole")), "license-own")
+    own = written(best_of(matches.where("path is not null"), "path"), "license-own")
     named = F.lower(F.element_at(F.split("path", "/"), -1)).rlike(LICENSE_NAME)
-    licensed = own.where((F.col("n_words") <= notice_words) | F.col("whole") | named).select(
+    licensed = own.where(F.col("whole") | named).select(
         F.get(ancestors(F.col("path")), F.lit(0)).alias("dir"), "license", "cosine", "path")
     order = F.struct(-F.col("cosine"), "path")
     directories = small_or_shuffled(
         licensed.groupBy("dir").agg(F.min_by("license", order).alias("dir_license")), "license-directories")
-    known = small_or_shuffled(own.drop("n_words", "whole"), "license-known")
+    known = small_or_shuffled(own.drop("whole"), "license-known")
     marked = written(found.where("path is not null").select("path").join(known, "path", "left"), "license-marked")
     # Ancestor directories are few and shared: inheritance is decided per directory, not per file.
     open_dirs = marked.where("license is null").select(
