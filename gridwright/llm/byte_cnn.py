@@ -14,16 +14,15 @@ at a time.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import crc_mod, hashed_sample, in_slices, kept_by_text
+from gridwright.llm.common import crc_mod, hashed_sample, in_slices, kept_by_text, small_or_shuffled
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -36,9 +35,14 @@ SAMPLE_PIECES = 3
 TILE = 256
 BATCH_ROWS = 256
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
-# Learning rows: crc32(doc_id) modulo FOLDS is not HELD_OUT.
+# Learning rows: crc32(doc_id) modulo FOLDS is not HELD_OUT. Of them, those
+# with remainder TRIAL modulo TRIALS are kept for the bound of the filter.
 FOLDS, HELD_OUT = 4, 2
+TRIALS, TRIAL = 16, 3
+TRIAL_DOCS = 4000
+# Share of rightly told trial documents that may lie below the filter's
+# reference score, and how many of them it takes.
+TRIAL_TAIL, LEAST_TRIALS = 0.001, 500
 
 
 @dataclass
@@ -66,6 +70,12 @@ class ByteNet:
         return np.maximum(top, 0) @ self.dense + self.bias
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text holds a character of Unicode category L (digits like
+    "²" are none), as ``\\p{L}`` finds it in Spark."""
+    return text is not None and any(map(str.isalpha, text))
+
+
 def windows_of(text: str, length: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text as windows (zero-padded), and each one's real bytes."""
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -156,7 +166,7 @@ def predict(net: ByteNet, texts: list[str | None]) -> tuple[list[str], np.ndarra
     """Language and its probability for each whole text."""
     owner, tiles, weights = [], [], []
     for i, text in enumerate(texts):
-        if text and LETTER.search(text):
+        if has_letter(text):
             w, n = windows_of(text)
             tiles.append(w)
             weights.append(n)
@@ -175,25 +185,47 @@ def predict(net: ByteNet, texts: list[str | None]) -> tuple[list[str], np.ndarra
     return langs, scores
 
 
-def fit(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> ByteNet | None:
+def equal_share(counts: list[int], total: int) -> float:
+    """The number of rows that each group may give so that all give ``total`` (or all they have)."""
+    left = float(total)
+    for k, n in enumerate(sorted(counts)):
+        fair = left / (len(counts) - k)
+        if n > fair:
+            return fair
+        left -= n
+    return float(max(counts, default=0))
+
+
+def learnable() -> Column:
+    return (F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
+            & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT))
+
+
+def fit(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, spare_trials: bool = False) -> ByteNet | None:
     """Train on labelled rows outside the held-out fold; None without any.
 
-    About ``sample_docs`` documents, drawn by the hash of their id; of each,
-    ``SAMPLE_PIECES`` evenly spaced pieces of a window's length.
+    About ``sample_docs`` documents at most, drawn by the hash of their id, an
+    equal number of each language (all of one that has fewer, which leaves
+    more to the others); of each, ``SAMPLE_PIECES`` evenly spaced pieces of a
+    window's length. ``spare_trials`` leaves the trial documents out.
     """
     text = F.col("text").cast("string")
     piece = F.transform(
         F.sequence(F.lit(0), F.lit(SAMPLE_PIECES - 1)),
         lambda k: F.substring(text, (1 + F.floor(F.length(text) * k / SAMPLE_PIECES)).cast("int"), F.lit(WINDOW)),
     )
-    known = documents.where(
-        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT))
-    chosen = hashed_sample(known, F.col("doc_id"), sample_docs).where(text.rlike(r"\p{L}"))
+    known = documents.where(learnable()).select("doc_id", "lang", "text")
+    if spare_trials:
+        known = known.where(crc_mod(F.col("doc_id"), TRIALS) != TRIAL)
+    spoken = small_or_shuffled(known.groupBy("lang").agg(F.count(F.lit(1)).alias("__docs")), "language-counts")
+    most = equal_share([r["__docs"] for r in spoken.collect()], sample_docs)  # a row per class of the network
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 53)).cast("double") * F.col("__docs") <= F.lit(most * float(1 << 53))
+    chosen = known.join(spoken, "lang").where(drawn & text.rlike(r"\p{L}"))
     # One row per id, however often it is repeated.
     each = chosen.groupBy("doc_id").agg(
         F.min(F.struct(F.col("lang").cast("string").alias("lang"), piece.alias("pieces"))).alias("m"))
     rows = sorted(each.select("doc_id", "m.lang", "m.pieces").collect())
-    found = [(p, r["lang"]) for r in rows for p in dict.fromkeys(r["pieces"]) if LETTER.search(p)]
+    found = [(p, r["lang"]) for r in rows for p in dict.fromkeys(r["pieces"]) if has_letter(p)]
     return train([p for p, _ in found], [v for _, v in found]) if found else None
 
 
@@ -202,9 +234,12 @@ def identify_languages(documents: DataFrame, net: ByteNet | None = None) -> Data
 
     Returns doc_id, held_out (crc32 of the id as text, modulo 4, is 2; false
     for a null id, which is not learned from either), lang_pred and score (0
-    to 1). ``und`` with score 0 for a null text, a text without a letter, and
-    for all texts when there is nothing to learn from. Only the text enters a
-    prediction. Repeated rows are predicted each; an empty table gives no rows.
+    to 1). ``und`` with score 0 for a null text, a text without a letter
+    (Unicode category L), and for all texts when there is nothing to learn
+    from. Only the text enters a prediction; of equal probabilities the first
+    language in order wins. All windows of a very long text count; it is held
+    by one task. Repeated rows are predicted each; further columns, whatever
+    their names, are not read; an empty table gives no rows.
     """
     net = net or fit(documents)
 
@@ -222,16 +257,44 @@ def identify_languages(documents: DataFrame, net: ByteNet | None = None) -> Data
     ).mapInArrow(rows, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def in_known_language(documents: DataFrame, least_score: float = 0.3, net: ByteNet | None = None) -> DataFrame:
+def least_known_score(documents: DataFrame, net: ByteNet, trial_docs: int = TRIAL_DOCS) -> float:
+    """The score below which a text counts as in none of the learned languages.
+
+    About ``trial_docs`` labelled documents that ``fit`` has spared are
+    predicted; all but ``TRIAL_TAIL`` of those told rightly lie above the
+    reference, and the bound is half-way between it and what mere chance
+    gives. With fewer than ``LEAST_TRIALS`` of them it is chance.
+    """
+    chance = 1 / len(net.classes)
+    known = documents.where(learnable() & (crc_mod(F.col("doc_id"), TRIALS) == TRIAL))
+    drawn = hashed_sample(known, F.col("doc_id"), trial_docs)
+
+    def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, BATCH_ROWS):
+            langs, scores = predict(net, batch.column(1).to_pylist())
+            told = [s for s, v, t in zip(scores, langs, batch.column(0).to_pylist(), strict=True) if v == t]
+            yield pa.record_batch([pa.array(told, pa.float64())], names=["score"])
+
+    texts = drawn.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    told = [r["score"] for r in texts.mapInArrow(right, "score double").collect()]
+    if len(told) < LEAST_TRIALS:
+        return chance
+    return (chance + float(np.quantile(told, TRIAL_TAIL))) / 2
+
+
+def in_known_language(documents: DataFrame, least_score: float | None = None, net: ByteNet | None = None) -> DataFrame:
     """The documents (all columns) whose text is in one of the learned
-    languages with at least ``least_score``; undetermined ones go."""
-    net = net or fit(documents)
+    languages with at least ``least_score`` (unset: ``least_known_score``).
+    Undetermined ones, null and empty texts among them, go; repeated rows are
+    judged alike; nothing is kept when there is nothing to learn from."""
+    net = net or fit(documents, spare_trials=True)
 
     if net is None:
         return documents.where(F.lit(False))
+    bound = least_known_score(documents, net) if least_score is None else least_score
 
     def keep(texts: list[str | None]) -> np.ndarray:
         langs, scores = predict(net, texts)
-        return (np.array(langs) != UNDETERMINED) & (scores >= least_score)
+        return (np.array(langs) != UNDETERMINED) & (scores >= bound)
 
     return kept_by_text(documents, keep, BATCH_ROWS)

@@ -70,6 +70,68 @@ def test_language_of_odd_rows(docs):
     assert kept.columns == docs.columns and not {r.doc_id for r in kept.collect()} & {ODD[k][0] for k in (0, 1, 2)}
 
 
+def test_letters_are_those_of_unicode(docs):
+    net = byte_cnn.fit(docs)
+    texts = ["²", "½ ½", "\u0301", "_9", "Ⅷ", "ª", "中", "a"]
+    rows = byte_cnn.predict(net, texts)[0]
+    assert [v == "und" for v in rows] == [True, True, True, True, True, False, False, False]
+    df = docs.sparkSession.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    by_pattern = {r.doc_id for r in df.where(df.text.rlike(r"\p{L}")).collect()}
+    assert by_pattern == {k for k, v in enumerate(rows) if v != "und"}
+
+
+def test_batched_prediction_equals_one_window_at_a_time(docs):
+    """The batched score against a plain forward pass, window by window and filter by filter."""
+    net = byte_cnn.fit(docs)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(12).collect()] + ["x" * 700 + "é", "a"]
+    langs, scores = byte_cnn.predict(net, texts)
+    for text, lang, score in zip(texts, langs, scores, strict=True):
+        data, total, seen = text.encode(), np.zeros(len(net.classes)), 0
+        for at in range(0, len(data), byte_cnn.WINDOW):
+            piece = data[at : at + byte_cnn.WINDOW]
+            window = piece + bytes(byte_cnn.WINDOW - len(piece))
+            taps = len(net.kernel) // byte_cnn.EMBEDDING
+            best = np.full(net.kernel.shape[1], -np.inf)
+            for k in range(byte_cnn.WINDOW - taps + 1):
+                patch = np.concatenate([net.embed[b] for b in window[k : k + taps]])
+                best = np.maximum(best, patch @ net.kernel)
+            total += len(piece) * (np.maximum(best + net.shift, 0) @ net.dense + net.bias)
+            seen += len(piece)
+        z = np.exp(total / seen - (total / seen).max())
+        assert net.classes[int(z.argmax())] == lang and abs(z.max() / z.sum() - score) < 1e-4
+
+
+def test_equal_shares():
+    assert byte_cnn.equal_share([5, 100, 200], 65) == 30 and byte_cnn.equal_share([5, 6], 65) == 6
+    assert byte_cnn.equal_share([], 9) == 0
+
+
+def test_a_rare_language_is_learned(spark, docs):
+    """Drawn by language: 40 documents of one language among 4000 are all used."""
+    from pyspark.sql import functions as F
+
+    rare = spark.createDataFrame([(10**6 + k, "zażółć gęślą jaźń kot pies " * (3 + k % 5), "pl", "s", 1) for k in range(40)],
+                                 "doc_id bigint, text string, lang string, source string, n_tokens int")
+    both = docs.select("doc_id", "text", "lang").unionByName(rare.select("doc_id", "text", "lang"))
+    net = byte_cnn.fit(both, sample_docs=400)
+    assert "pl" in net.classes and byte_cnn.predict(net, ["gęślą jaźń zażółć pies kot pies"])[0] == ["pl"]
+    one = byte_cnn.fit(docs.where("lang = 'en'"))
+    assert one.classes == ["en"] and byte_cnn.predict(one, ["hello"])[0] == ["en"]
+    clash = docs.withColumns({"score": F.lit(1), "lang_pred": F.lit("x"), "__docs": F.lit(0), "held_out": F.lit(1)})
+    assert byte_cnn.identify_languages(clash, net).columns == ["doc_id", "held_out", "lang_pred", "score"]
+
+
+def test_the_language_stage_keeps_what_it_knows(spark, docs):
+    more = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    net = byte_cnn.fit(more, spare_trials=True)
+    bound = byte_cnn.least_known_score(more, net)
+    assert 0.3 < bound < 0.95
+    kept = byte_cnn.in_known_language(more, net=net).count()
+    assert kept >= 0.998 * more.where(more.text.rlike(r"\p{L}")).count()
+    # Too few trials to tell a bound: chance.
+    assert byte_cnn.least_known_score(docs, net) == 1 / len(net.classes)
+
+
 def test_quality_on_held_out_documents(docs, labels):
     truth = {r.doc_id: r.quality for r in labels.collect()}
     rows = mil_quality.score_quality(docs, labels).collect()
@@ -137,6 +199,51 @@ def test_later_models_see_out_of_fold_probabilities():
     assert len(chain.weights[0]) == 3 and len(chain.weights[1]) == 4 and chain.weights[1][2] > 0
 
 
+def test_the_verdict_comes_through_the_chain(spark):
+    """`toxic` is the last link: without the earlier ones verdicts change."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    chain = toxicity_chain.fit(docs, labels)
+    assert chain.categories[-1] == "toxic" and len(chain.weights) == 3
+    texts = [r.text for r in docs.select("text").collect()]
+    whole = chain.probabilities(texts)[:, -1]
+    w = chain.weights[-1].copy()
+    assert (w[len(chain.features) : -1] != 0).all()
+    w[len(chain.features) : -1] = 0
+    cut = toxicity_chain.Chain(chain.categories, chain.features, [*chain.weights[:-1], w])
+    alone = cut.probabilities(texts)[:, -1]
+    assert ((whole >= toxicity_chain.ACCEPT) != (alone >= toxicity_chain.ACCEPT)).any()
+
+
+def test_chain_equals_a_plain_forward_pass(docs, labels):
+    chain = toxicity_chain.fit(docs, labels)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(200).collect()] + [None, "", "vile " * 5]
+    got = chain.probabilities(texts)
+    n = len(chain.features)
+    for text, row in zip(texts, got, strict=True):
+        words = set(toxicity_chain.WORD.findall((text or "").lower()))
+        present = {f for w in words for f in toxicity_chain.features_of(w)} & chain.features.keys()
+        before = []
+        for w in chain.weights:
+            z = sum(w[chain.features[f]] for f in present) + sum(a * b for a, b in zip(w[n:-1], before, strict=True)) + w[-1]
+            before.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        assert np.allclose(before, row)
+
+
+def test_each_link_learns_from_its_own_labels(spark, docs, labels):
+    """A document without one label still teaches what the other decides."""
+    rows = [(1, 1, None), (2, 0, None), (3, None, 1), (4, None, 0), (5, None, None), (6, 1, 1), (6, None, 0), (None, 1, 1)]
+    odd = spark.createDataFrame(rows, "doc_id bigint, toxic int, quality int")
+    texts = spark.createDataFrame([(k, f"text {k}", 1) for k in range(1, 8)], "doc_id bigint, text string, fold int")
+    found = {r.text: (r.toxic_prose, r.toxic_junk, r.toxic)
+             for r in toxicity_chain.training_sample(texts, odd, 100).collect()}
+    assert found == {"text 1": (None, None, 1), "text 2": (0, 0, 0), "text 3": (None, 0, None),
+                     "text 4": (0, None, None), "text 6": (1, 0, 1)}
+    no_quality = labels.withColumn("quality", labels.quality.cast("int") * None)
+    rows = toxicity_chain.score_toxicity(docs, no_quality.unionByName(no_quality)).collect()
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    assert np.mean([r.is_toxic for r in rows if truth.get(r.doc_id) == 1]) > 0.7
+
+
 def test_toxicity_of_odd_rows(docs, labels):
     rows = toxicity_chain.score_toxicity(with_odd_rows(docs), labels).collect()
     assert len(rows) == docs.count() + len(ODD) + 3
