@@ -37,7 +37,7 @@ def word_list(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text.cast("string")), r"[\x20\x09-\x0D]+"), "")
 
 
-def with_shingles(df: DataFrame, words: str, shingle) -> DataFrame:
+def item_shingles(df: DataFrame, words: str, shingle) -> DataFrame:
     """``df`` with a row per shingle of its ``words`` column: column ``s`` =
     shingle(list of the five word columns). Fewer words are one shingle (with
     nulls for the missing words), no words are none."""
@@ -47,6 +47,38 @@ def with_shingles(df: DataFrame, words: str, shingle) -> DataFrame:
     return df.withColumn("__at", at).withColumn("s", shingle(word)).drop("__at")
 
 
+def item_widths(benchmark: DataFrame) -> list[int]:
+    """The lengths of the items' shingles: five words, and the word count of
+    each shorter item (at most five values)."""
+    size = F.least(F.size(word_list(F.col("text"))), F.lit(WIDTH))
+    rows = benchmark.select(size.alias("n")).where("n > 0").distinct().collect()
+    return sorted(r["n"] for r in rows) or [WIDTH]
+
+
+def document_shingles(df: DataFrame, words: str, shingle, widths: list[int]) -> DataFrame:
+    """``df`` with a row per run of each of ``widths`` words: ``s`` as in
+    ``item_shingles``, so a run equals the item of just its words."""
+    size = F.size(words)
+
+    def runs(width: int) -> Column:
+        return F.when(size >= width, F.sequence(F.lit(0), size - width))
+
+    if len(widths) == 1:
+        w = widths[0]
+        word = [F.get(words, F.col("__at") + k) if k < w else F.lit(None).cast("string") for k in range(WIDTH)]
+        return df.withColumn("__at", F.explode(runs(w))).withColumn("s", shingle(word)).drop("__at")
+    # Position and length in one number: 8 * position + length.
+    none = F.array().cast("array<int>")
+
+    def starts_of(width: int) -> Column:
+        return F.transform(F.coalesce(runs(width), none), lambda p: p * 8 + width)
+
+    starts = F.concat(*[starts_of(w) for w in widths])
+    at, width = F.floor(F.col("__at") / 8).cast("int"), F.col("__at") % 8
+    word = [F.when(width > k, F.get(words, at + k)) for k in range(WIDTH)]
+    return df.withColumn("__at", F.explode(starts)).withColumn("s", shingle(word)).drop("__at")
+
+
 def shingle_hash(word: list[Column]) -> Column:
     return F.xxhash64(*word)
 
@@ -69,7 +101,7 @@ def item_sketches(benchmark: DataFrame, containment: int) -> DataFrame:
         F.col("item_id").cast("bigint").alias("item_id"), F.xxhash64(F.col("text").cast("string")).alias("item_key"),
         word_list(F.col("text")).alias("w"),
     )
-    hashes = with_shingles(items, "w", shingle_hash).groupBy("item_id", "item_key").agg(
+    hashes = item_shingles(items, "w", shingle_hash).groupBy("item_id", "item_key").agg(
         F.sort_array(F.collect_set("s")).alias("all"))  # one item's own shingles
     n = F.size("all")
     largest = F.pow(F.lit(2), F.floor(F.log2(n)) + 1) - 1  # of the size partition
@@ -81,7 +113,9 @@ def item_sketches(benchmark: DataFrame, containment: int) -> DataFrame:
     )
 
 
-def sketch_candidates(documents: DataFrame, benchmark: DataFrame, containment: int) -> DataFrame:
+def sketch_candidates(
+    documents: DataFrame, benchmark: DataFrame, containment: int, widths: list[int]
+) -> DataFrame:
     """(doc_id, doc_key, item_id, item_key, n, estimate) of the pairs whose
     sketch hits reach the bound. doc_key and item_key hash the texts."""
     sketches = small_or_shuffled(item_sketches(benchmark, containment), "decontaminate-sketches")
@@ -89,7 +123,7 @@ def sketch_candidates(documents: DataFrame, benchmark: DataFrame, containment: i
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("doc_key"),
         word_list(F.col("text")).alias("w"),
     )
-    hits = with_shingles(docs, "w", shingle_hash).select("doc_id", "doc_key", "s").join(sketches, "s")
+    hits = document_shingles(docs, "w", shingle_hash, widths).select("doc_id", "doc_key", "s").join(sketches, "s")
     return (
         hits.groupBy("doc_id", "doc_key", "item_id", "item_key", "n", "k", "hits")
         .agg(F.size(F.collect_set("s")).alias("got"))  # at most k values of one item
@@ -105,15 +139,18 @@ def contaminations(documents: DataFrame, benchmark: DataFrame, containment: int
     estimate), one row per pair of a document text and an item: doc_key is
     xxhash64 of the text, matched counts the item's distinct shingles found in
     the whole text. A null, empty or blank text (of a document or an item) has
-    no shingles and matches nothing; fewer than five words are one shingle, so
-    such an item matches only an equal word sequence. Repeated rows count
-    once; two texts under one id are two documents; a null id stays null.
-    Empty tables give no rows.
+    no shingles and matches nothing; an item of fewer than five words is one
+    shingle of its own length, found wherever a document holds those words in
+    a row (a one-word item thus in every document with that word). Repeated
+    rows count once; two texts under one id are two documents; a null id
+    stays null. Very long texts are looked up whole, a row per shingle.
+    Further columns, whatever their names, are not read. Empty tables give no rows.
     """
     if not 0 < containment <= 100:
         raise ValueError("containment is a percentage")
-    pairs = written(sketch_candidates(documents, benchmark, containment), "decontaminate-candidates")
-    items = with_shingles(
+    widths = item_widths(benchmark)
+    pairs = written(sketch_candidates(documents, benchmark, containment, widths), "decontaminate-candidates")
+    items = item_shingles(
         benchmark.select(
             F.col("item_id").cast("bigint").alias("item_id"),
             F.xxhash64(F.col("text").cast("string")).alias("item_key"), word_list(F.col("text")).alias("w")),
@@ -124,7 +161,7 @@ def contaminations(documents: DataFrame, benchmark: DataFrame, containment: int
     once = docs.groupBy("doc_key", "text").agg(F.lit(1).alias("one")).select("doc_key", word_list(F.col("text")).alias("w"))
     known = small_or_shuffled(items, "decontaminate-items")
     found = (
-        with_shingles(once, "w", shingle_text).select("doc_key", "s")
+        document_shingles(once, "w", shingle_text, widths).select("doc_key", "s")
         .join(known, "s").distinct()
         .groupBy("doc_key", "item_id", "item_key").agg(F.count(F.lit(1)).alias("matched"))
     )
@@ -155,9 +192,11 @@ i AS (
   SELECT DISTINCT item_id, text,
          list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w
   FROM benchmark),
+widths AS (SELECT DISTINCT least(len(w), {WIDTH}) AS m FROM i WHERE len(w) > 0),
+dw AS (SELECT doc_id, text, w, m FROM d JOIN widths ON len(w) >= m),
 ds AS (
-  SELECT DISTINCT doc_id, text, array_to_string(w[k:k + {WIDTH - 1}], ' ') AS s
-  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - {WIDTH - 2}, least(len(w), 1) + 1))) AS k)),
+  SELECT DISTINCT doc_id, text, array_to_string(w[k:k + m - 1], ' ') AS s
+  FROM dw, LATERAL (SELECT unnest(range(1, len(w) - m + 2)) AS k)),
 its AS (
   SELECT DISTINCT item_id, text, array_to_string(w[k:k + {WIDTH - 1}], ' ') AS s
   FROM i, LATERAL (SELECT unnest(range(1, greatest(len(w) - {WIDTH - 2}, least(len(w), 1) + 1))) AS k)),

@@ -182,11 +182,12 @@ def feature_counts(sample: DataFrame) -> DataFrame:
     """Written once: (f, fold, n, k.., known_k..), the documents of each fold that
     hold a feature, of every category, and with a known label of it."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]+)"), F.lit(1)))
-    begin = [
-        F.transform(F.filter("words", lambda w, n=n: F.length(w) > n),
-                    lambda w, n=n: F.concat(F.substring(w, F.lit(1), F.lit(n)), F.lit("*")))
-        for n in BEGINNINGS
-    ]
+
+    def beginnings(n: int) -> Column:
+        longer = F.filter("words", lambda w: F.length(w) > n)
+        return F.transform(longer, lambda w: F.concat(F.substring(w, F.lit(1), F.lit(n)), F.lit("*")))
+
+    begin = [beginnings(n) for n in BEGINNINGS]
     each = sample.withColumn("words", words).select(
         "fold", *CATEGORIES, F.explode(F.array_distinct(F.concat("words", *begin))).alias("f"))
     return written(each.groupBy("f", "fold").agg(*_counted()), "toxicity-counts")

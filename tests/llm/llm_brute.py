@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -66,21 +67,20 @@ def near_vectors(rows, cosine=0.98):
 
 
 def contaminations(docs, items, share=75):
-    """{(doc_id, item_id): (item shingles, matched)}"""
+    """(doc_id, item_id) -> (shingles of the item, those the document holds)."""
 
     def words(text):
-        return [w for w in (text or "").lower().split() if w]
+        return [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
 
-    def grams(text):
-        w = words(text)
-        return {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    def grams(w, n):
+        return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
 
     out = {}
-    for d, text in docs:
-        have = grams(text)
-        for i, item in items:
-            want = grams(item)
-            got = len(want & have)
-            if want and 100 * got >= share * len(want):
-                out[d, i] = (len(want), got)
+    for item_id, item in items:
+        n = min(5, len(words(item)))
+        own = grams(words(item), n) if n else set()
+        for doc_id, text in docs:
+            both = len(own & grams(words(text), n)) if n else 0
+            if own and both * 100 >= len(own) * share:
+                out[doc_id, item_id] = (len(own), both)
     return out

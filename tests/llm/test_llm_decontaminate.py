@@ -65,3 +65,26 @@ def test_columns_are_kept_and_long_texts_searched_whole(spark):
     b = spark.createDataFrame([(1, item, 9)], "item_id bigint, text string, w int")
     kept = decontaminate.decontaminated(df, b)
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
+
+
+def test_short_items_inside_long_documents(spark):
+    """Items of one to four words are found where their words stand in a row; SQL agrees."""
+    import duckdb
+
+    docs = [(1, "alpha beta gamma delta epsilon zeta eta theta"), (2, "beta gamma x delta epsilon"), (3, "Beta"),
+            (4, "zeta eta"), (5, "eta zeta"), (6, None), (7, "beta gamma delta epsilon"), (8, "w " * 5000 + "zeta  ETA"),
+            (9, "one two three four five six")]
+    items = [(1, "beta gamma delta epsilon"), (2, "zeta\teta"), (3, "beta"), (4, "one two three four five six"),
+             (5, "gamma x delta"), (6, ""), (7, None)]
+    d, b = frames(spark, docs, items)
+    got = {(r.doc_id, r.item_id): (r.item_shingles, r.matched) for r in decontaminate.contaminations(d, b).collect()}
+    assert got == contaminations(docs, items)
+    assert set(got) == {(1, 1), (7, 1), (1, 2), (4, 2), (8, 2), (1, 3), (2, 3), (3, 3), (7, 3), (9, 4), (2, 5)}
+    con = duckdb.connect()
+    documents, benchmark = d.toPandas(), b.toPandas()  # noqa: F841
+    sql = con.sql(decontaminate.ORACLE_SQL).fetchall()
+    assert {(r[0], r[1]): (r[2], r[3]) for r in sql} == got and len(sql) == len(got)
+    only = [i for i in items if i[0] == 2]  # a single length, of two words
+    d, b = frames(spark, docs, only)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminations(d, b).collect()} == {(1, 2), (4, 2), (8, 2)}
+    assert sorted(r.doc_id for r in decontaminate.decontaminated(d, b).collect()) == [2, 3, 5, 6, 7, 9]

@@ -229,6 +229,21 @@ def test_chain_equals_a_plain_forward_pass(docs, labels):
         assert np.allclose(before, row)
 
 
+def test_counted_features_are_those_scored(spark):
+    """Spark's counts against ``features_of``, word by word."""
+    texts = ["Wretched wretches, ab ABCD abcde abcdefgh.", "élan vitality vital x", "", "9 _ !"]
+    rows = [(k, k % 2, 1, 0, 1, t) for k, t in enumerate(texts)]
+    sample = spark.createDataFrame(rows, "key bigint, fold int, toxic_prose int, toxic_junk int, toxic int, text string")
+    got = {}
+    for r in toxicity_chain.feature_counts(sample).collect():
+        got[r.f, r.fold] = r.n
+    expected = {}
+    for k, text in enumerate(texts):
+        for f in {f for w in toxicity_chain.WORD.findall(text.lower()) for f in toxicity_chain.features_of(w)}:
+            expected[f, k % 2] = expected.get((f, k % 2), 0) + 1
+    assert got == expected and ("wretc*", 0) in got
+
+
 def test_each_link_learns_from_its_own_labels(spark, docs, labels):
     """A document without one label still teaches what the other decides."""
     rows = [(1, 1, None), (2, 0, None), (3, None, 1), (4, None, 0), (5, None, None), (6, 1, 1), (6, None, 0), (None, 1, 1)]
