@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import json
+import logging
 import re
 import tempfile
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -102,6 +105,90 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+# Seconds after its last renewal that a session's scratch counts as abandoned.
+LEASE_KEY, LEASE_SECONDS = "spark.gridwright.scratch.leaseSeconds", 3600
+LEASES = "_leases"
+log = logging.getLogger(__name__)
+# Folders this process holds a lease of, with the event that ends its renewal.
+_HELD: dict[str, threading.Event] = {}
+_HELD_LOCK = threading.Lock()
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _write_lease(spark: SparkSession, folder: str, seconds: int) -> int:
+    """Write the lease of a session's folder again; the time the shared file
+    system gives it (ms)."""
+    root, name = folder.rstrip("/").rsplit("/", 1)
+    fs, path = _file_system(spark, f"{root}/{LEASES}/{name}.json")
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(json.dumps({"owner": spark.sparkContext.applicationId, "seconds": seconds}).encode()))
+    finally:
+        out.close()
+    return fs.getFileStatus(path).getModificationTime()
+
+
+def hold_lease(spark: SparkSession, folder: str) -> None:
+    """Lease the session's own checkpoint folder, once, and renew the lease
+    while the driver lives; scratch that killed drivers left under the same
+    root is removed first (``collect_abandoned``).
+
+    A lease is a file beside the folder. Its age is measured against the
+    lease just written, so both times are the file system's and the drivers'
+    clocks do not matter."""
+    with _HELD_LOCK:
+        if folder in _HELD:
+            return
+        ended = _HELD[folder] = threading.Event()
+    seconds = max(1, int(spark.conf.get(LEASE_KEY, str(LEASE_SECONDS))))
+    now = _write_lease(spark, folder, seconds)
+    collect_abandoned(spark, folder.rstrip("/").rsplit("/", 1)[0], now)
+
+    def renew() -> None:
+        while not ended.wait(seconds / 4):
+            if spark.sparkContext._jsc is None:
+                return
+            try:
+                _write_lease(spark, folder, seconds)
+            except Exception as exc:  # tried again at the next turn, long before the lease ends
+                log.warning("lease of %s not renewed: %s", folder, type(exc).__name__)
+
+    threading.Thread(target=renew, name="gridwright-lease", daemon=True).start()
+
+
+def collect_abandoned(spark: SparkSession, root: str, now: int) -> list[str]:
+    """Delete the folders under ``root`` whose lease was last renewed longer
+    before ``now`` (ms) than it lasts, then their leases; returns the folders.
+    A folder without a lease is never touched, nor one this process holds. A
+    lease that another session is collecting at the same time, or that cannot
+    be read, is left for the next start."""
+    fs, path = _file_system(spark, f"{root}/{LEASES}")
+    if not fs.exists(path):
+        return []
+    jvm, removed = spark.sparkContext._jvm, []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if not re.fullmatch(r"[\w-]+\.json", name) or f"{root}/{name[:-5]}" in _HELD:
+            continue
+        try:
+            stream = fs.open(status.getPath())
+            try:
+                seconds = int(json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["seconds"])
+            finally:
+                stream.close()
+            if now - status.getModificationTime() <= 1000 * seconds:
+                continue
+            removed += _delete(spark, [f"{root}/{name[:-5]}"])
+            fs.delete(status.getPath(), False)
+        except Exception as exc:
+            log.warning("lease %s left alone: %s", name, type(exc).__name__)
+    return removed
+
+
 # Open scratch scopes of the current context (innermost last). A context
 # variable keeps refreshes in different threads apart; threads started by
 # ``run_concurrently`` inherit their caller's scopes.
@@ -112,6 +199,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder. Inside a
     ``scratch_scope`` the path is removed when the scope ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    hold_lease(spark, base)
     path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
     scopes = _SCOPES.get()
     if scopes:
@@ -190,7 +278,9 @@ __all__ = [
     "JOB_CONF",
     "cluster_conf",
     "build_session",
+    "collect_abandoned",
     "ensure_checkpoint_dir",
+    "hold_lease",
     "is_local",
     "open_scopes",
     "remove_unscoped",
