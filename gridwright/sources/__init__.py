@@ -2,11 +2,16 @@
 
 from gridwright.sources.erp import erp_sources, rename_source, served_names
 from gridwright.sources.readers import (
+    hash_predicates,
     jdbc_options,
     load_parquet_sources,
     load_tables,
     nan_to_null,
+    quantile_query,
+    range_predicates,
     read_jdbc,
+    read_jdbc_parts,
+    read_jdbc_split,
     require_kind,
     sql_with_external_tables,
 )
@@ -17,11 +22,16 @@ __all__ = [
     "erp_sources",
     "rename_source",
     "served_names",
+    "hash_predicates",
     "jdbc_options",
     "load_parquet_sources",
     "load_tables",
     "nan_to_null",
+    "quantile_query",
+    "range_predicates",
     "read_jdbc",
+    "read_jdbc_parts",
+    "read_jdbc_split",
     "require_kind",
     "sql_with_external_tables",
     "standin_ctes",

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from gridwright.operators.sizing import materialize
 from gridwright.session import run_concurrently
-from gridwright.sources.readers import jdbc_options, nan_to_null, read_jdbc
+from gridwright.sources.readers import jdbc_options, nan_to_null, read_jdbc, read_jdbc_split
 
 # Source object names and column names (source name -> ours).
 ERP_TABLES = {
@@ -118,7 +118,9 @@ def erp_sources(
 
     ``partitioning`` optionally maps a relation to ``partition_column``,
     ``lower_bound``, ``upper_bound`` and ``num_partitions`` for a parallel
-    range read (a numeric column of the remote table)."""
+    range read (a numeric column of the remote table), or to ``column``,
+    ``parts`` and ``by`` ("hash" or "quantile") for one by a column of any
+    type, as the keys of most relations are references."""
     partitioning = partitioning or {}
     out = {}
     for tables, url, kind, auth in (
@@ -126,8 +128,13 @@ def erp_sources(
         (HR_TABLES, hr_url, "postgresql", hr_auth or {}),
     ):
         for name, (table, _) in tables.items():
-            opts = jdbc_options(url, dbtable=table, kind=kind, **dict(auth), **dict(partitioning.get(name, {})))
-            out[name] = rename_source(name, read_jdbc(spark, opts))
+            split = dict(partitioning.get(name, {}))
+            by_column = {k: split.pop(k) for k in ("column", "parts", "by") if k in split}
+            if by_column and not {"column", "parts"} <= set(by_column):
+                raise ValueError(f"{name}: a read by predicates needs column and parts")
+            opts = jdbc_options(url, dbtable=table, kind=kind, **dict(auth), **split)
+            frame = read_jdbc_split(spark, opts, kind, **by_column) if by_column else read_jdbc(spark, opts)
+            out[name] = rename_source(name, frame)
     return out
 
 

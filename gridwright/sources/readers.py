@@ -3,13 +3,17 @@
 The source job pulled whole query results into single-process frames. Here
 every source is a lazy DataFrame: parquet scans get column pruning and
 predicate pushdown from Catalyst; JDBC scans can be split over executors by
-a numeric column and push filters into the remote ``WHERE``.
+a numeric column, or a column of any type by predicates (hash or quantiles),
+and push filters into the remote ``WHERE``.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import math
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,6 +137,103 @@ def read_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+# Hash of a column, whatever its type, as the database computes it.
+_HASHES = {
+    "sqlserver": "ABS(CAST(CHECKSUM({column}) AS BIGINT))",
+    "postgresql": "ABS(CAST(HASHTEXT(CAST({column} AS TEXT)) AS BIGINT))",
+}
+
+
+def hash_predicates(kind: str, column: str, parts: int) -> list[str]:
+    """One condition per part of a parallel read, by the remainder of the
+    column's hash: for keys of any type, whose values have no useful order.
+    Every row meets exactly one of them; a NULL key meets the first."""
+    if parts < 1:
+        raise ValueError("parts must be positive")
+    if kind not in _HASHES:
+        raise ValueError(f"no hash known for {kind!r}; known: {sorted(_HASHES)}")
+    hashed = _HASHES[kind].format(column=column)
+    out = [f"{hashed} % {parts} = {k}" for k in range(parts)]
+    # Without the test of NULL itself, a database whose hash of NULL is a
+    # number would give such a row to two parts.
+    return [f"({column} IS NULL OR {out[0]})", *[f"({column} IS NOT NULL AND {x})" for x in out[1:]]]
+
+
+def quantile_query(table: str, column: str, parts: int) -> str:
+    """The query for the lowest value of each of ``parts`` equal shares of the
+    rows: one sort in the database, one row per share."""
+    if parts < 1:
+        raise ValueError("parts must be positive")
+    return (
+        f"SELECT tile, MIN(v) AS low FROM (SELECT {column} AS v, NTILE({parts}) OVER (ORDER BY {column}) AS tile "
+        f"FROM {table} WHERE {column} IS NOT NULL) q GROUP BY tile"
+    )
+
+
+def sql_literal(kind: str, value) -> str:
+    """A value as a literal of the database: text, numbers, dates, binary keys."""
+    if isinstance(value, bool) or value is None:
+        raise ValueError(f"no bound: {value!r}")
+    if isinstance(value, (bytes, bytearray)):
+        return f"0x{value.hex().upper()}" if kind == "sqlserver" else f"'\\x{value.hex()}'::bytea"
+    if isinstance(value, int) or (isinstance(value, Decimal) and value.is_finite()):
+        return str(value)
+    if isinstance(value, float) and math.isfinite(value):
+        return repr(value)
+    if isinstance(value, _dt.datetime):
+        text = value.isoformat(sep="T" if kind == "sqlserver" else " ")
+        return f"CAST('{text}' AS DATETIME2)" if kind == "sqlserver" else f"TIMESTAMP '{text}'"
+    if isinstance(value, _dt.date):
+        return f"CAST('{value.isoformat()}' AS DATE)"
+    if isinstance(value, str):
+        quoted = "'" + value.replace("'", "''") + "'"
+        return "N" + quoted if kind == "sqlserver" else quoted
+    raise ValueError(f"no literal for a {type(value).__name__}")
+
+
+def range_predicates(kind: str, column: str, lows: Iterable) -> list[str]:
+    """One condition per share between ascending lowest values, as
+    ``quantile_query`` gives them. Every row meets exactly one, also rows
+    written since with values beyond the bounds; NULL meets the first. Shares
+    that begin with the same value (a hot key) are one."""
+    cuts: list = []
+    for low in list(lows)[1:]:
+        if not cuts or low != cuts[-1]:
+            cuts.append(low)
+    at = [sql_literal(kind, c) for c in cuts]
+    if not at:
+        return ["1 = 1"]
+    inner = [f"({column} >= {lo} AND {column} < {hi})" for lo, hi in zip(at[:-1], at[1:])]
+    return [f"({column} IS NULL OR {column} < {at[0]})", *inner, f"({column} >= {at[-1]})"]
+
+
+def read_jdbc_parts(spark: SparkSession, options: Mapping[str, str], predicates: list[str]) -> DataFrame:
+    """A JDBC table read by one task per predicate (``options`` as
+    ``jdbc_options`` gives them for a ``dbtable``)."""
+    opts = dict(options)
+    if "partitionColumn" in opts or "query" in opts:
+        raise ValueError("a read by predicates takes dbtable and no partition column")
+    url, table = opts.pop("url"), opts.pop("dbtable")
+    return spark.read.jdbc(url, table, predicates=list(predicates), properties=opts)
+
+
+def read_jdbc_split(
+    spark: SparkSession, options: Mapping[str, str], kind: str, column: str, parts: int, by: str = "hash"
+) -> DataFrame:
+    """A JDBC table read in ``parts`` by a column of any type: by its ``hash``,
+    or by ``quantile`` (bounds from one aggregate query; ranges use an index
+    of the column and stay equal where its values are uneven)."""
+    if by not in ("hash", "quantile"):
+        raise ValueError("by is hash or quantile")
+    if by == "hash":
+        return read_jdbc_parts(spark, options, hash_predicates(kind, column, parts))
+    asked = {k: v for k, v in options.items() if k != "dbtable"}
+    asked["query"] = quantile_query(options["dbtable"], column, parts)
+    found = read_jdbc(spark, asked).collect()  # a row per part
+    lows = [low for _, low in sorted(((r[0], r[1]) for r in found), key=lambda x: x[0])]
+    return read_jdbc_parts(spark, options, range_predicates(kind, column, lows))
+
+
 def sql_with_external_tables(
     spark: SparkSession, query: str, external_tables: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:

@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 import pytest
 
 from gridwright.sinks.jdbc import jdbc_write_options
-from gridwright.sources.readers import jdbc_options, nan_to_null, require_kind, sql_with_external_tables
+from gridwright.sources.readers import (
+    hash_predicates,
+    jdbc_options,
+    nan_to_null,
+    quantile_query,
+    range_predicates,
+    require_kind,
+    sql_literal,
+    sql_with_external_tables,
+)
 from gridwright.sources.standins import RELATIONS, standin_sources
 
 SF = "/root/testdata/sf0.001"
@@ -245,3 +254,93 @@ def test_extra_jdbc_options_pass_through():
     o = jdbc_options("jdbc:postgresql://h/db", dbtable="t", extra={"sessionInitStatement": "SET x = 1", "pushDownAggregate": True})
     assert o["sessionInitStatement"] == "SET x = 1" and o["pushDownAggregate"] == "True"
     assert jdbc_options("jdbc:postgresql://h/db", dbtable="t", prefer_timestamp_ntz=False)["preferTimestampNTZ"] == "false"
+
+
+def _shares(predicates, values, macro=None):
+    """How many of the predicates each row meets, and which, by an in-process database."""
+    import duckdb
+
+    con = duckdb.connect()
+    if macro:
+        con.execute(macro)
+    con.execute("CREATE TABLE t (i INT, k VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    return [[i for (i,) in con.execute(f"SELECT i FROM t WHERE {p}").fetchall()] for p in predicates], con
+
+
+def test_hash_predicates_deal_every_row_once():
+    values = [None, "", "a'b", *[f"ref-{k}" for k in range(500)], None, "ref-7"]
+    for kind, macro in (
+        ("sqlserver", "CREATE MACRO checksum(x) AS coalesce((hash(x) % 4294967296)::BIGINT - 2147483648, 0)"),
+        ("postgresql", "CREATE MACRO hashtext(x) AS (hash(x) % 4294967296)::BIGINT - 2147483648"),
+    ):
+        predicates = hash_predicates(kind, "k", 7)
+        parts, _ = _shares(predicates, values, macro)
+        assert sorted(i for p in parts for i in p) == list(range(len(values)))
+        assert len(parts) == 7 and max(map(len, parts)) < 2 * len(values) / 7
+    assert len(hash_predicates("sqlserver", "k", 1)) == 1
+    for args in (("sqlserver", "k", 0), ("oracle", "k", 2)):
+        with pytest.raises(ValueError):
+            hash_predicates(*args)
+
+
+def test_quantile_predicates_deal_every_row_once():
+    """Hot keys, NULLs, quotes, and rows that came after the bounds were read."""
+    values = [None] * 40 + ["hot"] * 300 + ["o'neil", ""] + [f"ref-{k:04d}" for k in range(400)]
+    _, con = _shares([], values)
+    found = sorted(con.execute(quantile_query("t", "k", 8)).fetchall())
+    predicates = range_predicates("postgresql", "k", [low for _, low in found])
+    parts, _ = _shares(predicates, [*values, "aaa", "zzz", None])
+    assert sorted(i for p in parts for i in p) == list(range(len(values) + 3))
+    assert 4 <= len(parts) <= 8 and max(map(len, parts)) <= 300 + 2 * len(values) / 8
+    assert range_predicates("postgresql", "k", []) == ["1 = 1"] == range_predicates("postgresql", "k", ["x"])
+
+
+def test_literals_of_bounds():
+    import datetime as dt
+    from decimal import Decimal
+
+    assert sql_literal("sqlserver", "o'x") == "N'o''x'" and sql_literal("postgresql", "o'x") == "'o''x'"
+    assert sql_literal("sqlserver", b"\x01\xff") == "0x01FF" and sql_literal("postgresql", b"\x01\xff") == "'\\x01ff'::bytea"
+    assert sql_literal("sqlserver", 5) == "5" and sql_literal("sqlserver", Decimal("1.50")) == "1.50"
+    assert sql_literal("sqlserver", dt.datetime(2024, 1, 2, 3, 4)) == "CAST('2024-01-02T03:04:00' AS DATETIME2)"
+    assert sql_literal("postgresql", dt.date(2024, 1, 2)) == "CAST('2024-01-02' AS DATE)"
+    for bad in (None, True, float("nan"), Decimal("NaN"), [1]):
+        with pytest.raises(ValueError):
+            sql_literal("sqlserver", bad)
+
+
+def test_reads_by_predicates_pass_them_to_the_reader(spark, monkeypatch):
+    import gridwright.sources.erp as erp
+    import gridwright.sources.readers as readers
+
+    seen, asked = {}, []
+
+    def parts(_spark, opts, predicates):
+        seen[opts["dbtable"]] = predicates
+        cols = list({**erp.ERP_TABLES, **erp.HR_TABLES}[names[opts["dbtable"]]][1])
+        return _spark.createDataFrame([], ", ".join(f"`{c}` string" for c in cols))
+
+    def plain(_spark, opts):
+        if "query" in opts:
+            asked.append(opts["query"])
+            return _spark.createDataFrame([(2, "m"), (1, "a"), (3, "t")], "tile int, low string")
+        cols = list({**erp.ERP_TABLES, **erp.HR_TABLES}[names[opts["dbtable"]]][1])
+        return _spark.createDataFrame([], ", ".join(f"`{c}` string" for c in cols))
+
+    names = {t: n for n, (t, _) in {**erp.ERP_TABLES, **erp.HR_TABLES}.items()}
+    monkeypatch.setattr(readers, "read_jdbc_parts", parts)
+    monkeypatch.setattr(readers, "read_jdbc", plain)
+    monkeypatch.setattr(erp, "read_jdbc", plain)
+    urls = "jdbc:sqlserver://erp:1433", "jdbc:postgresql://hr/db"
+    erp.erp_sources(spark, *urls, partitioning={
+        "approval_lines": {"column": "[ref]", "parts": 4},
+        "salary_register": {"column": "[ref]", "parts": 3, "by": "quantile"}})
+    assert len(seen[erp.ERP_TABLES["approval_lines"][0]]) == 4
+    assert seen[erp.ERP_TABLES["salary_register"][0]] == [
+        "([ref] IS NULL OR [ref] < N'm')", "([ref] >= N'm' AND [ref] < N't')", "([ref] >= N't')"]
+    assert len(asked) == 1 and "NTILE(3)" in asked[0]
+    with pytest.raises(ValueError):
+        erp.erp_sources(spark, *urls, partitioning={"approval_lines": {"column": "x"}})
+    with pytest.raises(ValueError):
+        readers.read_jdbc_split(spark, {}, "sqlserver", "x", 2, by="luck")
