@@ -11,13 +11,15 @@ by their length, and packed tier by tier:
 * the last remainder of a task is cut into powers of two.
 
 Every window is therefore either full or a power of two long: no padding.
-Windows of a tier are dealt to step groups of ``STEP_TOKENS`` tokens each, so
-the groups cost the same whichever tier they come from.
+Windows of a length are dealt to step groups of ``STEP_TOKENS`` tokens each, so
+the groups cost the same whichever tier they come from. Windows are numbered
+over all tasks: at most the last group of a length is not full.
 
 Packing goes along with the scan: a task packs the rows of its own input
-split, batch by batch, and carries over less than one window per tier. There
-is no shuffle, no hot group and no global step, and a repeated task gives the
-same rows.
+split, batch by batch, and carries over less than one window per tier. The
+pieces are written; only the numbers of windows, a row per task and length,
+are summed over all tasks. There is no shuffle of pieces, no hot group, and a
+repeated task gives the same rows.
 """
 
 from __future__ import annotations
@@ -32,10 +34,10 @@ from functools import cache, cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import in_slices
+from gridwright.llm.common import in_slices, small_or_shuffled, written
 
 CONTEXT = 1024
 TIERS = (128, 256, 512, 1024)
@@ -53,13 +55,16 @@ OTHER_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 # A character that marks word starts; texts that contain it are encoded whole.
 MARK = "\x00"
 
+# As a task places them; ``nth`` counts its windows of a length.
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-    "sequence_id bigint, offset bigint, tier int, step_group bigint"
+    "sequence_id bigint, offset bigint, tier int, nth bigint"
 )
+# Bits of a window's number inside its task.
+TASK_BITS = 40
 _TYPES = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
           ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()),
-          ("step_group", pa.int64())]
+          ("nth", pa.int64())]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -182,10 +187,10 @@ class Piece:
 class TierPacker:
     """Packs the documents of one task; ``rows`` collects the placed pieces."""
 
-    def __init__(self, task: int, tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS):
-        self.tiers, self.context, self.step_tokens = tuple(sorted(tiers)), max(tiers), step_tokens
-        self.base, self.windows = task << 40, 0
-        self.seen = {}  # windows so far by length, for the step groups
+    def __init__(self, task: int, tiers: tuple[int, ...] = TIERS):
+        self.tiers, self.context = tuple(sorted(tiers)), max(tiers)
+        self.base, self.windows = task << TASK_BITS, 0
+        self.seen = {}  # number of the last window by length, for the step groups
         self.pools: dict[int, deque[Piece]] = {t: deque() for t in self.tiers}
         self.rows: list[tuple] = []
 
@@ -197,10 +202,9 @@ class TierPacker:
         sequence, offset = self.base + self.windows, 0
         self.windows += 1
         nth = self.seen[length] = self.seen.get(length, -1) + 1
-        group = self.base + nth // max(1, self.step_tokens // length)
         for p in pieces:
             self.rows.append((p.doc_id, p.start, len(p), zlib.crc32(p.ids), p.doc_tokens, sequence, offset,
-                              length, group))
+                              length, nth))
             offset += len(p)
 
     def add(self, doc_id, ids: bytes) -> None:
@@ -273,6 +277,25 @@ class TierPacker:
                                names=[n for n, _ in _TYPES])
 
 
+def in_step_groups(pieces: DataFrame, step_tokens: int) -> DataFrame:
+    """Written pieces with ``step_group`` for ``nth``: windows of a length, in
+    the order of tasks, fill groups of ``step_tokens`` tokens one after the
+    other. Groups are numbered from 0, the shortest windows first."""
+    task = F.shiftright("sequence_id", TASK_BITS)
+    counted = pieces.where("offset = 0").groupBy("tier", task.alias("task")).agg(F.count(F.lit(1)).alias("windows"))
+    per = F.greatest(F.lit(1), F.floor(F.lit(step_tokens) / F.col("tier")))
+    before = F.sum("windows").over(Window.partitionBy("tier").orderBy("task")) - F.col("windows")
+    counted = written(counted, "pack-windows")
+    lengths = counted.groupBy("tier").agg(F.ceil(F.sum("windows") / per).alias("groups"))
+    # A row per window length (powers of two).
+    lengths = lengths.select("tier", (F.sum("groups").over(Window.orderBy("tier")) - F.col("groups")).alias("first"))
+    starts = counted.select("tier", "task", before.alias("before")).join(lengths, "tier")
+    starts = small_or_shuffled(starts, "pack-starts")
+    met = pieces.withColumn("task", task).join(starts, ["tier", "task"])
+    group = F.col("first") + F.floor((F.col("before") + F.col("nth")) / per)
+    return met.select(*[n for n, _ in _TYPES[:-1]], group.cast("bigint").alias("step_group"))
+
+
 def pack_documents(
     documents: DataFrame,
     path: str | None = None,
@@ -287,6 +310,7 @@ def pack_documents(
     length, ids_crc32 (of the ids as little-endian unsigned 32-bit numbers),
     doc_tokens, sequence_id, offset, tier (the window's length) and
     step_group. Repeated rows are packed each on its own, null ids stay null,
+    a document of any length is cut into windows, extra columns are not read,
     an empty table gives no rows.
     """
     if any(t & (t - 1) for t in tiers) or not tiers:
@@ -294,7 +318,7 @@ def pack_documents(
     files = path or tokenizer_path(), ranks or tokenizer_path(RANKS)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, encoder = TierPacker(TaskContext.get().partitionId(), tiers, step_tokens), tokenizer(*files)
+        packer, encoder = TierPacker(TaskContext.get().partitionId(), tiers), tokenizer(*files)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in in_slices(batches, BATCH_ROWS):
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -305,6 +329,7 @@ def pack_documents(
         packer.finish()
         yield packer.batch()
 
-    return documents.select(
+    pieces = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).mapInArrow(pack, PIECES)
+    return in_step_groups(written(pieces, "pack-pieces"), step_tokens)

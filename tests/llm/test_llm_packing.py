@@ -83,3 +83,37 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert packing.pack_documents(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         packing.pack_documents(df, tiers=(100,))
+
+
+def test_step_groups_are_full_over_all_tasks(spark):
+    """Of each window length at most the last group is not full, however many tasks packed."""
+    df = spark.createDataFrame([(k, "word " * (k * 37 % 900)) for k in range(1500)], "doc_id bigint, text string")
+    rows = packing.pack_documents(df.repartition(11), step_tokens=4096).collect()
+    windows = {r.sequence_id: (r.tier, r.step_group) for r in rows}
+    groups, numbers = defaultdict(int), defaultdict(set)
+    for tier, group in windows.values():
+        groups[group] += tier
+        numbers[tier].add(group)
+    assert len({s >> packing.TASK_BITS for s in windows}) == 11
+    assert sorted(groups) == list(range(len(groups)))  # no group is shared by two lengths
+    assert sum(map(len, numbers.values())) == len(groups)
+    for own in numbers.values():
+        assert all(groups[g] == 4096 for g in sorted(own)[:-1]) and groups[max(own)] <= 4096
+
+
+def test_random_texts_give_the_tokenizers_ids():
+    """Strings of all scripts, blanks, line ends and special tokens."""
+    rng = np.random.default_rng(11)
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x370, 0x530), (0x590, 0x700), (0x900, 0xE80), (0x1100, 0x1200),
+              (0x2000, 0x2070), (0x3000, 0x30FF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A0), (0x1F300, 0x1F700)]
+    extra = [" ", "  ", "\n", " \n", "\t", "\r\n", "\x85", "\u2003", "\u3000", "\u0301", "\u200d", "<|endoftext|>", "'s", "'ll", "\x00"]
+    encoder = packing.tokenizer(packing.tokenizer_path(), packing.tokenizer_path(packing.RANKS))
+    texts = []
+    for _ in range(4000):
+        parts = []
+        for _ in range(int(rng.integers(1, 12))):
+            lo, hi = ranges[int(rng.integers(len(ranges)))]
+            parts.append("".join(map(chr, rng.integers(lo, hi, int(rng.integers(1, 9))))))
+            parts.append(extra[int(rng.integers(len(extra)))] if rng.random() < 0.4 else " ")
+        texts.append("".join(parts))
+    assert [np.frombuffer(x, "<u4").tolist() + [0] for x in encoder.encode(texts)] == reference_ids(texts)
