@@ -1,6 +1,7 @@
 """Sharding by a Hilbert curve over document metadata.
 
-Each document is a point of quantised metadata (size, id, language, source).
+Each document is a point of metadata: id and size cut at their quantiles,
+language and source by hash.
 Sorting by the point's index on a Hilbert curve keeps documents that are near
 in all dimensions near in the order; the order is cut into runs, one per
 shard, so the files of a shard cover a small box of the metadata space and a
@@ -22,7 +23,7 @@ from gridwright.llm.common import written
 
 # Bits of each dimension; the curve has 2 ** (4 * BITS) cells.
 BITS = 8
-DIMENSIONS = ("size", "doc_id", "lang", "source")
+DIMENSIONS = ("doc_id", "size", "lang", "source")
 
 
 def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
@@ -55,22 +56,32 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def hilbert_column(*cells: Column, bits: int = BITS) -> Column:
+def quantile_cells(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Cell of each number: how many of the ascending bounds it reaches."""
+    return np.searchsorted(bounds, values, side="right")
+
+
+def hilbert_column(bounds: list[np.ndarray], *columns: Column, bits: int = BITS) -> Column:
+    """Index of the point whose first coordinates are numbers, cut at their
+    ``bounds``, and whose others are cells."""
+
     @F.pandas_udf("bigint")
-    def index(*columns: pd.Series) -> pd.Series:
-        points = np.stack([c.to_numpy(np.int64) for c in columns], 1)
-        return pd.Series(hilbert_index(points, bits).astype(np.int64))
+    def index(*values: pd.Series) -> pd.Series:
+        points = [v.to_numpy(np.int64) for v in values]
+        points[: len(bounds)] = [quantile_cells(v, b) for v, b in zip(points, bounds)]
+        return pd.Series(hilbert_index(np.stack(points, 1), bits).astype(np.int64))
 
-    return index(*cells)
+    return index(*columns)
 
 
-def quantised(value: Column, low, high, bits: int = BITS) -> Column:
-    """Cell of a number between two bounds; null goes to cell 0."""
-    top = (1 << bits) - 1
-    if low is None or high is None or high <= low:
-        return F.lit(0)
-    share = (value.cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low))
-    return F.coalesce(F.least(F.greatest(F.floor(share * top), F.lit(0)), F.lit(top)), F.lit(0)).cast("int")
+def quantile_bounds(rows: DataFrame, *columns: str, bits: int = BITS) -> list[np.ndarray]:
+    """Bounds that cut each column's values into 2 ** ``bits`` cells of about
+    equal numbers of rows (approximate quantiles over all rows, one bounded
+    sketch a column). However far off a few values are, the others keep their cells."""
+    cells = 1 << bits
+    shares = F.array(*[F.lit(k / cells) for k in range(1, cells)])
+    found = rows.agg(*[F.percentile_approx(c, shares, 8 * cells).alias(c) for c in columns]).first()
+    return [np.array(v if v else [], np.int64) for v in found]
 
 
 def hashed_cell(value: Column, bits: int = BITS) -> Column:
@@ -81,9 +92,9 @@ def hashed_cell(value: Column, bits: int = BITS) -> Column:
 
 def curve_positions(documents: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """The ``carried`` columns, doc_id, size, text_crc32, hilbert, position (0-based, gapless, in curve
-    order). Ties on the curve are ordered by text, then id, so equal texts of
-    one cell are neighbours and a cell of any number of rows still spreads
-    over several ranges."""
+    order). Ties on the curve are ordered by text, then id, then the number
+    of the stored row, so equal texts of one cell are neighbours, and any
+    number of equal rows still spreads over several ranges."""
     data = F.encode(F.col("text").cast("string"), "UTF-8")
     rows = documents.select(
         *carried, F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -93,18 +104,14 @@ def curve_positions(documents: DataFrame, carried: tuple[str, ...] = ()) -> Data
         F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"),
     )
-    facts = written(rows, "shard-facts")
-    box = facts.agg(F.min("doc_id"), F.max("doc_id"), F.min("size"), F.max("size")).first()
-    log = lambda c: F.log2(c.cast("double"))
-    bounds = (np.log2(box[2]), np.log2(box[3])) if box[2] is not None else (None, None)
+    facts = written(rows.withColumn("row", F.monotonically_increasing_id()), "shard-facts")
+    # A null id lies below all others.
+    point = F.coalesce("doc_id", F.lit(-(2**63))), F.col("size"), hashed_cell(F.col("lang")), hashed_cell(F.col("source"))
     placed = facts.select(
-        *carried, "doc_id", "size", "text_crc32", "text_hash",
-        hilbert_column(
-            quantised(log(F.col("size")), *bounds), quantised(F.col("doc_id"), box[0], box[1]),
-            hashed_cell(F.col("lang")), hashed_cell(F.col("source")),
-        ).alias("hilbert"),
+        *carried, "doc_id", "size", "text_crc32", "text_hash", "row",
+        hilbert_column(quantile_bounds(facts, "doc_id", "size"), *point).alias("hilbert"),
     )
-    order = ["hilbert", "text_hash", "doc_id"]
+    order = ["hilbert", "text_hash", "doc_id", "row"]
     ranged = placed.repartitionByRange(*order).sortWithinPartitions(*order).withColumns(
         {"part": F.spark_partition_id(), "nth": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
     )
@@ -131,7 +138,8 @@ def hilbert_shards(documents: DataFrame, shards: int = 40) -> DataFrame:
     (unsigned; 0 for a null or empty text), law, shard, slot (gapless from 0
     inside the shard, in curve order), grown_shard (null under this law) and
     hilbert. Repeated rows each get a slot of their own; null ids and
-    metadata go to cell 0; an empty table gives no rows.
+    metadata go to cell 0; a text of any length counts by its bytes; extra
+    columns are not read; an empty table gives no rows.
     """
     return assigned(documents, shards)
 

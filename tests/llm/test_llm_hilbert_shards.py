@@ -79,3 +79,54 @@ def test_written_shards_with_null_and_repeated_ids(spark):
     assert Counter((r.doc_id, r.text) for r in back) == Counter(docs)
     assert Counter((r.doc_id, r.shard, r.slot) for r in back) == Counter(tuple(r) for r in placed.collect())
     assert len({(r.shard, r.slot) for r in back}) == len(docs)
+
+
+def test_equal_rows_are_dealt_over_several_ranges(spark, monkeypatch):
+    """Half of the rows are equal in id, text and metadata: no range holds them all."""
+    sizes = []
+    written = hs.written
+
+    def spied(df, name):
+        out = written(df, name)
+        if name == "shard-order":
+            sizes.extend(r["count"] for r in out.groupBy("part").count().collect())
+        return out
+
+    monkeypatch.setattr(hs, "written", spied)
+    df = spark.range(20_000).selectExpr(
+        "if(id % 2 = 0, null, id) AS doc_id", "if(id % 2 = 0, '', concat('t', id)) AS text",
+        "'en' AS lang", "'s' AS source", "0 AS n_chars").repartition(8)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert hs.hilbert_shards(df).count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert max(sizes) < 2 * 20_000 / 8
+
+
+def test_one_far_id_leaves_the_other_cells_alone(spark):
+    """Quantile cells: shards still cover narrow runs of ids beside an id of 2**60."""
+    df = spark.range(4000).selectExpr("if(id = 7, bigint(pow(2, 60)), id) AS doc_id", "'text' AS text",
+                                      "'en' AS lang", "'s' AS source", "0 AS n_chars")
+    by = defaultdict(list)
+    for r in hs.hilbert_shards(df).collect():
+        if r.doc_id < 4000:
+            by[r.shard].append(r.doc_id)
+    assert np.mean([max(v) - min(v) for v in by.values()]) < 400
+
+
+def test_slots_follow_a_plain_sort_by_the_curve(spark):
+    """Shards and slots one after the other visit the curve's indexes in order, computed apart from Spark."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted(hs.hilbert_shards(df).collect(), key=lambda r: (r.shard, r.slot))
+    assert [r.hilbert for r in rows] == sorted(r.hilbert for r in rows)
+    ids, sizes = np.sort([r.doc_id for r in rows]), np.sort([r.size for r in rows])
+    cells = df.select(
+        "doc_id", hs.hashed_cell(df.lang).alias("lang"), hs.hashed_cell(df.source).alias("source")).collect()
+    meta = {c.doc_id: (c.lang, c.source) for c in cells}
+    n, top = len(rows), 1 << hs.BITS
+    bounds = [[v[max(0, -(-k * n // top) - 1)] for k in range(1, top)] for v in (ids, sizes)]
+    points = np.array([(np.searchsorted(bounds[0], r.doc_id, "right"), np.searchsorted(bounds[1], r.size, "right"),
+                        *meta[r.doc_id]) for r in rows])
+    assert hs.hilbert_index(points, hs.BITS).tolist() == [r.hilbert for r in rows]
