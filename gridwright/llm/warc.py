@@ -4,8 +4,8 @@
 member per record. ``spark.read.format("warc")`` reads archives back with a
 sequential reader: one task per file, incremental zlib decompression in
 64 KB pieces, records framed by Content-Length, block and payload digests
-verified. A task holds one record at a time, so memory is bounded by the
-largest record.
+verified. A task holds one record and one batch of bounded bytes at a time, so
+memory is bounded by the largest record.
 
 Files go to ``<name>.part-<task>-<attempt>`` first and are renamed by the
 commit, so a lost executor or a repeated task leaves no half archive behind.
@@ -21,7 +21,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote, unquote, urlparse
 
 import pyarrow as pa
 import pyarrow.fs
@@ -53,6 +53,16 @@ READ_SCHEMA = (
     "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, "
     "refers_to bigint, archive string, archive_offset bigint, payload binary"
 )
+# Schemes of Hadoop's connectors and Arrow's for the same stores.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+# READ_SCHEMA as Arrow types, and the bounds of one batch the reader returns.
+READ_ARROW = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+    ("record_type", pa.string()), ("refers_to", pa.int64()), ("archive", pa.string()), ("archive_offset", pa.int64()),
+    ("payload", pa.binary()),
+])
+READ_ROWS = 1000
+READ_BYTES = 4 << 20
 PIECE = 1 << 16
 GZIP_LEVEL = 4
 
@@ -70,7 +80,13 @@ def filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     uri = urlparse(path)
     if uri.scheme in ("", "file"):
         return pyarrow.fs.LocalFileSystem(), unquote(uri.path) if uri.scheme else path
-    return pyarrow.fs.FileSystem.from_uri(path)
+    return pyarrow.fs.FileSystem.from_uri(arrow_uri(path))
+
+
+def arrow_uri(path: str) -> str:
+    """A URI with Spark's name of an object store as the one Arrow knows."""
+    scheme, sep, rest = path.partition("://")
+    return SCHEMES.get(scheme.lower(), scheme) + sep + rest
 
 
 def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -100,6 +116,8 @@ def page_record(page_id, url, payload: bytes, digest: str, record_type: str, ref
     ]
     if url is not None:
         headers.append(("WARC-Target-URI", _clean(url)))
+        if url != _clean(url).strip():  # control characters or blanks at the ends: kept beside it as well
+            headers.append(("X-Page-Url", quote(url, safe="")))
     if page_id is not None:
         headers.append(("X-Page-Id", str(page_id)))
     if record_type == "revisit":
@@ -172,7 +190,7 @@ def page_row(offset: int, headers: dict[str, str], block: bytes, archive: str) -
     number = lambda k: int(headers[k]) if headers.get(k, "None") != "None" else None
     return {
         "page_id": number("x-page-id"),
-        "url": headers.get("warc-target-uri"),
+        "url": unquote(headers["x-page-url"]) if "x-page-url" in headers else headers.get("warc-target-uri"),
         "payload_bytes": length,
         "payload_digest": digest,
         "record_type": kind,
@@ -243,16 +261,23 @@ class WarcReader(DataSourceReader):
         return [Archive(f.path) for f in sorted(found, key=lambda f: f.path)
                 if f.base_name.endswith(".warc.gz") and not f.base_name.startswith(("_", "."))]
 
-    def read(self, archive: Archive) -> Iterator[tuple]:
+    def read(self, archive: Archive) -> Iterator[pa.RecordBatch]:
+        """Arrow batches, closed after ``READ_ROWS`` rows or ``READ_BYTES`` bytes of payload."""
         fs, _ = filesystem(self.folder)
-        name = os.path.basename(archive.path)
+        name, rows, held = os.path.basename(archive.path), [], 0
         with fs.open_input_stream(archive.path, compression=None) as stream:
             for offset, headers, block in read_records(stream):
                 if headers.get("warc-type") in ("response", "revisit"):
                     row = page_row(offset, headers, block, name)
                     if not self.payloads:
                         row["payload"] = None
-                    yield tuple(row.values())
+                    rows.append(row)
+                    held += len(row["payload"] or b"")
+                    if len(rows) >= READ_ROWS or held >= READ_BYTES:
+                        yield pa.RecordBatch.from_pylist(rows, READ_ARROW)
+                        rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, READ_ARROW)
 
 
 class WarcDataSource(DataSource):

@@ -93,3 +93,26 @@ def test_empty_table_repeated_rows_and_extra_columns(spark):
     rows = warc.archive_round_trip(spark, df).collect()
     assert sorted((r.page_id, r.record_type) for r in rows) == [(1, "response"), (1, "response"), (2, "revisit")]
     assert warc.archive_round_trip(spark, df.limit(0)).count() == 0
+
+
+def test_urls_come_back_as_they_were(spark):
+    urls = [" http://x/a%0A\n b ", "http://x/%41?q=a b", "", None, "\t", "http://ü/\x7f", "\u00a0nbsp\u00a0", "a\r\nWARC-Type: x", "%"]
+    folder = scratch_path(spark, "warc-urls")
+    warc.write_archives(spark, spark.createDataFrame([(k, u, f"h{k}") for k, u in enumerate(urls)], SCHEMA), folder)
+    assert {r.page_id: r.url for r in warc.read_archives(spark, folder).collect()} == dict(enumerate(urls))
+
+
+def test_object_store_names_of_spark():
+    assert warc.arrow_uri("s3a://bucket/a/b") == "s3://bucket/a/b" and warc.arrow_uri("hdfs://n:1/x") == "hdfs://n:1/x"
+
+
+def test_batches_of_the_reader_are_bounded(spark, monkeypatch):
+    folder = scratch_path(spark, "warc-batches")
+    pages = spark.createDataFrame([(k, "u", f"{k}" * 500) for k in range(300)], SCHEMA).coalesce(1)
+    warc.write_archives(spark, pages, folder)
+    monkeypatch.setattr(warc, "READ_ROWS", 40)
+    monkeypatch.setattr(warc, "READ_BYTES", 20_000)
+    reader = warc.WarcReader(folder, True)
+    batches = [b for p in reader.partitions() for b in reader.read(p)]
+    assert sum(b.num_rows for b in batches) == 300
+    assert all(b.num_rows <= 40 and b.column("payload").nbytes < 25_000 for b in batches)
