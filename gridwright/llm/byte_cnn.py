@@ -8,7 +8,8 @@ bytes, over the whole text.
 
 The network is trained in numpy on the driver, on a bounded sample of labelled
 documents (``SAMPLE_DOCS``, taken by the hash of their id, ``SAMPLE_PIECES``
-windows of each). Scoring runs in tasks over Arrow batches, ``TILE`` windows
+windows of each). The bound of the filter is told from all documents spared for
+it. Scoring runs in tasks over Arrow batches, ``TILE`` windows
 at a time.
 """
 
@@ -22,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.common import crc_mod, hashed_sample, in_slices, kept_by_text, small_or_shuffled
+from gridwright.llm.common import crc_mod, in_slices, kept_by_text, small_or_shuffled
+from gridwright.operators.sizing import materialize_counted
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -39,7 +41,6 @@ UNDETERMINED = "und"
 # with remainder TRIAL modulo TRIALS are kept for the bound of the filter.
 FOLDS, HELD_OUT = 4, 2
 TRIALS, TRIAL = 16, 3
-TRIAL_DOCS = 4000
 # Share of rightly told trial documents that may lie below the filter's
 # reference score, and how many of them it takes.
 TRIAL_TAIL, LEAST_TRIALS = 0.001, 500
@@ -257,17 +258,17 @@ def identify_languages(documents: DataFrame, net: ByteNet | None = None) -> Data
     ).mapInArrow(rows, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def least_known_score(documents: DataFrame, net: ByteNet, trial_docs: int = TRIAL_DOCS) -> float:
+def least_known_score(documents: DataFrame, net: ByteNet) -> float:
     """The score below which a text counts as in none of the learned languages.
 
-    About ``trial_docs`` labelled documents that ``fit`` has spared are
-    predicted; all but ``TRIAL_TAIL`` of those told rightly lie above the
-    reference, and the bound is half-way between it and what mere chance
-    gives. With fewer than ``LEAST_TRIALS`` of them it is chance.
+    All labelled documents that ``fit`` has spared are predicted; all but
+    ``TRIAL_TAIL`` of those told rightly lie above the reference, and the bound
+    is half-way between it and what mere chance gives. With fewer than
+    ``LEAST_TRIALS`` of them it is chance. The scores are written once; the
+    two next to the reference are the only ones that reach the driver.
     """
     chance = 1 / len(net.classes)
     known = documents.where(learnable() & (crc_mod(F.col("doc_id"), TRIALS) == TRIAL))
-    drawn = hashed_sample(known, F.col("doc_id"), trial_docs)
 
     def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, BATCH_ROWS):
@@ -275,11 +276,14 @@ def least_known_score(documents: DataFrame, net: ByteNet, trial_docs: int = TRIA
             told = [s for s, v, t in zip(scores, langs, batch.column(0).to_pylist(), strict=True) if v == t]
             yield pa.record_batch([pa.array(told, pa.float64())], names=["score"])
 
-    texts = drawn.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    told = [r["score"] for r in texts.mapInArrow(right, "score double").collect()]
-    if len(told) < LEAST_TRIALS:
+    texts = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    told, rows = materialize_counted(texts.mapInArrow(right, "score double"), "trial-scores")
+    if rows < LEAST_TRIALS:
         return chance
-    return (chance + float(np.quantile(told, TRIAL_TAIL))) / 2
+    place = TRIAL_TAIL * (rows - 1)
+    lowest = told.orderBy("score").limit(int(place) + 2)
+    upper, lower = [r["score"] for r in lowest.orderBy(F.col("score").desc()).limit(2).collect()]
+    return (chance + lower + (upper - lower) * (place - int(place))) / 2
 
 
 def in_known_language(documents: DataFrame, least_score: float | None = None, net: ByteNet | None = None) -> DataFrame:

@@ -132,6 +132,22 @@ def test_the_language_stage_keeps_what_it_knows(spark, docs):
     assert byte_cnn.least_known_score(docs, net) == 1 / len(net.classes)
 
 
+def test_the_language_bound_is_told_from_all_trials(spark):
+    """More trial documents than once were drawn (4000): each of them counts."""
+    rng = np.random.default_rng(3)
+    net = byte_cnn.ByteNet(["aa", "bb"], *[rng.normal(0, 0.5, shape).astype(np.float32) for shape in (
+        (256, byte_cnn.EMBEDDING), (4 * byte_cnn.EMBEDDING, 6), (6,), (6, 2), (2,))])
+    trials = [k for k in range(200_000) if fold(k, byte_cnn.FOLDS) != byte_cnn.HELD_OUT
+              and fold(k, byte_cnn.TRIALS) == byte_cnn.TRIAL]
+    assert len(trials) > 8000
+    texts = {k: f"text {k * 7919 % 100_003} of {k % 97}" for k in trials}
+    docs = spark.createDataFrame([(k, t, "ab"[k % 2] * 2) for k, t in texts.items()], "doc_id bigint, text string, lang string")
+    langs, scores = byte_cnn.predict(net, list(texts.values()))
+    told = [s for s, v, k in zip(scores, langs, trials, strict=True) if v == "ab"[k % 2] * 2]
+    want = (0.5 + np.quantile(told, byte_cnn.TRIAL_TAIL)) / 2
+    assert len(told) > 4000 and abs(byte_cnn.least_known_score(docs, net) - want) < 1e-9
+
+
 def test_quality_on_held_out_documents(docs, labels):
     truth = {r.doc_id: r.quality for r in labels.collect()}
     rows = mil_quality.score_quality(docs, labels).collect()
