@@ -15,6 +15,11 @@ them. Such a key is known to be on the right, so a left row that meets nothing
 in one slice is no unmatched row there and is dropped. All other keys take the
 plain left join; both sides are read and shuffled once.
 
+Both sides of a big merge are sorted by their keys. Names that begin alike make
+that slow, as a sort tells rows apart by the first bytes of its first column; a
+hash of the keys therefore leads them. It is part of the condition, no column,
+so it is not shuffled.
+
 A key pair of the same name is kept once (left value); differently named
 keys both survive. Non-key columns present on both sides raise instead of
 being silently suffixed, and a numeric key against a text key raises
@@ -34,6 +39,9 @@ from gridwright.operators.skew import SLICES, Written, hot_keys, write_with_sket
 _NUMERIC = (T.NumericType, T.BooleanType)
 _TEXT = (T.StringType, T.CharType, T.VarcharType)
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+# Types whose equal values have equal hashes (not so for floats, 0.0 and -0.0).
+_HASHED = (T.StringType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.BooleanType(), T.DateType(),
+           T.TimestampType(), T.TimestampNTZType())
 
 
 def _kind(dtype: T.DataType) -> str:
@@ -63,6 +71,13 @@ def check_key_types(left: DataFrame, right: DataFrame, left_on: list[str], right
             )
 
 
+def hashed_pairs(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str]) -> list[tuple[str, str]]:
+    """The key pairs that a hash may stand for: of one type on both sides, and
+    of a type whose equal values hash alike (a text under a collation does not)."""
+    return [(lk, rk) for lk, rk in zip(left_on, right_on)
+            if left.schema[lk].dataType == right.schema[rk].dataType and left.schema[lk].dataType in _HASHED]
+
+
 def left_merge(
     left: DataFrame,
     right: DataFrame,
@@ -109,10 +124,11 @@ def left_merge(
     def eq(a: Column, b: Column) -> Column:
         return a.eqNullSafe(b) if null_safe else a == b
 
-    cond = reduce(
-        lambda a, b: a & b,
-        [eq(F.col(lk), F.col(tag[rk])) for lk, rk in zip(left_on, right_on)],
-    )
+    pairs = [eq(F.col(lk), F.col(tag[rk])) for lk, rk in zip(left_on, right_on)]
+    if alike := hashed_pairs(left, right, left_on, right_on):
+        l_hash = F.xxhash64(*[F.col(lk) for lk, _ in alike])
+        pairs = [l_hash == F.xxhash64(*[F.col(tag[rk]) for _, rk in alike]), *pairs]
+    cond = reduce(lambda a, b: a & b, pairs)
     columns = [*[F.col(c) for c in left.columns], *[F.col(tag[c]).alias(c) for c in right_kept]]
     if hot is None:
         return left.join(r, cond, "left").select(*columns)
