@@ -66,6 +66,8 @@ SALARY_COLUMNS = ["territory", "city", "city_code", "position", "level", "salary
 STAFF_COLUMNS = ["position", "pay_level", "current_branch", "headcount", "city", "branch"]
 STAFF_KEYS = ["position", "pay_level", "current_branch", "refreshed", "city", "branch", "rrs"]
 STAFF_HIDDEN = ["refreshed", "rrs"]
+# What the last merge reads of the staffed grid.
+MERGED_COLUMNS = ["city", "position", "level", "branch", "headcount"]
 GRID_COLUMNS = ["firm", "firm_city", "position", "level"]
 PAY_GRID_COLUMNS = ["territory", "city", "branch", "position", "level", "salary", "leader_level", "headcount"]
 
@@ -206,12 +208,13 @@ def approved_rows(
     measured, the documents are written first: they are broadcast under the
     cap, and beyond it a Bloom filter of their keys thins the lines."""
     approvals = sources["approvals"].select("doc_ref", "firm_ref", "doc_ts")
-    if strategy in MEASURED and not fits_one_task(approvals):
+    big = not fits_one_task(approvals)
+    if big and strategy in MEASURED:
         # Sketched, reduced to their maxima and filtered by them: the headers are made once.
         approvals = materialize(approvals, "approvals")
     final_docs = last_day_in_month(approvals, ["firm_ref"], "doc_ts", strategy=strategy)
     lines = sources["approval_lines"].select("doc_ref", "position_ref")
-    if strategy == "maxima" or (strategy == "auto" and not fits_one_task(final_docs)):
+    if strategy == "maxima" or (strategy == "auto" and (big or not fits_one_task(final_docs))):
         final_docs, rows, size = materialize_measured(final_docs, "final-docs")
         final_docs, small = broadcast_if_small(final_docs, broadcast_bytes, size)
         if not small:  # most lines belong to other documents: they go before the shuffle
@@ -289,14 +292,17 @@ def measured_merges(salary, grid, staff: DataFrame) -> DataFrame:
     """J12, E4, J13, P4, E5 with both right sides written and measured. Under
     the cap a right side is broadcast and nothing is shuffled for its merge;
     over it, its hot keys are dealt into slices and AQE splits those of the
-    left side (``left_merge``); either side is read once. ``salary`` and
+    left side (``left_merge``); either side is read once, and only the columns
+    that the published ones need are written. ``salary`` and
     ``grid`` are callables, whose small jobs run beside each other and beside
     the measuring."""
 
     def staffed() -> tuple[DataFrame, Written | None]:
+        counted = staff.select("position", "pay_level", "headcount", "city", "branch")
         approved, (counts, sketch) = run_concurrently(
-            grid, lambda: sketched_side(staff, ["branch", "position", "pay_level"], "staff-counts"))
-        return sketched_side(staffed_grid(approved, counts, sketch or False), ["city", "position", "level"], "staffed-grid")
+            grid, lambda: sketched_side(counted, ["branch", "position", "pay_level"], "staff-counts"))
+        main = staffed_grid(approved, counts, sketch or False).select(*MERGED_COLUMNS)
+        return sketched_side(main, ["city", "position", "level"], "staffed-grid")
 
     pay, (main, sketch) = run_concurrently(salary, staffed)
     return merge_pay(pay, main, sketch or False)

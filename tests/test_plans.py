@@ -6,7 +6,9 @@ import re
 
 import pytest
 
+from conftest import bag, settings_of
 from gridwright.config import STANDIN
+from gridwright.operators.merge import left_merge
 from gridwright.plans import pay_grid as pg
 from gridwright.sources.standins import standin_sources
 
@@ -333,3 +335,41 @@ def test_a_bloom_filter_thins_the_lines_before_their_shuffle(spark):
     assert {r.v for r in possible(odd, ["k"], words, n).collect()} >= {1, 2}
     empty, n = bloom_filter(odd.limit(0), ["k"], 0)
     assert possible(odd, ["k"], empty, n).count() == 0
+
+
+def test_a_merge_sorts_by_a_hash_of_its_keys_first(spark):
+    """Names that begin alike: sorts and exchanges take the hash, which is no
+    column; pairs of other types are compared by themselves only."""
+    left = spark.createDataFrame([("Supplier#1", "red widget #1", 1), (None, "red widget #1", 2), ("Supplier#2", None, None)],
+                                 "branch string, position string, level int")
+    right = spark.createDataFrame(
+        [("Supplier#1", "red widget #1", 1, 5), (None, "red widget #1", 2, 6), (None, "red widget #1", 2, 7),
+         ("Supplier#2", None, None, 8), ("Supplier#9", None, None, 9)],
+        "branch string, position string, level bigint, headcount bigint")
+    with settings_of(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        out = left_merge(left, right, on=["branch", "position", "level"])
+        text = plan(out)
+        sorts = re.findall(r"Sort \[(\w+)", text)
+        assert len(sorts) == 2 and set(sorts) == {"xxhash64"}
+        assert "level" not in re.search(r"xxhash64\(([^)]*)\)", text)[1]  # int against bigint: no common hash
+        assert sorted(out.collect(), key=str) == sorted([
+            ("Supplier#1", "red widget #1", 1, 5), (None, "red widget #1", 2, 6), (None, "red widget #1", 2, 7),
+            ("Supplier#2", None, None, 8)], key=str)
+    floats = spark.createDataFrame([(0.0, 1)], "k double, v int"), spark.createDataFrame([(-0.0, 2)], "k double, w int")
+    assert left_merge(*floats, on=["k"]).collect() == [(0.0, 1, 2)]
+
+
+def test_document_headers_are_made_once(spark, src, monkeypatch):
+    """Over the size of one task they are written, with all that is derived
+    from them read from there; the staffed grid is written with the columns
+    that the mart needs."""
+    names, kept = [], {}
+    made, sided = pg.materialize, pg.sketched_side
+    monkeypatch.setattr(pg, "materialize", lambda df, name: names.append(name) or made(df, name))
+    monkeypatch.setattr(pg, "sketched_side", lambda df, keys, name: kept.update({name: df.columns}) or sided(df, keys, name))
+    with settings_of(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1b"}):
+        out = pg.build_pay_grid(src, STANDIN, as_of="2024-01-01")
+        assert bag(out) == bag(pg.build_pay_grid(src, STANDIN, as_of="2024-01-01", strategy="window"))
+    assert names == ["approvals"]
+    assert kept == {"staff-counts": ["position", "pay_level", "headcount", "city", "branch"],
+                    "staffed-grid": ["city", "position", "level", "branch", "headcount"]}
